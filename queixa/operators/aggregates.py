@@ -26,18 +26,42 @@ def total(where: Column | None = None) -> Column:
     return F.sum(Q) if where is None else F.sum(F.when(where, F.col(Q)).otherwise(0))
 
 
+def _without_missing(grouped: DataFrame, *keys: str) -> DataFrame:
+    """Drop groups of a missing key.
+
+    The test is on a count, not on the key: it stays above the grouping, so queries that
+    share a grouping keep sharing it, and the grand total beside it keeps all rows.
+    """
+    present = [f"_has_{k}" for k in keys]
+    return grouped.where(" AND ".join(f"{p} > 0" for p in present)).drop(*present)
+
+
+def _presence(*keys: str) -> list[Column]:
+    return [F.count(k).alias(f"_has_{k}") for k in keys]
+
+
 def volume_by(frame: DataFrame, *keys: str) -> DataFrame:
     """Volume per key. Missing keys get no group."""
-    grouped = frame.groupBy(*keys).agg(total().alias("volume"))
-    return grouped.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+    grouped = frame.groupBy(*keys).agg(total().alias("volume"), *_presence(*keys))
+    return _without_missing(grouped, *keys)
+
+
+def with_grand_total(grouped: DataFrame) -> DataFrame:
+    """The sum of all groups beside each, the group of a missing key included."""
+    return grouped.withColumn("geral", F.sum("volume").over(W.partitionBy()))
+
+
+def volume_and_total_by(frame: DataFrame, *keys: str) -> DataFrame:
+    """Volume and grand total per key."""
+    grouped = frame.groupBy(*keys).agg(total().alias("volume"), *_presence(*keys))
+    return _without_missing(with_grand_total(grouped), *keys)
 
 
-def volume_and_rate_by(frame: DataFrame, key: str) -> DataFrame:
-    """Volume, answered volume and the grand total (missing keys included) per key."""
-    grouped = frame.groupBy(key).agg(
-        total().alias("volume"), total(answered()).alias("respondidas"))
-    return grouped.withColumn("geral", F.sum("volume").over(W.partitionBy())).where(
-        F.col(key).isNotNull())
+def resolution_by(frame: DataFrame, *keys: str) -> DataFrame:
+    """Volume, answered volume and grand total per key."""
+    grouped = frame.groupBy(*keys).agg(
+        total().alias("volume"), total(answered()).alias("respondidas"), *_presence(*keys))
+    return _without_missing(with_grand_total(grouped), *keys)
 
 
 def hhi(shares_of: DataFrame, volume: str = "volume") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from queixa.fixed_values import DEFAULT_SUBSCRIBERS_MILLIONS
 from queixa.functions.numbers import per_100k, ratio, round_half_away, round_half_even
 from queixa.operators.aggregates import (
-    arg_max, spread_and_mean, total, volume_and_rate_by, volume_by,
+    arg_max, resolution_by, spread_and_mean, total, volume_by,
 )
 from queixa.operators.cleaning import region_of_state
 from queixa.operators.windows import first_k, pareto, share
@@ -29,7 +29,7 @@ def volume_by_reason(frame: DataFrame) -> DataFrame:
 
 def resolution_by_operator(frame: DataFrame) -> DataFrame:
     """H3: answered share per operator, rounded to two decimals."""
-    rates = volume_and_rate_by(frame, "operadora")
+    rates = resolution_by(frame, "operadora")
     return rates.select(
         "operadora", F.col("volume").alias("total"), "respondidas",
         round_half_even(ratio(F.col("respondidas"), F.col("volume")) * 100, 2).alias("taxa_resolucao"),

@@ -10,7 +10,7 @@ from queixa.fixed_values import (
     DEFAULT_SUBSCRIBERS_MILLIONS, HHI_SCALE, RISK_WEIGHTS, SUBSCRIBERS,
 )
 from queixa.functions.numbers import per_100k, ratio, round_half_even
-from queixa.operators.aggregates import answered, total, volume_and_rate_by, volume_by
+from queixa.operators.aggregates import answered, resolution_by, total, volume_and_total_by, volume_by
 from queixa.operators.windows import min_max, rank_with_gaps, with_row_changes
 
 CUBE_KEYS = ["operadora", "uf", "categoria", "ano_mes", "status"]
@@ -100,7 +100,7 @@ def kpis_por_operadora(
     fill: float | None = DEFAULT_SUBSCRIBERS_MILLIONS,
 ) -> DataFrame:
     """Volume, resolution, share, rate per 100k, two ranks and the min-max risk score."""
-    by_operator = with_subscriber_base(volume_and_rate_by(frame, "operadora"), subscribers, fill)
+    by_operator = with_subscriber_base(resolution_by(frame, "operadora"), subscribers, fill)
     volume = F.col("volume")
     rates = by_operator.select(
         "operadora", "volume",
@@ -128,10 +128,7 @@ def kpis_temporais(frame: DataFrame) -> DataFrame:
 
 def kpis_motivos(frame: DataFrame, top: int | None = None) -> DataFrame:
     """Reasons per operator: share of all complaints and rank inside the operator."""
-    cells = frame.groupBy("operadora", "categoria").agg(total().alias("volume"))
-    ranked = cells.withColumn("geral", F.sum("volume").over(W.partitionBy())).where(
-        "operadora IS NOT NULL AND categoria IS NOT NULL"
-    ).select(
+    ranked = volume_and_total_by(frame, "operadora", "categoria").select(
         "operadora", F.col("categoria").alias("motivo"), "volume",
         round_half_even(ratio(F.col("volume"), F.col("geral")) * 100, 2).alias("share_pct"),
         rank_with_gaps(F.col("volume"), "operadora").alias("ranking"))
@@ -142,7 +139,7 @@ def kpis_motivos(frame: DataFrame, top: int | None = None) -> DataFrame:
 def kpis_regionais(frame: DataFrame) -> DataFrame:
     """Volume, resolution, share and rank per state."""
     volume = F.col("volume")
-    return volume_and_rate_by(frame, "uf").select(
+    return resolution_by(frame, "uf").select(
         "uf", "volume",
         round_half_even(ratio(F.col("respondidas"), volume) * 100, 2).alias("taxa_resolucao"),
         round_half_even(ratio(volume, F.col("geral")) * 100, 2).alias("share_pct"),

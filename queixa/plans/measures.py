@@ -334,8 +334,13 @@ def _subscribers(ctx: Context, filters: Mapping[str, Sequence]) -> tuple[list[st
         F.when(distinct == 1, F.max("assinantes")).alias("assinantes"))
 
 
-def _attach(cells: DataFrame, keys: list[str], side: DataFrame) -> DataFrame:
-    """Add a step's columns: by key, or as one row that belongs to every cell."""
+def _attach(cells: DataFrame, axes: list[str], keys: list[str], side: DataFrame) -> DataFrame:
+    """Add a step's columns to the cells that share its keys."""
+    if not axes:
+        # Both sides are one row: put them under each other and keep what each brings. In
+        # one plan without subqueries the planner runs their common grouping once.
+        rows = cells.unionByName(side, allowMissingColumns=True)
+        return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     if not keys:
         row = side.select(F.struct(*side.columns).alias("_row")).scalar()
         return cells.withColumn("_row", row).select("*", "_row.*").drop("_row")
@@ -383,7 +388,7 @@ def evaluate(
         *[ctx.sum_of(q).alias(name) for name, q in sums.items()])
     if "_limites" in names:
         ctx.filters = {**residual, **calendar_filters}
-        cells = _attach(cells, [], ctx.calendar_limits().select(F.struct("*").alias("_limites")))
+        cells = cells.withColumn("_limites", ctx.calendar_limits().select(F.struct("*")).scalar())
     if per_month:
         cells = cells.groupBy(*ctx.axes).agg(
             *[F.sum(name).alias(name) for name in sums],
@@ -399,11 +404,11 @@ def evaluate(
     ctx.filters = residual
     cells = cells.withColumns({name: ctx.beyond_axes(name, q) for name, q in sums.items()})
     if "assinantes" in names:
-        cells = _attach(cells, *_subscribers(ctx, asked_filters))
+        cells = _attach(cells, ctx.axes, *_subscribers(ctx, asked_filters))
     if market:
-        cells = _attach(cells, *_market(ctx, cube))
+        cells = _attach(cells, ctx.axes, *_market(ctx, cube))
     if place:
-        cells = _attach(cells, *_worst_state(ctx, cube))
+        cells = _attach(cells, ctx.axes, *_worst_state(ctx, cube))
     ctx.filters = title_filters
     for name in ordered:
         if name in MEASURES:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +29,15 @@ def build_session(app: str = "queixa", **extra: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor can reach: the one the cluster names in
+    `spark.checkpoint.dir`. A local session that names none gets one of its own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="queixa-"))
+        folder = context.getCheckpointDir()
     return folder
 
 

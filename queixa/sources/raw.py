@@ -34,7 +34,10 @@ def read_raw_csv(
     of a line are counted first (separators inside quotes do not count). Header
     names are trimmed. One complaint per line: files stay splittable.
     """
-    lines = spark.read.option("encoding", encoding).text(path)
+    lines = spark.read.text(path)
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        # The text source hands over the bytes of a line as they are.
+        lines = lines.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
     header = lines.first()
     if header is None:
         raise ValueError(f"no header line in {path}")
