@@ -20,6 +20,7 @@ from catalog.tables import (
 from queixa.fixed_values import EXPLORATION_ALIASES, IMPLICIT_NULLS
 from queixa.functions.dates import index_text
 from queixa.functions.numbers import round_half_even
+from queixa.functions.text import filed_name
 from queixa.operators import aggregates, cleaning, dimensions, windows
 from queixa.operators.fact import build_fact
 from queixa.operators.star import star_of
@@ -80,22 +81,23 @@ def clean_parse_day(spark, sf_dir):
     return rows.groupBy("data_abertura").agg(F.count(F.lit(1)).alias("linhas"))
 
 
-def _names(spark, sf_dir, operator):
+def _names(spark, sf_dir, brand):
     rows = cleaning.null_implicit(canonical_columns(raw_complaints(spark, sf_dir)))
-    return rows.select("operadora_raw", operator.alias("operadora")).groupBy(
+    named = rows.select("operadora_raw", filed_name(F.col("operadora_raw")).alias("_nome"))
+    return named.select("operadora_raw", brand(F.col("_nome")).alias("operadora")).groupBy(
         "operadora_raw", "operadora").agg(F.count(F.lit(1)).alias("linhas"))
 
 
 @query
 def clean_operator_strict(spark, sf_dir):
-    return _names(spark, sf_dir, cleaning.brand_or_first_word(
-        F.col("operadora_raw"), cleaning.STRICT_ALIASES, cleaning.UNIDENTIFIED))
+    return _names(spark, sf_dir, lambda name: cleaning.brand_or_first_word(
+        name, cleaning.STRICT_ALIASES, cleaning.UNIDENTIFIED))
 
 
 @query
 def clean_operator_broad(spark, sf_dir):
-    return _names(spark, sf_dir, cleaning.brand_or_catch_all(
-        F.col("operadora_raw"), cleaning.BROAD_ALIASES, cleaning.CATCH_ALL))
+    return _names(spark, sf_dir, lambda name: cleaning.brand_or_catch_all(
+        name, cleaning.BROAD_ALIASES, cleaning.CATCH_ALL))
 
 
 @query

@@ -33,13 +33,13 @@ def complaint_star(spark: SparkSession, sf_dir: str) -> Star:
         F.lit(1).cast("long").alias("qtd"))
     customer = table(spark, sf_dir, "customer")
     segment = F.col("c_mktsegment")
-    orders = (table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-              .join(customer.select(F.col("c_custkey").alias("o_custkey"), segment.alias("operadora"),
-                                    group_of(segment).alias("grupo")), "o_custkey", "left"))
+    filed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    orders = (filed.join(customer.select(F.col("c_custkey").alias("o_custkey"), segment.alias("operadora"),
+                                          group_of(segment).alias("grupo")), "o_custkey", "left"))
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    places = (table(spark, sf_dir, "supplier")
-              .select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
-              .join(nation.select("n_nationkey", "n_name", "n_regionkey"), "n_nationkey", "left")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
+    places = (suppliers.join(nation.select("n_nationkey", "n_name", "n_regionkey"), "n_nationkey", "left")
               .join(region.select(F.col("r_regionkey").alias("n_regionkey"),
                                   F.col("r_name").alias("regiao")), "n_regionkey", "left")
               .select("l_suppkey", F.col("n_name").alias("uf"), F.col("n_name").alias("estado"), "regiao"))
@@ -50,8 +50,8 @@ def complaint_star(spark: SparkSession, sf_dir: str) -> Star:
     return Star(
         fact=fact,
         dimensions={
-            "operadora": Dimension(orders, "l_orderkey", ("operadora", "grupo")),
-            "uf": Dimension(places, "l_suppkey", ("uf", "estado", "regiao")),
+            "operadora": Dimension(orders, "l_orderkey", ("operadora", "grupo"), filed),
+            "uf": Dimension(places, "l_suppkey", ("uf", "estado", "regiao"), suppliers),
             "tipo": Dimension(types, "l_partkey", ("categoria", "subcategoria")),
         },
         calendar=calendar_from_bounds(bounds).select("data"),

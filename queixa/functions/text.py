@@ -8,9 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters that count as blank in single-byte text.
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+
+
 def strip(c: Column) -> Column:
-    """Remove blanks, tabs and line ends at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove blanks, tabs, line ends and no-break spaces at both ends."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def title_case(c: Column) -> Column:
@@ -38,18 +42,22 @@ def _first_alias(name: Column, aliases: Sequence[tuple[str, str]], otherwise: Co
     return otherwise if choice is None else choice.otherwise(otherwise)
 
 
+def filed_name(c: Column) -> Column:
+    """An operator's name as the alias rules read it. Make it a column of its own first:
+    every rule looks at it again."""
+    return strip(F.upper(c))
+
+
 def brand_or_first_word(
-    c: Column, aliases: Sequence[tuple[str, str]], unidentified: str
+    name: Column, aliases: Sequence[tuple[str, str]], unidentified: str
 ) -> Column:
-    """First alias contained in the name, else the name's first word, else `unidentified`."""
-    name = strip(F.upper(c))
+    """First alias contained in the filed name, else its first word, else `unidentified`."""
     brand = _first_alias(name, aliases, F.split(name, r"\s+", 2)[0])
-    return F.when(c.isNull() | (name == ""), F.lit(unidentified)).otherwise(brand)
+    return F.when(name.isNull() | (name == ""), F.lit(unidentified)).otherwise(brand)
 
 
-def brand_or_catch_all(c: Column, aliases: Sequence[tuple[str, str]], catch_all: str) -> Column:
-    """First alias contained in the name, else `catch_all`."""
-    name = strip(F.upper(c))
-    return F.when(c.isNull(), F.lit(catch_all)).otherwise(
+def brand_or_catch_all(name: Column, aliases: Sequence[tuple[str, str]], catch_all: str) -> Column:
+    """First alias contained in the filed name, else `catch_all`."""
+    return F.when(name.isNull(), F.lit(catch_all)).otherwise(
         _first_alias(name, aliases, F.lit(catch_all))
     )

@@ -145,16 +145,15 @@ def month_spine(months: DataFrame, keys: Sequence[str], volume: str = "volume")
     """Every month between the first and last of the frame, for every key; 0 where a key has none.
 
     Each key's own rows are laid on the common span by exploding a sequence, so
-    keys are never paired with a table of months.
+    keys are never paired with a table of months. A key holds at most one entry per month.
     """
-    span = W.partitionBy()
-    by_key = months.withColumns({
-        "_first": F.min("mes_idx").over(span), "_last": F.max("mes_idx").over(span),
-    }).groupBy(*keys).agg(
-        F.max("_first").alias("_first"), F.max("_last").alias("_last"),
+    everyone = W.partitionBy()
+    by_key = months.groupBy(*keys).agg(
+        F.min("mes_idx").alias("_first"), F.max("mes_idx").alias("_last"),
         F.map_from_entries(F.collect_list(F.struct("mes_idx", volume))).alias("_v"))
-    return by_key.select(
-        *keys, F.explode(F.sequence("_first", "_last")).alias("mes_idx"), "_v"
+    span = F.sequence(F.min("_first").over(everyone), F.max("_last").over(everyone))
+    return by_key.select(*keys, span.alias("_span"), "_v").select(
+        *keys, F.explode("_span").alias("mes_idx"), "_v"
     ).select(*keys, "mes_idx",
              F.coalesce(F.try_element_at("_v", F.col("mes_idx")), F.lit(0)).alias(volume))
 

@@ -17,7 +17,9 @@ from queixa.fixed_values import (
     READER_NULLS, STATES, STRICT_ALIASES, UNIDENTIFIED, UNKNOWN_STATE,
 )
 from queixa.functions.dates import parse_day, with_time_columns
-from queixa.functions.text import brand_or_catch_all, brand_or_first_word, strip, title_case
+from queixa.functions.text import (
+    brand_or_catch_all, brand_or_first_word, filed_name, strip, title_case,
+)
 from queixa.sources.raw import canonical_columns, union_all
 
 
@@ -53,8 +55,8 @@ def clean(
 ) -> DataFrame:
     """One raw file to clean rows; exact duplicates within the file go."""
     df = drop_bad_days(null_implicit(canonical_columns(raw)), "data_abertura")
-    return df.withColumns({
-        "operadora": brand_or_first_word(F.col("operadora_raw"), aliases, unidentified),
+    return df.withColumn("operadora", filed_name(F.col("operadora_raw"))).withColumns({
+        "operadora": brand_or_first_word(F.col("operadora"), aliases, unidentified),
         "status": label(F.col("status"), NOT_INFORMED),
         "motivo": label(F.col("motivo"), NOT_INFORMED),
         "detalhe_motivo": label(F.col("detalhe_motivo"), NOT_INFORMED),
@@ -94,9 +96,9 @@ def clean_light(
     def cell(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
-    rows = df.select(
+    rows = df.withColumn("_nome", filed_name(cell("Nome"))).select(
         F.col("Data_Abertura").alias("dia"),
-        brand_or_catch_all(cell("Nome"), aliases, catch_all).alias("operadora"),
+        brand_or_catch_all(F.col("_nome"), aliases, catch_all).alias("operadora"),
         title_case(strip(F.coalesce(cell("Motivo"), F.lit(defaults["motivo"])))).alias("categoria"),
         cell("Detalhe_Motivo").alias("subcategoria"),
         strip(F.coalesce(cell("Status"), F.lit(defaults["status"]))).alias("status"),

@@ -13,11 +13,32 @@ from queixa.functions.dates import TIME_COLUMNS
 
 @dataclass(frozen=True)
 class Dimension:
-    """A table joined on `key`, offering `columns`."""
+    """A table joined on `key`, offering `columns`.
+
+    A dimension that is itself a chain of lookups names the table the chain starts from:
+    lookups on unique keys add no rows, so that table's measured size tells whether the
+    whole dimension is small. The planner alone would multiply the sizes along the chain.
+    """
 
     table: DataFrame
     key: str
     columns: tuple[str, ...]
+    starts_from: DataFrame | None = None
+
+    def lookup(self, columns: Sequence[str]) -> DataFrame:
+        """Key and wanted columns, marked for broadcast only if measured to be small."""
+        wanted = self.table.select(self.key, *columns)
+        if self.starts_from is not None and measured_small(self.starts_from):
+            return F.broadcast(wanted)
+        return wanted
+
+
+def measured_small(table: DataFrame, headroom: int = 4) -> bool:
+    """Whether a stored table's size, with headroom for unpacked columns, is within the
+    session's broadcast threshold. Reads file sizes only."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size * headroom <= limit
 
 
 @dataclass(frozen=True)
@@ -34,36 +55,51 @@ class Star:
     operators: DataFrame
     unidentified: str
 
-    def frame(self, columns: Iterable[str], where: Mapping[str, Sequence] | None = None) -> DataFrame:
-        """Complaint rows with `columns` and `qtd`, restricted to the values in `where`.
+    def frame(
+        self, columns: Iterable[str], where: Mapping[str, Sequence] | None = None,
+        years: tuple[int, int] | None = None,
+    ) -> DataFrame:
+        """Complaint rows with `columns` and `qtd`, restricted to the values in `where`
+        and to an inclusive range of `years`.
 
         Only the dimensions that supply a wanted column are joined. Joins are left
         joins on a unique key, so leaving one out never changes the row count.
         """
-        where = {name: values for name, values in (where or {}).items() if values}
+        columns = list(dict.fromkeys(columns))
+        where = {name: list(values) for name, values in (where or {}).items() if values}
+        if where.get("ano") and years is None:
+            years = (min(where["ano"]), max(where["ano"]))
         wanted = list(dict.fromkeys([*columns, *where]))
         df, available = self.fact, set(self.fact.columns)
         derived = [c for c in wanted if c not in available and c in TIME_COLUMNS]
+        if years is not None:
+            if "ano" in available:  # the stored fact is split by year
+                df = df.where(F.col("ano").between(*years))
+            elif "dia" in available:  # a range on the day reaches the scan, a year() would not
+                first, last = (F.lit(day).cast("date") for day in (f"{years[0]}-01-01", f"{years[1]}-12-31"))
+                df = df.where(F.col("dia").between(first, last))
         sources = [c for c in wanted if c not in derived] + (["dia"] if derived else [])
         for dimension in self.dimensions.values():
             supplied = [c for c in dimension.columns if c in sources and c not in available]
             if supplied:
-                table = dimension.table.select(dimension.key, *supplied)
-                df = df.join(table, dimension.key, "left")
+                df = df.join(dimension.lookup(supplied), dimension.key, "left")
                 available.update(supplied)
         df = df.withColumns({c: TIME_COLUMNS[c](F.col("dia")) for c in derived}) if derived else df
         missing = [c for c in wanted if c not in available and c not in derived]
         if missing:
             raise ValueError(f"unknown columns: {', '.join(missing)}")
         for name, values in where.items():
-            df = df.where(F.col(name).isin(list(values)))
-        return df.select(*dict.fromkeys(columns), "qtd")
+            df = df.where(F.col(name).isin(values))
+        return df.select(*columns, "qtd")
 
-    def cube(self, columns: Iterable[str], where: Mapping[str, Sequence] | None = None) -> DataFrame:
+    def cube(
+        self, columns: Iterable[str], where: Mapping[str, Sequence] | None = None,
+        years: tuple[int, int] | None = None,
+    ) -> DataFrame:
         """`qtd` summed per combination of `columns`: the one pass over the fact from which
         a query's other steps start. Its size follows the number of labels, not of complaints."""
         columns = list(dict.fromkeys(columns))
-        return self.frame(columns, where).groupBy(*columns).agg(F.sum("qtd").alias("qtd"))
+        return self.frame(columns, where, years).groupBy(*columns).agg(F.sum("qtd").alias("qtd"))
 
 
 def star_of(

@@ -40,12 +40,16 @@ CALENDAR_OF_INDEX: Mapping[str, Callable[[Column], Column]] = {
 
 @dataclass(frozen=True)
 class Quantity:
-    """A sum of `qtd`: what it lifts, and the condition it adds (with the column it reads)."""
+    """A sum of `qtd`: what it lifts, and the condition it adds (with the column it reads).
+
+    `years_back` bounds how far outside the selected years a lifted calendar is read.
+    """
 
     lifts_filters: frozenset[str] = frozenset()
     lifts_axes: frozenset[str] = frozenset()
     reads: str | None = None
     condition: Callable[[Column], Column] | None = None
+    years_back: int | None = None
 
 
 def replacing(column: str, condition: Callable[[Column], Column]) -> Quantity:
@@ -115,11 +119,19 @@ class Context:
         pushed = {c: v for c, v in self.filters.items() if c not in lifted}
         columns = [*self.axes, *[c for c in self.filters if c not in pushed],
                    *[q.reads for q in quantities if q.reads], *extra]
-        cube = self.star.cube(columns, pushed)
-        # The pushed filters are settled; their columns are constant-true from here on.
+        cube = self.star.cube(columns, pushed, self._years_read(quantities))
+        # The scan has settled the pushed filters; only the others are tested again.
         self.filters = {c: v for c, v in self.filters.items() if c in lifted}
         return cube
 
+    def _years_read(self, quantities: Sequence[Quantity]) -> tuple[int, int] | None:
+        """The years a report can touch, when it selects years and no quantity reads all of time."""
+        years = self.filters.get("ano")
+        back = [q.years_back for q in quantities if "ano" in q.lifts_filters]
+        if not years or None in back:
+            return None
+        return min(years) - max([0, *back]), max(years)
+
     def calendar_limits(self) -> DataFrame:
         """One row on the calendar: its last month, and the selected months' end, mean and spread."""
         index = F.year("data") * 12 + F.month("data")

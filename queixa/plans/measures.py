@@ -57,9 +57,9 @@ def quantities(star: Star) -> dict[str, Quantity]:
         "_par_operadoras": Quantity(lifts_filters=OPERATOR),
         "_par_categoria": Quantity(lifts_filters=frozenset({"categoria"})),
         "_par_uf": Quantity(lifts_filters=frozenset({"estado", "uf"})),
-        # The monthly series: every month of the calendar, selected or not.
-        "_serie": Quantity(lifts_filters=CALENDAR),
-        "_serie_setor": Quantity(lifts_filters=CALENDAR | OPERATOR),
+        # The monthly series beyond the selected months; no measure looks back over a year.
+        "_serie": Quantity(lifts_filters=CALENDAR, years_back=1),
+        "_serie_setor": Quantity(lifts_filters=CALENDAR | OPERATOR, years_back=1),
     }
 
 

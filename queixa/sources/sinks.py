@@ -29,7 +29,8 @@ def write_star(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet
     """The five tables. The fact is split by year for partition pruning.
 
     `rebalance` lets the run-time planner cut a heavy year into many files and
-    join small ones, so no task has to write a whole year.
+    join small ones, so no task has to write a whole year. Rows are sorted by day inside
+    a file, which lets a reader skip row groups and packs the columns better.
     """
     for name, table in tables.items():
         if name != "fato_reclamacoes":
@@ -38,8 +39,8 @@ def write_star(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet
         if fmt == "csv":
             write_table(table.drop("ano"), folder, name, fmt)
         else:
-            (table.hint("rebalance", "ano").write.mode("overwrite").partitionBy("ano")
-             .parquet(os.path.join(folder, name)))
+            (table.hint("rebalance", "ano").sortWithinPartitions("ano", "id_data", "id_operadora")
+             .write.mode("overwrite").partitionBy("ano").parquet(os.path.join(folder, name)))
 
 
 def run_etl(raw_files: list[DataFrame], folder: str) -> Star:
