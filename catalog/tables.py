@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from queixa.fixed_values import STATES
 from queixa.operators.dimensions import calendar_from_bounds
@@ -12,8 +15,15 @@ from queixa.operators.star import Dimension, Star
 UNIDENTIFIED = "HOUSEHOLD"
 
 
+@cache
+def _schema(path: str) -> T.StructType:
+    """A stored table's schema, read from its footer once per process."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def group_of(operator: Column) -> Column:
@@ -23,47 +33,63 @@ def group_of(operator: Column) -> Column:
 
 def complaint_star(spark: SparkSession, sf_dir: str) -> Star:
     """`lineitem` as complaints; operator, place and type reached through its keys."""
-    lineitem = table(spark, sf_dir, "lineitem")
-    fact = lineitem.select(
+    def read(name: str) -> DataFrame:
+        return table(spark, sf_dir, name)
+
+    fact = read("lineitem").select(
         "l_orderkey", "l_suppkey", "l_partkey",
         F.col("l_shipdate").cast("date").alias("dia"),
         F.when(F.col("l_returnflag") == "R", "Respondida")
         .when(F.col("l_returnflag") == "N", "Pendente").otherwise("Em Análise").alias("status"),
         F.when(F.col("l_linestatus") == "O", "SCM").otherwise("SMP").alias("servico"),
         F.lit(1).cast("long").alias("qtd"))
-    customer = table(spark, sf_dir, "customer")
     segment = F.col("c_mktsegment")
-    filed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    orders = (filed.join(customer.select(F.col("c_custkey").alias("o_custkey"), segment.alias("operadora"),
-                                          group_of(segment).alias("grupo")), "o_custkey", "left"))
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    suppliers = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
-    places = (suppliers.join(nation.select("n_nationkey", "n_name", "n_regionkey"), "n_nationkey", "left")
-              .join(region.select(F.col("r_regionkey").alias("n_regionkey"),
-                                  F.col("r_name").alias("regiao")), "n_regionkey", "left")
-              .select("l_suppkey", F.col("n_name").alias("uf"), F.col("n_name").alias("estado"), "regiao"))
-    types = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("categoria"),
-        F.col("p_brand").alias("subcategoria"))
-    bounds = fact.agg(F.min("dia").alias("primeiro"), F.max("dia").alias("ultimo"))
+
+    def orders() -> DataFrame:
+        return read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+
+    def filed_against() -> DataFrame:
+        customers = read("customer").select(
+            F.col("c_custkey").alias("o_custkey"), segment.alias("operadora"), group_of(segment).alias("grupo"))
+        return orders().join(customers, "o_custkey", "left")
+
+    def suppliers() -> DataFrame:
+        return read("supplier").select(
+            F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
+
+    def places() -> DataFrame:
+        nations = read("nation").select(
+            "n_nationkey", F.col("n_name").alias("uf"), F.col("n_name").alias("estado"), "n_regionkey")
+        regions = read("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("regiao"))
+        return suppliers().join(nations, "n_nationkey", "left").join(regions, "n_regionkey", "left")
+
+    def types() -> DataFrame:
+        return read("part").select(
+            F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("categoria"),
+            F.col("p_brand").alias("subcategoria"))
+
+    def days() -> DataFrame:
+        return calendar_from_bounds(
+            fact.agg(F.min("dia").alias("primeiro"), F.max("dia").alias("ultimo"))).select("data")
+
+    def operators() -> DataFrame:
+        base = F.when(segment != UNIDENTIFIED, F.count(F.lit(1)) * 1000)
+        return read("customer").groupBy(segment.alias("operadora")).agg(base.alias("assinantes")).withColumn(
+            "grupo", group_of(F.col("operadora")))
+
     return Star(
         fact=fact,
         dimensions={
-            "operadora": Dimension(orders, "l_orderkey", ("operadora", "grupo"), filed),
+            "operadora": Dimension(filed_against, "l_orderkey", ("operadora", "grupo"), orders),
             "uf": Dimension(places, "l_suppkey", ("uf", "estado", "regiao"), suppliers),
             "tipo": Dimension(types, "l_partkey", ("categoria", "subcategoria")),
         },
-        calendar=calendar_from_bounds(bounds).select("data"),
-        operators=customer.groupBy(segment.alias("operadora")).agg(
-            F.when(segment != UNIDENTIFIED, F.count(F.lit(1)) * 1000).alias("assinantes"))
-        .withColumn("grupo", group_of(F.col("operadora"))),
-        unidentified=UNIDENTIFIED,
+        calendar=days, operators=operators, unidentified=UNIDENTIFIED,
     )
 
 
 def subscribers_in_millions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return complaint_star(spark, sf_dir).operators.select(
+    return complaint_star(spark, sf_dir).operators().select(
         "operadora", (F.col("assinantes") / 1e6).alias("assinantes_mi"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,22 +13,22 @@ from queixa.functions.dates import TIME_COLUMNS
 
 @dataclass(frozen=True)
 class Dimension:
-    """A table joined on `key`, offering `columns`.
+    """A table joined on `key`, offering `columns`; it is opened only when one is asked for.
 
     A dimension that is itself a chain of lookups names the table the chain starts from:
     lookups on unique keys add no rows, so that table's measured size tells whether the
     whole dimension is small. The planner alone would multiply the sizes along the chain.
     """
 
-    table: DataFrame
+    table: Callable[[], DataFrame]
     key: str
     columns: tuple[str, ...]
-    starts_from: DataFrame | None = None
+    starts_from: Callable[[], DataFrame] | None = None
 
     def lookup(self, columns: Sequence[str]) -> DataFrame:
         """Key and wanted columns, marked for broadcast only if measured to be small."""
-        wanted = self.table.select(self.key, *columns)
-        if self.starts_from is not None and measured_small(self.starts_from):
+        wanted = self.table().select(self.key, *columns)
+        if self.starts_from is not None and measured_small(self.starts_from()):
             return F.broadcast(wanted)
         return wanted
 
@@ -45,14 +45,14 @@ def measured_small(table: DataFrame, headroom: int = 4) -> bool:
 class Star:
     """A fact and its dimensions, every relationship one-to-many and left-joined.
 
-    `calendar` has one row per day of the contiguous calendar (`data`); `operators`
+    `calendar` opens one row per day of the contiguous calendar (`data`); `operators`
     one row per brand (`operadora`, `assinantes`, and any other brand attribute).
     """
 
     fact: DataFrame
     dimensions: Mapping[str, Dimension]
-    calendar: DataFrame
-    operators: DataFrame
+    calendar: Callable[[], DataFrame]
+    operators: Callable[[], DataFrame]
     unidentified: str
 
     def frame(
@@ -119,14 +119,15 @@ def star_of(
     return Star(
         fact=fact,
         dimensions={
-            "operadora": Dimension(operators, "id_operadora", ("operadora", "porte", "grupo")),
-            "uf": Dimension(states, "id_uf", ("uf", "estado", "regiao")),
-            "tipo": Dimension(tables["dim_tipo_reclamacao"], "id_tipo", ("categoria", "subcategoria")),
+            "operadora": Dimension(lambda: operators, "id_operadora", ("operadora", "porte", "grupo")),
+            "uf": Dimension(lambda: states, "id_uf", ("uf", "estado", "regiao")),
+            "tipo": Dimension(
+                lambda: tables["dim_tipo_reclamacao"], "id_tipo", ("categoria", "subcategoria")),
             "calendario": Dimension(
-                days.select("id_data", F.col("data").alias("dia")), "id_data", ("dia",)),
+                lambda: days.select("id_data", F.col("data").alias("dia")), "id_data", ("dia",)),
         },
-        calendar=days.select("data"),
-        operators=operators.withColumn(
+        calendar=lambda: days.select("data"),
+        operators=lambda: operators.withColumn(
             "assinantes",
             subscribers if subscribers is not None else subscribers_of(F.col("operadora"))),
         unidentified=unidentified or UNIDENTIFIED,

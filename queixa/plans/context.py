@@ -135,7 +135,7 @@ class Context:
     def calendar_limits(self) -> DataFrame:
         """One row on the calendar: its last month, and the selected months' end, mean and spread."""
         index = F.year("data") * 12 + F.month("data")
-        months = self.star.calendar.groupBy(index.alias("x")).agg(F.max("data").alias("fim"))
+        months = self.star.calendar().groupBy(index.alias("x")).agg(F.max("data").alias("fim"))
         chosen = self.month_selected(F.col("x"))
         x = F.when(chosen, F.col("x").cast("double"))
         end = F.max(F.when(chosen, F.col("fim")))

@@ -324,7 +324,7 @@ def _worst_state(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
 def _subscribers(ctx: Context, filters: Mapping[str, Sequence]) -> tuple[list[str], DataFrame]:
     """The subscriber base, where the operators in context share a single value."""
     keys = [a for a in ctx.axes if a in OPERATOR]
-    operators = ctx.star.operators
+    operators = ctx.star.operators()
     if "operadora" not in keys:
         for column, values in filters.items():
             if column in OPERATOR:

@@ -33,8 +33,8 @@ def star(spark, *cells: dict, last: dt.date | None = None) -> Star:
     bounds = spark.createDataFrame([(min(days), last or max(days))], "primeiro date, ultimo date")
     names = sorted({n for n, _, _ in BRANDS} | {c.get("operadora", "CLARO") or "?" for c in cells})
     operators = spark.createDataFrame([(n,) for n in names], "operadora string")
-    return Star(fact, {}, calendar_from_bounds(bounds).select("data"),
-                operators.withColumn("assinantes", subscribers_of(F.col("operadora"))), "NÃO IDENTIFICADA")
+    return Star(fact, {}, lambda: calendar_from_bounds(bounds).select("data"),
+                lambda: operators.withColumn("assinantes", subscribers_of(F.col("operadora"))), "NÃO IDENTIFICADA")
 
 
 def brand_cells() -> list[dict]:
