@@ -235,6 +235,14 @@ ORACLES["duplicate_audit"] = dirty(
     f"SELECT linhas, linhas - unicas AS duplicadas, {pct('linhas - unicas', 'linhas', 1)} AS duplicadas_pct FROM ("
     "SELECT (SELECT count(*) FROM bruto) AS linhas, (SELECT count(*) FROM (SELECT DISTINCT * FROM bruto)) AS unicas)")
 
+ORACLES["data_audit"] = dirty(
+    light(BROAD_ALIASES), "t AS (SELECT *, CASE uf " + " ".join(f"WHEN '{u[1]}' THEN '{u[3]}'" for u in STATES)
+    + " ELSE 'Outros' END AS regiao FROM leve)",
+    f"""SELECT linhas, CAST(13 AS BIGINT) AS colunas, linhas - unicas AS duplicatas,
+    {pct('linhas - unicas', 'linhas', 1)} AS duplicatas_pct, operadoras, ufs FROM (
+    SELECT count(*) AS linhas, (SELECT count(*) FROM (SELECT DISTINCT * FROM t)) AS unicas,
+           count(DISTINCT operadora) AS operadoras, count(DISTINCT uf) AS ufs FROM t)""")
+
 # --- dimensional model
 ORACLES["dim_operator"] = dirty(
     CLEAN, DIM_OPERATOR, "SELECT *, CASE nome " + " ".join(f"WHEN '{b}' THEN {n}" for b, n in SUBSCRIBERS)

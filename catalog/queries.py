@@ -20,7 +20,7 @@ from catalog.tables import (
 from queixa.fixed_values import EXPLORATION_ALIASES, IMPLICIT_NULLS
 from queixa.functions.dates import index_text
 from queixa.functions.numbers import round_half_even
-from queixa.functions.text import filed_name
+from queixa.functions.text import filed_name, strip
 from queixa.operators import aggregates, cleaning, dimensions, windows
 from queixa.operators.fact import build_fact
 from queixa.operators.star import star_of
@@ -28,7 +28,7 @@ from queixa.plans import datasets, hypotheses, kpis
 from queixa.plans.measures import evaluate
 from queixa.session import shared_folder, write_and_read_back
 from queixa.sources.raw import canonical_columns, read_many
-from queixa.sources.sinks import run_etl, write_kpis
+from queixa.sources.sinks import run_etl, store_dimensions, write_kpis
 from queixa.sources.star_files import RAW_FILES, load_fact, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,7 +103,7 @@ def clean_operator_broad(spark, sf_dir):
 @query
 def clean_text_title(spark, sf_dir):
     rows = cleaning.null_implicit(canonical_columns(raw_complaints(spark, sf_dir)))
-    labels = [cleaning.label(F.col(c), cleaning.NOT_INFORMED).alias(c)
+    labels = [cleaning.label(strip(F.col(c)), cleaning.NOT_INFORMED).alias(c)
               for c in ("status", "motivo", "detalhe_motivo")]
     return rows.select(labels).groupBy("status", "motivo", "detalhe_motivo").agg(
         F.count(F.lit(1)).alias("linhas"))
@@ -138,6 +138,11 @@ def duplicate_audit(spark, sf_dir):
     return aggregates.duplicate_audit(raw_complaints(spark, sf_dir))
 
 
+@query
+def data_audit(spark, sf_dir):
+    return hypotheses.data_audit(cleaning.clean_light(raw_complaints(spark, sf_dir)))
+
+
 # --- dimensional model ----------------------------------------------------------------
 
 @query
@@ -159,16 +164,10 @@ def dim_calendar(spark, sf_dir):
 
 
 def _star_tables(spark, sf_dir):
-    """The star over the dirty rows; the cleaned rows are stored once, then read five times."""
+    """The star over the dirty rows; the cleaned rows are stored once, then read again and again."""
     clean = write_and_read_back(cleaning.clean_files(raw_files(spark, sf_dir)), "limpo")
-    tables = {
-        "dim_operadora": dimensions.dense_ids(
-            dimensions.build_operators(clean), "id_operadora", ["nome"]),
-        "dim_uf": dimensions.build_states(spark),
-        "dim_tipo_reclamacao": dimensions.dense_ids(
-            dimensions.build_complaint_types(clean), "id_tipo", ["categoria", "subcategoria"]),
-        "dim_calendario": dimensions.build_calendar(clean),
-    }
+    folder = os.path.join(shared_folder(spark), f"estrela-{uuid.uuid4().hex}")
+    tables = store_dimensions(clean, folder)
     return {**tables, "fato_reclamacoes": build_fact(clean, tables)}
 
 
@@ -211,7 +210,7 @@ def kpi_files(spark, sf_dir):
     rows = load_fact(spark, os.path.join(folder, "sem_estrela"), folder)
     rows = rows.withColumn("ano_mes", F.date_format("dia", "yyyy-MM"))
     write_kpis(rows, os.path.join(folder, "saida"))
-    return spark.read.csv(os.path.join(folder, "saida", "kpis_motivos"), header=True,
+    return spark.read.csv(os.path.join(folder, "saida", "kpis_motivos.csv"), header=True,
                           schema="operadora string, motivo string, volume long, share_pct double, ranking int")
 
 

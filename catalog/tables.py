@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,7 +49,7 @@ def complaint_star(spark: SparkSession, sf_dir: str) -> Star:
     def orders() -> DataFrame:
         return read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
 
-    def filed_against() -> DataFrame:
+    def filed_against(columns: Sequence[str]) -> DataFrame:
         customers = read("customer").select(
             F.col("c_custkey").alias("o_custkey"), segment.alias("operadora"), group_of(segment).alias("grupo"))
         return orders().join(customers, "o_custkey", "left")
@@ -57,13 +58,16 @@ def complaint_star(spark: SparkSession, sf_dir: str) -> Star:
         return read("supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
 
-    def places() -> DataFrame:
+    def places(columns: Sequence[str]) -> DataFrame:
         nations = read("nation").select(
             "n_nationkey", F.col("n_name").alias("uf"), F.col("n_name").alias("estado"), "n_regionkey")
+        named = suppliers().join(nations, "n_nationkey", "left")
+        if "regiao" not in columns:
+            return named
         regions = read("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("regiao"))
-        return suppliers().join(nations, "n_nationkey", "left").join(regions, "n_regionkey", "left")
+        return named.join(regions, "n_regionkey", "left")
 
-    def types() -> DataFrame:
+    def types(columns: Sequence[str]) -> DataFrame:
         return read("part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("categoria"),
             F.col("p_brand").alias("subcategoria"))

@@ -38,9 +38,9 @@ def drop_bad_days(df: DataFrame, column: str, trim: bool = True) -> DataFrame:
     return df.withColumn(column, parse_day(F.col(column), trim)).where(F.col(column).isNotNull())
 
 
-def label(c: Column, default: str) -> Column:
-    """Trimmed, title-cased, with a default for missing cells."""
-    return F.coalesce(title_case(strip(c)), F.lit(default))
+def label(stripped: Column, default: str) -> Column:
+    """Title-cased, with a default for missing cells."""
+    return F.coalesce(title_case(stripped), F.lit(default))
 
 
 def code(c: Column, default: str) -> Column:
@@ -55,11 +55,12 @@ def clean(
 ) -> DataFrame:
     """One raw file to clean rows; exact duplicates within the file go."""
     df = drop_bad_days(null_implicit(canonical_columns(raw)), "data_abertura")
-    return df.withColumn("operadora", filed_name(F.col("operadora_raw"))).withColumns({
+    labels = ("status", "motivo", "detalhe_motivo")
+    trimmed = df.withColumns({
+        "operadora": filed_name(F.col("operadora_raw")), **{c: strip(F.col(c)) for c in labels}})
+    return trimmed.withColumns({
         "operadora": brand_or_first_word(F.col("operadora"), aliases, unidentified),
-        "status": label(F.col("status"), NOT_INFORMED),
-        "motivo": label(F.col("motivo"), NOT_INFORMED),
-        "detalhe_motivo": label(F.col("detalhe_motivo"), NOT_INFORMED),
+        **{c: label(F.col(c), NOT_INFORMED) for c in labels},
         "uf_sigla": code(F.col("uf_sigla"), UNKNOWN_STATE),
     }).dropDuplicates()
 

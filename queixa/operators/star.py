@@ -13,21 +13,24 @@ from queixa.functions.dates import TIME_COLUMNS
 
 @dataclass(frozen=True)
 class Dimension:
-    """A table joined on `key`, offering `columns`; it is opened only when one is asked for.
+    """A table joined on `key`, offering `columns`.
+
+    It is opened only when columns are asked for, and is told which, so that a chain of
+    lookups can stop early.
 
     A dimension that is itself a chain of lookups names the table the chain starts from:
     lookups on unique keys add no rows, so that table's measured size tells whether the
     whole dimension is small. The planner alone would multiply the sizes along the chain.
     """
 
-    table: Callable[[], DataFrame]
+    table: Callable[[Sequence[str]], DataFrame]
     key: str
     columns: tuple[str, ...]
     starts_from: Callable[[], DataFrame] | None = None
 
     def lookup(self, columns: Sequence[str]) -> DataFrame:
         """Key and wanted columns, marked for broadcast only if measured to be small."""
-        wanted = self.table().select(self.key, *columns)
+        wanted = self.table(columns).select(self.key, *columns)
         if self.starts_from is not None and measured_small(self.starts_from()):
             return F.broadcast(wanted)
         return wanted
@@ -119,12 +122,12 @@ def star_of(
     return Star(
         fact=fact,
         dimensions={
-            "operadora": Dimension(lambda: operators, "id_operadora", ("operadora", "porte", "grupo")),
-            "uf": Dimension(lambda: states, "id_uf", ("uf", "estado", "regiao")),
+            "operadora": Dimension(lambda columns: operators, "id_operadora", ("operadora", "porte", "grupo")),
+            "uf": Dimension(lambda columns: states, "id_uf", ("uf", "estado", "regiao")),
             "tipo": Dimension(
-                lambda: tables["dim_tipo_reclamacao"], "id_tipo", ("categoria", "subcategoria")),
+                lambda columns: tables["dim_tipo_reclamacao"], "id_tipo", ("categoria", "subcategoria")),
             "calendario": Dimension(
-                lambda: days.select("id_data", F.col("data").alias("dia")), "id_data", ("dia",)),
+                lambda columns: days.select("id_data", F.col("data").alias("dia")), "id_data", ("dia",)),
         },
         calendar=lambda: days.select("data"),
         operators=lambda: operators.withColumn(

@@ -145,3 +145,18 @@ def top_states(frame: DataFrame, k: int = 15, region: Column | None = None) -> D
     """The k states with most complaints and their region."""
     top = first_k(volume_by(frame, "uf"), k, F.desc("volume"), "uf")
     return top.withColumn("regiao", region_of_state(F.col("uf")) if region is None else region)
+
+
+def data_audit(frame: DataFrame) -> DataFrame:
+    """Size of the data and what it covers: rows, columns, copies, operators, states.
+
+    Copies collapse on the reading side; everything else is counted on what is left.
+    """
+    kinds = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_n"))
+    counted = kinds.agg(
+        F.sum("_n").alias("linhas"), F.sum(F.col("_n") - 1).alias("duplicatas"),
+        F.count_distinct("operadora").alias("operadoras"), F.count_distinct("uf").alias("ufs"))
+    return counted.select(
+        "linhas", F.lit(len(frame.columns)).alias("colunas"), "duplicatas",
+        round_half_even(ratio(F.col("duplicatas"), F.col("linhas")) * 100, 1).alias("duplicatas_pct"),
+        "operadoras", "ufs")

@@ -335,15 +335,19 @@ def _subscribers(ctx: Context, filters: Mapping[str, Sequence]) -> tuple[list[st
 
 
 def _attach(cells: DataFrame, axes: list[str], keys: list[str], side: DataFrame) -> DataFrame:
-    """Add a step's columns to the cells that share its keys."""
-    if not axes:
-        # Both sides are one row: put them under each other and keep what each brings. In
-        # one plan without subqueries the planner runs their common grouping once.
-        rows = cells.unionByName(side, allowMissingColumns=True)
-        return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    """Add a step's columns to the cells that share its keys.
+
+    A step without keys is one row, which belongs to every cell. It is put under the cells
+    and spread over them: in one plan, without a subquery or a join on nothing, so that the
+    planner runs the grouping that cells and step have in common once.
+    """
     if not keys:
-        row = side.select(F.struct(*side.columns).alias("_row")).scalar()
-        return cells.withColumn("_row", row).select("*", "_row.*").drop("_row")
+        rows = cells.withColumn("_cell", F.lit(True)).unionByName(side, allowMissingColumns=True)
+        if not axes:
+            return rows.agg(*[F.max(c).alias(c) for c in rows.columns]).drop("_cell")
+        everyone = W.partitionBy()
+        spread = rows.withColumns({c: F.max(c).over(everyone) for c in side.columns})
+        return spread.where("_cell").drop("_cell")
     renamed = side.select([C(k).alias(f"_k_{k}") for k in keys]
                           + [C(c) for c in side.columns if c not in keys])
     same = None

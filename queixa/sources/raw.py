@@ -51,8 +51,7 @@ def read_raw_csv(
         (F.trim(line) != "") & (line != F.lit(header[0])) & (separators < len(names))
     )
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    parsed = F.from_csv(line, F.lit(schema.simpleString()[7:-1].replace(":", " ")),
-                        {"sep": sep, "quote": '"', "escape": '"'})
+    parsed = F.from_csv(line, schema.toDDL(), {"sep": sep, "quote": '"', "escape": '"'})
     return kept.select(parsed.alias("row")).select("row.*")
 
 

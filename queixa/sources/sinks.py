@@ -8,19 +8,20 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from queixa.operators.cleaning import clean_files
-from queixa.operators.star import Star, star_of
 from queixa.operators.dimensions import (
     build_calendar, build_complaint_types, build_operators, build_states, dense_ids,
 )
 from queixa.operators.fact import build_fact
+from queixa.operators.star import Star, star_of
 from queixa.plans.kpis import KPI_TABLES, kpi_cube
 from queixa.session import write_and_read_back
 
 
 def write_table(df: DataFrame, folder: str, name: str, fmt: str = "parquet") -> None:
+    """`<name>` as Parquet, or `<name>.csv` as CSV with a header."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(os.path.join(folder, name))
+        writer.option("header", True).csv(os.path.join(folder, f"{name}.csv"))
     else:
         writer.format(fmt).save(os.path.join(folder, name))
 
@@ -43,16 +44,13 @@ def write_star(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet
              .write.mode("overwrite").partitionBy("ano").parquet(os.path.join(folder, name)))
 
 
-def run_etl(raw_files: list[DataFrame], folder: str) -> Star:
-    """Raw files to a stored star schema, reading the raw files once.
+def store_dimensions(clean: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Build the four dimensions, store them, and open them again.
 
-    The cleaned rows are written to the shared folder because three dimensions and
-    the fact all start from them. Dimensions are stored before the fact, so the
-    planner knows their size on disk when it joins them to it.
+    Natural keys are stored first, because the numbering reads its small input twice.
+    Once stored, a dimension's size on disk tells the planner how to join it to the fact.
     """
-    clean = write_and_read_back(clean_files(raw_files), "limpo")
     spark = clean.sparkSession
-    # Natural keys first: the numbering reads its small input twice.
     operators = write_and_read_back(build_operators(clean), "operadoras")
     types = write_and_read_back(build_complaint_types(clean), "tipos")
     dimensions = {
@@ -62,11 +60,21 @@ def run_etl(raw_files: list[DataFrame], folder: str) -> Star:
         "dim_calendario": build_calendar(clean),
     }
     write_star(dimensions, folder)
-    stored = {name: spark.read.schema(table.schema).parquet(os.path.join(folder, name))
-              for name, table in dimensions.items()}
-    write_star({"fato_reclamacoes": build_fact(clean, stored)}, folder)
-    return star_of({**stored, "fato_reclamacoes": spark.read.parquet(
-        os.path.join(folder, "fato_reclamacoes"))})
+    return {name: spark.read.schema(table.schema).parquet(os.path.join(folder, name))
+            for name, table in dimensions.items()}
+
+
+def run_etl(raw_files: list[DataFrame], folder: str) -> Star:
+    """Raw files to a stored star schema, reading the raw files once.
+
+    The cleaned rows are written to the shared folder because three dimensions and
+    the fact all start from them.
+    """
+    clean = write_and_read_back(clean_files(raw_files), "limpo")
+    dimensions = store_dimensions(clean, folder)
+    write_star({"fato_reclamacoes": build_fact(clean, dimensions)}, folder)
+    fact = clean.sparkSession.read.parquet(os.path.join(folder, "fato_reclamacoes"))
+    return star_of({**dimensions, "fato_reclamacoes": fact})
 
 
 def write_kpis(

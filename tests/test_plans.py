@@ -4,8 +4,11 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from catalog.tables import complaint_star
+from queixa.operators.star import Dimension, Star
 from queixa.plans import hypotheses
 from queixa.plans.datasets import REPORTS, dataset
 from tests.plans import executed_plan, scans
@@ -72,3 +75,29 @@ def test_without_broadcast_the_join_is_shuffled_not_dropped(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_key_is_split(spark):
+    """A third of all complaints share one key and the dimension is too large to broadcast."""
+    spread = F.pmod(F.xxhash64("id"), F.lit(3000)).cast("int")
+    fact = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 20000).alias("k"),
+        F.date_add(F.lit("2020-01-01").cast("date"), spread).alias("dia"), F.lit(1).cast("long").alias("qtd"))
+    lookup = spark.range(-1, 20000).select(
+        F.col("id").alias("k"), F.concat(F.lit("op"), (F.col("id") % 5).cast("string")).alias("operadora"))
+    star = Star(fact, {"operadora": Dimension(lambda columns: lookup, "k", ("operadora",))}, None, None, "?")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "150KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = star.cube(["operadora", "dia"])
+        assert "skew=true" in executed_plan(df)
+        assert sum(r.qtd for r in df.collect()) == 300000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -134,6 +134,15 @@ def test_csv_star_with_byte_order_mark(spark, raw, tmp_path):
     assert got == sorted(map(tuple, read_star(spark, stored).frame(columns).collect()), key=repr)
 
 
+def test_star_written_as_csv_reads_back(spark, raw, tmp_path):
+    stored, as_csv = str(tmp_path / "estrela"), str(tmp_path / "csv")
+    run_etl(raw, stored)
+    write_star(read_star_tables(spark, stored), as_csv, fmt="csv")
+    columns = ["dia", "operadora", "estado", "subcategoria", "status", "servico", "ano"]
+    got = sorted(map(tuple, read_star(spark, as_csv).frame(columns).collect()), key=repr)
+    assert got == sorted(map(tuple, read_star(spark, stored).frame(columns).collect()), key=repr)
+
+
 def test_load_fact_prefers_the_star_and_falls_back_to_raw(spark, raw, raw_folder, tmp_path):
     from_raw = load_fact(spark, str(tmp_path / "nada"), raw_folder)
     run_etl(raw, str(tmp_path / "estrela"))
@@ -151,11 +160,11 @@ def test_write_kpis_from_one_cube(spark, raw, tmp_path):
     for fmt in ("csv", "parquet"):
         out = str(tmp_path / fmt)
         write_kpis(frame, out, fmt)
-        assert sorted(os.listdir(out)) == sorted(KPI_TABLES)
+        assert sorted(n.removesuffix(".csv") for n in os.listdir(out)) == sorted(KPI_TABLES)
         for name, build in KPI_TABLES.items():
             direct = build(frame)
             reader = spark.read.schema(direct.schema)
-            stored = (reader.option("header", True).csv if fmt == "csv" else reader.parquet)(f"{out}/{name}")
+            stored = reader.option("header", True).csv(f"{out}/{name}.csv") if fmt == "csv" else reader.parquet(f"{out}/{name}")
             assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
 
 
