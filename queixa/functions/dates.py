@@ -9,19 +9,26 @@ from queixa.fixed_values import DAY_NAMES, MONTH_ABBREVIATIONS, MONTH_NAMES
 from queixa.functions.text import strip
 
 
-# Years a nanosecond timestamp covers in full (1678 to 2261); they also bound the calendar.
-DAY_PATTERN = (r"^\d{1,2}/\d{1,2}/"
-               r"(167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])$")
+# Years a nanosecond timestamp covers in full; they also bound the calendar.
+FIRST_YEAR, LAST_YEAR = "1678", "2261"
 
 
 def parse_day(c: Column, trim: bool = True) -> Column:
-    """`DD/MM/YYYY` to a date, NULL for anything that is not a real day in range.
+    """`DD/MM/YYYY` (one or two digits for day and month) to a date, NULL for anything that
+    is not a real day in range.
 
-    The parts are turned round and cast, which is much cheaper than a pattern parser.
+    The parts are turned round and cast, which is much cheaper than a pattern parser. The
+    cast refuses days that do not exist; the tests before it refuse other notations.
     """
     text = strip(c) if trim else c
-    year_first = F.concat_ws("-", *[F.split_part(text, F.lit("/"), F.lit(i)) for i in (3, 2, 1)])
-    return F.when(text.rlike(DAY_PATTERN), year_first.try_cast("date"))
+    only_digits = F.translate(text, "0123456789", "") == "//"
+    four_digit_year = F.substring(text, -5, 1) == "/"
+    in_range = F.substring(text, -4, 4).between(FIRST_YEAR, LAST_YEAR)
+    day_and_month = F.substring_index(text, "/", 2)
+    year_first = F.concat_ws(
+        "-", F.substring(text, -4, 4), F.substring_index(day_and_month, "/", -1),
+        F.substring_index(day_and_month, "/", 1))
+    return F.when(only_digits & four_digit_year & in_range, year_first.try_cast("date"))
 
 
 def _pick(names: list[str], one_based: Column) -> Column:

@@ -17,16 +17,18 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+# A code point that is never a character; it marks blanks put in for a moment.
+MARK = "\uffff"
+
+
 def title_case(c: Column) -> Column:
     """Upper-case the first letter after anything that is not a letter.
 
-    `initcap` only restarts after a blank, so it serves the cells where that is
-    enough; the others are cut into runs of letters and of anything else.
+    `initcap` only restarts after a blank, so a marked blank is put before each letter that
+    follows something else, and taken out again.
     """
-    runs = F.regexp_extract_all(c, F.lit(r"([\p{L}]+|[^\p{L}]+)"), F.lit(1))
-    return F.when(
-        c.rlike(r"[^\p{L} ]\p{L}"), F.array_join(F.transform(runs, F.initcap), "")
-    ).otherwise(F.initcap(c))
+    parted = F.regexp_replace(c, r"([^\p{L} ])(?=\p{L})", f"$1{MARK} ")
+    return F.replace(F.initcap(parted), F.lit(f"{MARK} "), F.lit(""))
 
 
 def contains_ignoring_case(c: Column, needle: str) -> Column:

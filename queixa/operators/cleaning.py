@@ -54,7 +54,8 @@ def clean(
     unidentified: str = UNIDENTIFIED,
 ) -> DataFrame:
     """One raw file to clean rows; exact duplicates within the file go."""
-    df = drop_bad_days(null_implicit(canonical_columns(raw)), "data_abertura")
+    # Days first: a token that means "nothing" is not a day either, and fewer rows go on.
+    df = null_implicit(drop_bad_days(canonical_columns(raw), "data_abertura"))
     labels = ("status", "motivo", "detalhe_motivo")
     trimmed = df.withColumns({
         "operadora": filed_name(F.col("operadora_raw")), **{c: strip(F.col(c)) for c in labels}})
@@ -91,8 +92,8 @@ def clean_light(
     defaults = {"motivo": "Outros", "status": PENDING, "uf": UNKNOWN_STATE,
                 "servico": FIXED_SERVICE, **(defaults or {})}
     df = raw.toDF(*[c.strip() for c in raw.columns])
-    df = null_implicit(df, [t for t in IMPLICIT_NULLS if t != "NA"])
     df = drop_bad_days(df, "Data_Abertura", trim=False)
+    df = null_implicit(df, [t for t in IMPLICIT_NULLS if t != "NA"])
 
     def cell(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(None).cast("string")

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot join keys (a third of the fact under one key) are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Once a join's sides are shuffled and small per partition, hash instead of sorting.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Uneven output partitions of a rebalanced write are split too.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
