@@ -17,6 +17,8 @@ FACT = _table(
     ("sigla_servico", T.StringType()),
     ("qtd", T.IntegerType()),
 )
+# Stored as Parquet the fact is split by year, which shows as one more column.
+STORED_FACT = T.StructType([*FACT.fields, T.StructField("ano", T.IntegerType())])
 OPERATORS = _table(
     ("id_operadora", T.IntegerType()),
     ("nome", T.StringType()),

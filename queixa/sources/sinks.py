@@ -14,6 +14,7 @@ from queixa.operators.dimensions import (
 from queixa.operators.fact import build_fact
 from queixa.operators.star import Star, star_of
 from queixa.plans.kpis import KPI_TABLES, kpi_cube
+from queixa.schema import STORED_FACT
 from queixa.session import write_and_read_back
 
 
@@ -73,7 +74,7 @@ def run_etl(raw_files: list[DataFrame], folder: str) -> Star:
     clean = write_and_read_back(clean_files(raw_files), "limpo")
     dimensions = store_dimensions(clean, folder)
     write_star({"fato_reclamacoes": build_fact(clean, dimensions)}, folder)
-    fact = clean.sparkSession.read.parquet(os.path.join(folder, "fato_reclamacoes"))
+    fact = clean.sparkSession.read.schema(STORED_FACT).parquet(os.path.join(folder, "fato_reclamacoes"))
     return star_of({**dimensions, "fato_reclamacoes": fact})
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from queixa.operators.cleaning import clean_light
 from queixa.operators.star import Star, star_of
-from queixa.schema import STAR_TABLES
+from queixa.schema import FACT, STAR_TABLES, STORED_FACT
 from queixa.sources.raw import path_exists, read_many, union_all
 
 RAW_FILES = ("reclamacoes_scm.csv", "reclamacoes_smp.csv")
@@ -20,8 +20,7 @@ def read_star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     for name, schema in STAR_TABLES.items():
         stored = os.path.join(folder, name)
         if path_exists(spark, stored):
-            # The fact's partition column `ano` is discovered from the folder names.
-            tables[name] = spark.read.parquet(stored)
+            tables[name] = spark.read.schema(STORED_FACT if schema is FACT else schema).parquet(stored)
         else:
             tables[name] = spark.read.csv(
                 f"{stored}.csv", header=True, schema=schema, encoding="UTF-8"
