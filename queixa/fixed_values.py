@@ -149,3 +149,53 @@ RISK_WEIGHTS = (0.40, 0.35, 0.25)  # volume, unresolved share, complaints per 10
 MIN_MAX_EPSILON = 1e-9
 RESOLUTION_TARGET = 0.60
 HHI_SCALE = 10_000
+
+# --- fixed values: texts and bands of results ----------------------------------
+HEADLINE_METRICS = [
+    # metric, unit
+    ("Total Reclamações", "reclamações"),
+    ("Taxa de Resolução", "%"),
+    ("Pendentes", "reclamações"),
+    ("Operadoras Monitoradas", "operadoras"),
+    ("Estados Cobertos", "UFs"),
+    ("Motivos Distintos", "motivos"),
+    ("HHI Concentração", "pontos (max 10.000)"),
+    ("Período Início", "data"),
+    ("Período Fim", "data"),
+]
+CLAIMS = {
+    "H1": "Top {k} operadoras > {above:.0f}% das reclamacoes",
+    "H2": "Velocidade e motivo mais frequente (SCM)",
+    "H3": "Taxa resolucao varia >= {at_least:.0f}pp entre operadoras",
+    "H4": "Pico de reclamacoes no {quarter} (jan-mar)",
+    "H5": "{region} domina volume absoluto",
+}
+REASON_WORDS = ("velocidade", "internet")
+# A band is its lower bound and its label; the last one takes the rest.
+RATE_BANDS = [(0.8, " OK"), (0.6, " Atenção"), (None, " Crítico")]
+TARGET_BANDS = [(0.10, "Superou"), (0, "Atingiu"), (-0.10, "Abaixo"), (None, "Critico")]
+RISK_BANDS = [(0.75, "Alto Risco"), (0.50, "Risco Elevado"), (0.25, "Risco Moderado"), (None, "Baixo Risco")]
+HHI_COMPETITIVE_BELOW, HHI_CONCENTRATED_UP_TO = 1500, 2500
+HHI_CLASSES = ("Competitivo", "Concentrado", "Altamente Concentrado")
+SCORE_LOW_UP_TO, SCORE_MIDDLE_UP_TO = 0.30, 0.45
+ANOMALY_DEVIATIONS = 2
+STABLE_CHANGE = 0.05
+CRITICAL_CHANGE = 0.15
+NEAR_OVERALL_RATE = 0.02
+NO_VALUE = "--"
+SEVERAL = "Múltiplos"
+SENTENCE = {
+    "leader": " lidera as reclamações (",
+    "of_total": " do total), ",
+    "no_base": "sem base de comparação mensal",
+    "up": "com volume em ALTA de ",
+    "up_end": " no mês (atenção)",
+    "down": "com volume em QUEDA de ",
+    "down_end": " no mês",
+    "stable": "com volume estável no mês",
+    "rate": ". Taxa de resolução em ",
+    "market": " e mercado ",
+    "index": " (HHI ",
+    "place": "). Maior concentração geográfica: ",
+    "end": ".",
+}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from queixa.fixed_values import NO_VALUE
+
 
 def round_half_even(c: Column, places: int) -> Column:
     """Scale, round half to even, unscale: the rule behind every stored percentage."""
@@ -46,7 +48,7 @@ def one_decimal_percent(fraction: Column) -> Column:
 def signed_percent(fraction: Column) -> Column:
     """`0.049` as `+4.9%`, a missing value as `--`."""
     rounded = round_half_away(fraction * 100, 1)
-    return F.when(fraction.isNull(), F.lit("--")).otherwise(
+    return F.when(fraction.isNull(), F.lit(NO_VALUE)).otherwise(
         F.concat(
             F.when(rounded > 0, F.lit("+")).when(rounded < 0, F.lit("-")).otherwise(F.lit("")),
             F.format_string("%.1f%%", F.abs(rounded)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from queixa.fixed_values import DEFAULT_SUBSCRIBERS_MILLIONS
+from queixa.fixed_values import CLAIMS, DEFAULT_SUBSCRIBERS_MILLIONS, REASON_WORDS
 from queixa.functions.numbers import per_100k, ratio, round_half_away, round_half_even
 from queixa.operators.aggregates import (
     arg_max, resolution_by, spread_and_mean, total, volume_by,
@@ -60,38 +60,38 @@ def _tenth(value: Column) -> Column:
     return F.format_string("%.1f", round_half_away(value, 1))
 
 
-def _verdict(df: DataFrame, code: str, claim: str, result: Column, holds: Column) -> DataFrame:
+def _verdict(df: DataFrame, code: str, result: Column, holds: Column, **terms) -> DataFrame:
     return df.select(
-        F.lit(code).alias("hipotese"), F.lit(claim).alias("descricao"),
+        F.lit(code).alias("hipotese"), F.lit(CLAIMS[code].format(**terms)).alias("descricao"),
         result.alias("resultado"), F.coalesce(holds, F.lit(False)).alias("confirmada"))
 
 
 def verdict_concentration(frame: DataFrame, k: int = 3, above: float = 70.0) -> DataFrame:
     top = first_k(concentration_by_operator(frame), k, F.desc("volume"), "operadora")
     held = top.agg(F.sum("share_pct").alias("s"))
-    return _verdict(held, "H1", f"Top {k} operadoras > {above:.0f}% das reclamacoes",
-                    F.concat(F.lit(f"Top {k} = "), _tenth(F.col("s")), F.lit("%")), F.col("s") > above)
+    return _verdict(held, "H1", F.concat(F.lit(f"Top {k} = "), _tenth(F.col("s")), F.lit("%")),
+                    F.col("s") > above, k=k, above=above)
 
 
-def verdict_reason(frame: DataFrame, words: tuple[str, ...] = ("velocidade", "internet")) -> DataFrame:
+def verdict_reason(frame: DataFrame, words: tuple[str, ...] = REASON_WORDS) -> DataFrame:
     first = first_k(volume_by_reason(frame), 1, F.desc("volume"), "categoria")
     mentions = F.lit(False)
     for word in words:
         mentions = mentions | F.lower("categoria").contains(word)
-    return _verdict(first, "H2", f"{words[0].capitalize()} e motivo mais frequente (SCM)",
-                    F.concat("categoria", F.lit(" ("), _tenth(F.col("share_pct")), F.lit("%)")), mentions)
+    result = F.concat("categoria", F.lit(" ("), _tenth(F.col("share_pct")), F.lit("%)"))
+    return _verdict(first, "H2", result, mentions)
 
 
 def verdict_resolution(frame: DataFrame, at_least: float = 20.0) -> DataFrame:
     gap = spread_and_mean(resolution_by_operator(frame), "taxa_resolucao")
-    return _verdict(gap, "H3", f"Taxa resolucao varia >= {at_least:.0f}pp entre operadoras",
-                    F.concat(F.lit("Gap = "), _tenth(F.col("gap")), F.lit("pp")), F.col("gap") >= at_least)
+    return _verdict(gap, "H3", F.concat(F.lit("Gap = "), _tenth(F.col("gap")), F.lit("pp")),
+                    F.col("gap") >= at_least, at_least=at_least)
 
 
 def verdict_quarter(frame: DataFrame, expected: str = "T1") -> DataFrame:
     peak = arg_max(volume_by_quarter(frame), "trimestre", "volume")
-    return _verdict(peak, "H4", f"Pico de reclamacoes no {expected} (jan-mar)",
-                    F.concat(F.lit("Pico em "), F.col("trimestre")), F.col("trimestre") == expected)
+    return _verdict(peak, "H4", F.concat(F.lit("Pico em "), F.col("trimestre")),
+                    F.col("trimestre") == expected, quarter=expected)
 
 
 def verdict_region(frame: DataFrame, expected: str = "Sudeste") -> DataFrame:
@@ -101,9 +101,8 @@ def verdict_region(frame: DataFrame, expected: str = "Sudeste") -> DataFrame:
     held = regions.agg(
         F.coalesce(F.sum(F.when(mine, F.col("share_pct"))), F.lit(0.0)).alias("s"),
         F.max(F.when(mine, F.col("volume"))).alias("v"), F.max("volume").alias("m"))
-    return _verdict(held, "H5", f"{expected} domina volume absoluto",
-                    F.concat(F.lit(f"{expected}: "), _tenth(F.col("s")), F.lit("%")),
-                    F.col("v") == F.col("m"))
+    return _verdict(held, "H5", F.concat(F.lit(f"{expected}: "), _tenth(F.col("s")), F.lit("%")),
+                    F.col("v") == F.col("m"), region=expected)
 
 
 HYPOTHESIS_KEYS = ["operadora", "categoria", "regiao", "trimestre", "status"]

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from queixa.fixed_values import (
-    DEFAULT_SUBSCRIBERS_MILLIONS, HHI_SCALE, RISK_WEIGHTS, SUBSCRIBERS,
+    DEFAULT_SUBSCRIBERS_MILLIONS, HEADLINE_METRICS, HHI_SCALE, RISK_WEIGHTS, SUBSCRIBERS,
 )
 from queixa.functions.numbers import per_100k, ratio, round_half_even
 from queixa.operators.aggregates import answered, resolution_by, total, volume_and_total_by, volume_by
@@ -59,21 +59,12 @@ def kpis_consolidado(frame: DataFrame) -> DataFrame:
     def day(name: str) -> Column:
         return F.coalesce(F.date_format(name, "dd/MM/yyyy"), F.lit("-"))
 
-    rows = [
-        ("Total Reclamações", F.col("n"), "reclamações"),
-        ("Taxa de Resolução", rate, "%"),
-        ("Pendentes", F.col("n") - F.col("r"), "reclamações"),
-        ("Operadoras Monitoradas", F.col("ops"), "operadoras"),
-        ("Estados Cobertos", F.col("ufs"), "UFs"),
-        ("Motivos Distintos", F.col("reasons"), "motivos"),
-        ("HHI Concentração", F.rint("hhi"), "pontos (max 10.000)"),
-        ("Período Início", day("first"), "data"),
-        ("Período Fim", day("last"), "data"),
-    ]
+    values = [F.col("n"), rate, F.col("n") - F.col("r"), F.col("ops"), F.col("ufs"), F.col("reasons"),
+              F.rint("hhi"), day("first"), day("last")]
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("metrica"), value.cast("string").alias("valor"),
                  F.lit(unit).alias("unidade"))
-        for name, value, unit in rows])))
+        for (name, unit), value in zip(HEADLINE_METRICS, values, strict=True)])))
 
 
 def with_subscriber_base(

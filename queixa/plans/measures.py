@@ -14,8 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from queixa.fixed_values import (
-    ANSWERED, FIXED_SERVICE, HHI_SCALE, MOBILE_SERVICE, PENDING, RESOLUTION_TARGET, RISK_WEIGHTS,
-    UNDER_REVIEW,
+    ANOMALY_DEVIATIONS, ANSWERED, CRITICAL_CHANGE, FIXED_SERVICE, HHI_CLASSES, HHI_COMPETITIVE_BELOW,
+    HHI_CONCENTRATED_UP_TO, HHI_SCALE, MOBILE_SERVICE, NEAR_OVERALL_RATE, NO_VALUE, PENDING, RATE_BANDS,
+    RESOLUTION_TARGET, RISK_BANDS, RISK_WEIGHTS, SCORE_LOW_UP_TO, SCORE_MIDDLE_UP_TO, SENTENCE, SEVERAL,
+    STABLE_CHANGE, TARGET_BANDS, UNDER_REVIEW,
 )
 from queixa.functions.dates import index_year, month_name
 from queixa.functions.numbers import (
@@ -73,12 +75,19 @@ class Measure:
 
 
 def _bands(*cases: tuple[Column, str], otherwise: str) -> Column:
+    """The label of the first case that holds."""
     choice = F.when(cases[0][0], F.lit(cases[0][1]))
     for condition, text in cases[1:]:
         choice = choice.when(condition, F.lit(text))
     return choice.otherwise(F.lit(otherwise))
 
 
+def _at_least(value: str, bands: Sequence[tuple[float | None, object]]) -> Column:
+    """The label of the highest band whose lower bound the value reaches."""
+    *bounded, (_, rest) = bands
+    return _bands(*[(C(value) >= bound, text) for bound, text in bounded], otherwise=rest)
+
+
 def _change(now: str, before: str) -> Callable[[Context], Column]:
     return lambda ctx: ratio(C(now) - C(before), C(before))
 
@@ -93,19 +102,16 @@ def _risk_score(ctx: Context) -> Column:
 
 
 def _executive_sentence(ctx: Context) -> Column:
-    mom = C("var_mom")
-    trend = (F.when(mom.isNull(), F.lit("sem base de comparação mensal"))
-             .when(mom > 0.05, F.concat(F.lit("com volume em ALTA de "), one_decimal_percent(mom),
-                                        F.lit(" no mês (atenção)")))
-             .when(mom < -0.05, F.concat(F.lit("com volume em QUEDA de "),
-                                         one_decimal_percent(F.abs(mom)), F.lit(" no mês")))
-             .otherwise(F.lit("com volume estável no mês")))
+    mom, said = C("var_mom"), {name: F.lit(text) for name, text in SENTENCE.items()}
+    trend = (F.when(mom.isNull(), said["no_base"])
+             .when(mom > STABLE_CHANGE, F.concat(said["up"], one_decimal_percent(mom), said["up_end"]))
+             .when(mom < -STABLE_CHANGE, F.concat(
+                 said["down"], one_decimal_percent(F.abs(mom)), said["down_end"]))
+             .otherwise(said["stable"]))
     return F.concat(
-        C("operadora_lider"), F.lit(" lidera as reclamações ("), one_decimal_percent(C("share_lider")),
-        F.lit(" do total), "), trend, F.lit(". Taxa de resolução em "),
-        one_decimal_percent(C("taxa_resolucao")), F.lit(" e mercado "), F.lower("classe_hhi"),
-        F.lit(" (HHI "), thousands(C("hhi")), F.lit("). Maior concentração geográfica: "),
-        F.coalesce(C("pior_estado"), F.lit("")), F.lit("."))
+        C("operadora_lider"), said["leader"], one_decimal_percent(C("share_lider")), said["of_total"], trend,
+        said["rate"], one_decimal_percent(C("taxa_resolucao")), said["market"], F.lower("classe_hhi"),
+        said["index"], thousands(C("hhi")), said["place"], F.coalesce(C("pior_estado"), F.lit("")), said["end"])
 
 
 def _title(ctx: Context) -> Column:
@@ -126,12 +132,8 @@ MEASURES: dict[str, Measure] = {
     "taxa_resolucao": Measure(("respondidas", "total"), lambda ctx: ratio_or_zero(C("respondidas"), C("total"))),
     "gap_meta": Measure(("taxa_resolucao",), lambda ctx: C("taxa_resolucao") - RESOLUTION_TARGET),
     "taxa_texto": Measure(("taxa_resolucao",), lambda ctx: F.concat(
-        one_decimal_percent(C("taxa_resolucao")),
-        _bands((C("taxa_resolucao") >= 0.8, " OK"), (C("taxa_resolucao") >= 0.6, " Atenção"),
-               otherwise=" Crítico"))),
-    "status_meta": Measure(("gap_meta",), lambda ctx: _bands(
-        (C("gap_meta") >= 0.10, "Superou"), (C("gap_meta") >= 0, "Atingiu"),
-        (C("gap_meta") >= -0.10, "Abaixo"), otherwise="Critico")),
+        one_decimal_percent(C("taxa_resolucao")), _at_least("taxa_resolucao", RATE_BANDS))),
+    "status_meta": Measure(("gap_meta",), lambda ctx: _at_least("gap_meta", TARGET_BANDS)),
     # time
     "var_mom": Measure(("total", "mes_anterior"), _change("total", "mes_anterior")),
     "var_yoy": Measure(("total", "ano_anterior"), _change("total", "ano_anterior")),
@@ -154,23 +156,23 @@ MEASURES: dict[str, Measure] = {
     "share_operadora": Measure(("total", "_operadoras"), lambda ctx: ratio_or_zero(C("total"), C("_operadoras"))),
     "share_texto": Measure(("share_operadora",), lambda ctx: one_decimal_percent(C("share_operadora"))),
     "classe_hhi": Measure(("hhi",), lambda ctx: _bands(
-        (C("hhi") < 1500, "Competitivo"), (C("hhi") <= 2500, "Concentrado"),
-        otherwise="Altamente Concentrado")),
+        (C("hhi") < HHI_COMPETITIVE_BELOW, HHI_CLASSES[0]), (C("hhi") <= HHI_CONCENTRATED_UP_TO, HHI_CLASSES[1]),
+        otherwise=HHI_CLASSES[2])),
     # risk
     "score_risco": Measure(("total", "taxa_resolucao", "_par_operadoras", "_par_por_100k"), _risk_score, "operadora"),
-    "rating_risco": Measure(("score_risco",), lambda ctx: _bands(
-        (C("score_risco").isNull(), "--"), (C("score_risco") >= 0.75, "Alto Risco"),
-        (C("score_risco") >= 0.50, "Risco Elevado"), (C("score_risco") >= 0.25, "Risco Moderado"),
-        otherwise="Baixo Risco")),
-    "ordinal_risco": Measure(("score_risco",), lambda ctx: F.when(C("score_risco").isNull(), 0)
-                             .when(C("score_risco") >= 0.75, 4).when(C("score_risco") >= 0.50, 3)
-                             .when(C("score_risco") >= 0.25, 2).otherwise(1)),
+    "rating_risco": Measure(("score_risco",), lambda ctx: F.coalesce(
+        F.when(C("score_risco").isNotNull(), _at_least("score_risco", RISK_BANDS)), F.lit(NO_VALUE))),
+    # The same bands as numbers: 4 for the highest, 0 where there is no score.
+    "ordinal_risco": Measure(("score_risco",), lambda ctx: F.when(C("score_risco").isNull(), 0).otherwise(
+        _at_least("score_risco", [(bound, 4 - i) for i, (bound, _) in enumerate(RISK_BANDS)]))),
     "faixa_score": Measure(("score_risco",), lambda ctx: _bands(
-        (C("score_risco") <= 0.30, "baixo"), (C("score_risco") <= 0.45, "medio"), otherwise="alto")),
+        (C("score_risco") <= SCORE_LOW_UP_TO, "baixo"), (C("score_risco") <= SCORE_MIDDLE_UP_TO, "medio"),
+        otherwise="alto")),
     "flag_anomalia": Measure(("z_mensal",), lambda ctx: F.when(C("z_mensal").isNotNull(), _bands(
-        (C("z_mensal") > 2, "alta"), (C("z_mensal") < -2, "baixa"), otherwise="normal"))),
+        (C("z_mensal") > ANOMALY_DEVIATIONS, "alta"), (C("z_mensal") < -ANOMALY_DEVIATIONS, "baixa"),
+        otherwise="normal"))),
     "flag_piora_mom": Measure(("var_mom", "var_mom_setor"), lambda ctx: _bands(
-        (C("var_mom").isNull(), "--"), (C("var_mom") > 0.15, "Crítico"),
+        (C("var_mom").isNull(), NO_VALUE), (C("var_mom") > CRITICAL_CHANGE, "Crítico"),
         (C("var_mom") > C("var_mom_setor"), "Piora"), otherwise="Estável")),
     "direcao_mom": Measure(("var_mom",), lambda ctx: _bands((C("var_mom") > 0, "alta"), otherwise="baixa")),
     # category and geography
@@ -187,11 +189,11 @@ MEASURES: dict[str, Measure] = {
     "sumario_operadora": Measure(("total", "taxa_resolucao"), lambda ctx: F.concat(
         C("operadora"), F.lit(": "), thousands(C("total")), F.lit(" reclamações, "),
         one_decimal_percent(C("taxa_resolucao")), F.lit(" resolvidas")), "operadora"),
-    "taxa_vs_geral": Measure(
-        ("taxa_resolucao", "_selecionadas", "_selecionadas_respondidas"), lambda ctx: _bands(
-            (C("taxa_resolucao") - ratio_or_zero(C("_selecionadas_respondidas"), C("_selecionadas")) > 0.02, "acima"),
-            (C("taxa_resolucao") - ratio_or_zero(C("_selecionadas_respondidas"), C("_selecionadas")) < -0.02, "abaixo"),
-            otherwise="na faixa")),
+    "_taxa_geral": Measure(("_selecionadas", "_selecionadas_respondidas"), lambda ctx: ratio_or_zero(
+        C("_selecionadas_respondidas"), C("_selecionadas"))),
+    "taxa_vs_geral": Measure(("taxa_resolucao", "_taxa_geral"), lambda ctx: _bands(
+        (C("taxa_resolucao") - C("_taxa_geral") > NEAR_OVERALL_RATE, "acima"),
+        (C("taxa_resolucao") - C("_taxa_geral") < -NEAR_OVERALL_RATE, "abaixo"), otherwise="na faixa")),
     # data quality
     "pct_nao_identificado": Measure(("nao_identificadas", "total_geral"), lambda ctx: ratio(
         C("nao_identificadas"), C("total_geral"))),
@@ -312,13 +314,13 @@ def _market(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
 
 
 def _worst_state(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
-    """The state with most complaints per cell without its state axis; "Múltiplos" on a tie."""
+    """The state with most complaints per cell without its state axis; the word for several on a tie."""
     rest = ctx.axes_without(STATE)
     members = cube.groupBy(*rest, "estado").agg(
         F.sum(F.when(ctx.passes(STATE), C("qtd"))).alias("v"))
     first = members.withColumn("r", rank_with_gaps(F.coalesce(C("v"), F.lit(0)), *rest)).where("r = 1")
     return rest, first.groupBy(*rest).agg(
-        single_or(F.lit("Múltiplos"), C("estado")).alias("pior_estado"))
+        single_or(F.lit(SEVERAL), C("estado")).alias("pior_estado"))
 
 
 def _subscribers(ctx: Context, filters: Mapping[str, Sequence]) -> tuple[list[str], DataFrame]:
@@ -372,6 +374,10 @@ def evaluate(
         needed = MEASURES[name].axis if name in MEASURES else None
         if needed and needed not in ctx.axes:
             raise ValueError(f"{name} needs the axis {needed}")
+    off_month = CALENDAR & set(ctx.axes) - {"mes_idx"}
+    shifted = set(ordered) & (set(TIME) - {"media_mensal", "z_mensal"})
+    if off_month and shifted:
+        raise ValueError(f"{', '.join(sorted(shifted))}: take the month axis or no calendar axis")
     known = quantities(star)
     sums = {name: known[name] for name in ordered if name in known}
     names = set(ordered)

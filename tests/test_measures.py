@@ -200,6 +200,9 @@ def test_bad_requests_are_refused(spark):
         evaluate(s, ["regiao"], ["score_risco"])
     with pytest.raises(ValueError, match="month axis"):
         evaluate(s, ["ano", "mes_idx"], ["total"])
+    with pytest.raises(ValueError, match="month axis or no calendar axis"):
+        evaluate(s, ["ano"], ["var_yoy"])
+    assert evaluate(s, ["ano"], ["total", "media_mensal"]).count() == 1
 
 
 def test_catalogue_is_complete(spark):
