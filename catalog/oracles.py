@@ -273,19 +273,43 @@ ORACLES["kpi_files"] = dirty(
     {pct('sum(qtd)', '(SELECT count(*) FROM leve)')} AS share_pct,
     rank() OVER (PARTITION BY operadora ORDER BY sum(qtd) DESC) AS ranking FROM leve GROUP BY 1, 2""")
 
+_STORED = f"""e AS (SELECT o.nome AS operadora, o.grupo_economico AS grupo, u.sigla AS uf, u.regiao, t.categoria, f.status,
+    sigla_servico AS servico, data_abertura AS dia, CAST(1 AS BIGINT) AS qtd FROM {STAR_JOIN})"""
+_BASE = "CASE operadora " + " ".join(f"WHEN '{b}' THEN {n}" for b, n in SUBSCRIBERS) + " END"
+ORACLES["stored_star_states"] = dirty(
+    *STAR, _STORED, f"""SELECT uf, regiao, CAST(sum(x) AS BIGINT) AS total, {r6('sum(x) / sum(sum(x)) OVER ()')} AS share_uf,
+    {r6("coalesce(sum(CASE WHEN status = 'Respondida' THEN x END) / sum(x), 0)")} AS taxa_resolucao
+    FROM (SELECT uf, regiao, status, qtd AS x FROM e WHERE operadora IN ('CLARO', 'VIVO') AND servico = 'SCM') GROUP BY 1, 2""")
+ORACLES["stored_star_panel"] = dirty(
+    *STAR, _STORED, f"""a AS (SELECT operadora, grupo, sum(qtd) AS n, coalesce({sum_if("status = 'Respondida'")} / sum(qtd), 0) AS taxa,
+    {sum_if("status <> 'Respondida'")} AS aberto, sum(qtd) / ({_BASE} / 100000) AS p100k
+    FROM e WHERE regiao IN ('Sudeste', 'Norte') GROUP BY 1, 2)""",
+    f"""b AS (SELECT *, {half_away('(n / max(n) OVER () * 0.40 + (1 - taxa) * 0.35 + coalesce(p100k / max(p100k) OVER (), 0) * 0.25)', 4)} AS score FROM a)""",
+    f"""SELECT operadora, grupo, CAST(n AS BIGINT) AS total, {r6('n / sum(n) OVER ()')} AS share_operadora, {r6('taxa')} AS taxa_resolucao,
+    aberto AS em_aberto, {r6('p100k')} AS por_100k, {r6('score')} AS score_risco,
+    CASE WHEN score >= 0.75 THEN 'Alto Risco' WHEN score >= 0.5 THEN 'Risco Elevado' WHEN score >= 0.25 THEN 'Risco Moderado'
+    ELSE 'Baixo Risco' END AS rating_risco FROM b""")
+
 # --- KPI tables
-ORACLES["kpi_consolidated"] = over(
-    f"t AS (SELECT {N} AS n, {RESP} AS r, count(DISTINCT operadora) AS ops, count(DISTINCT uf) AS ufs, "
-    "count(DISTINCT categoria) AS mot, min(dia) AS d0, max(dia) AS d1 FROM v)",
-    "h AS (SELECT sum((x / (SELECT n FROM t)) * (x / (SELECT n FROM t))) * 10000 AS hhi FROM "
-    "(SELECT CAST(sum(qtd) AS DOUBLE) AS x FROM v WHERE operadora IS NOT NULL GROUP BY operadora))",
-    f"""SELECT unnest(['Total Reclamações', 'Taxa de Resolução', 'Pendentes', 'Operadoras Monitoradas',
-    'Estados Cobertos', 'Motivos Distintos', 'HHI Concentração', 'Período Início', 'Período Fim']) AS metrica,
-    unnest([CAST(n AS VARCHAR), CAST({pct('r', 'n')} AS VARCHAR), CAST(n - r AS VARCHAR), CAST(ops AS VARCHAR),
-    CAST(ufs AS VARCHAR), CAST(mot AS VARCHAR), CAST(round_even(hhi, 0) AS VARCHAR),
-    strftime(d0, '%d/%m/%Y'), strftime(d1, '%d/%m/%Y')]) AS valor,
-    unnest(['reclamações', '%', 'reclamações', 'operadoras', 'UFs', 'motivos', 'pontos (max 10.000)', 'data', 'data'])
-    AS unidade FROM t, h""")
+
+
+def _headlines(source: str) -> list[str]:
+    return [
+        f"t AS (SELECT {N} AS n, {RESP} AS r, count(DISTINCT operadora) AS ops, count(DISTINCT uf) AS ufs, "
+        f"count(DISTINCT categoria) AS mot, min(dia) AS d0, max(dia) AS d1 FROM {source})",
+        "h AS (SELECT sum((x / (SELECT n FROM t)) * (x / (SELECT n FROM t))) * 10000 AS hhi FROM "
+        f"(SELECT CAST(sum(qtd) AS DOUBLE) AS x FROM {source} WHERE operadora IS NOT NULL GROUP BY operadora))",
+        f"""SELECT unnest(['Total Reclamações', 'Taxa de Resolução', 'Pendentes', 'Operadoras Monitoradas',
+        'Estados Cobertos', 'Motivos Distintos', 'HHI Concentração', 'Período Início', 'Período Fim']) AS metrica,
+        unnest([CAST(n AS VARCHAR), CAST({pct('r', 'n')} AS VARCHAR), CAST(n - r AS VARCHAR), CAST(ops AS VARCHAR),
+        CAST(ufs AS VARCHAR), CAST(mot AS VARCHAR), CAST(round_even(hhi, 0) AS VARCHAR),
+        strftime(d0, '%d/%m/%Y'), strftime(d1, '%d/%m/%Y')]) AS valor,
+        unnest(['reclamações', '%', 'reclamações', 'operadoras', 'UFs', 'motivos', 'pontos (max 10.000)', 'data', 'data'])
+        AS unidade FROM t, h"""]
+
+
+ORACLES["stored_star_kpis"] = dirty(*STAR, _STORED, *_headlines("e"))
+ORACLES["kpi_consolidated"] = over(*_headlines("v"))
 
 
 def _minmax(x: str) -> str:

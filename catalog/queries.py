@@ -203,6 +203,29 @@ def etl_from_files(spark, sf_dir):
     return read_star(spark, stored).cube(["ano", "operadora", "regiao", "categoria", "status", "servico"])
 
 
+def _stored_star(spark, sf_dir):
+    stored = os.path.join(shared_folder(spark), f"estrela-{uuid.uuid4().hex}")
+    return run_etl(raw_files(spark, sf_dir), stored)
+
+
+@query
+def stored_star_states(spark, sf_dir):
+    """A report over the stored star: filters reach it as keys, labels come after the sums."""
+    return datasets.dataset(_stored_star(spark, sf_dir), "state_detail",
+                            {"operadora": ["CLARO", "VIVO"], "servico": ["SCM"]})
+
+
+@query
+def stored_star_panel(spark, sf_dir):
+    return datasets.dataset(_stored_star(spark, sf_dir), "operator_panel", {"regiao": ["Sudeste", "Norte"]})
+
+
+@query
+def stored_star_kpis(spark, sf_dir):
+    """The headline table from a cube of the stored star."""
+    return kpis.kpis_consolidado(_stored_star(spark, sf_dir).cube(["operadora", "uf", "categoria", "status", "dia"]))
+
+
 @query
 def kpi_files(spark, sf_dir):
     """Files without a stored star, KPI tables written as CSV, one of them read back."""

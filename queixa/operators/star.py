@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from queixa.fixed_values import UNIDENTIFIED
 from queixa.functions.dates import TIME_COLUMNS
+from queixa.operators.dimensions import subscribers_of
 
 
 @dataclass(frozen=True)
@@ -27,6 +29,9 @@ class Dimension:
     key: str
     columns: tuple[str, ...]
     starts_from: Callable[[], DataFrame] | None = None
+    # Few members (brands, states, complaint types): a cube sums the fact per key first and
+    # looks the labels up afterwards, so the fact itself is neither joined nor shuffled.
+    compact: bool = False
 
     def lookup(self, columns: Sequence[str]) -> DataFrame:
         """Key and wanted columns, marked for broadcast only if measured to be small."""
@@ -69,18 +74,51 @@ class Star:
         joins on a unique key, so leaving one out never changes the row count.
         """
         columns = list(dict.fromkeys(columns))
+        return self._rows(columns, where, years).select(*columns, "qtd")
+
+    def cube(
+        self, columns: Iterable[str], where: Mapping[str, Sequence] | None = None,
+        years: tuple[int, int] | None = None,
+    ) -> DataFrame:
+        """`qtd` summed per combination of `columns`: the one pass over the fact from which
+        a query's other steps start. Its size follows the number of labels, not of complaints."""
+        columns = list(dict.fromkeys(columns))
+        held = set(self.fact.columns)
+        late = {name: [c for c in columns if c in d.columns and c not in held]
+                for name, d in self.dimensions.items() if d.compact}
+        late = {name: labels for name, labels in late.items() if labels}
+        labels = {c for found in late.values() for c in found}
+        keys = [c for c in columns if c not in labels] + [self.dimensions[name].key for name in late]
+        sums = self._rows(keys, where, years).groupBy(*keys).agg(F.sum("qtd").alias("qtd"))
+        for name, found in late.items():
+            sums = sums.join(self.dimensions[name].lookup(found), self.dimensions[name].key, "left")
+        return sums.groupBy(*columns).agg(F.sum("qtd").alias("qtd")) if late else sums
+
+    def _rows(
+        self, columns: Sequence[str], where: Mapping[str, Sequence] | None, years: tuple[int, int] | None
+    ) -> DataFrame:
+        """The fact with at least `columns`, filtered."""
         where = {name: list(values) for name, values in (where or {}).items() if values}
         if where.get("ano") and years is None:
             years = (min(where["ano"]), max(where["ano"]))
-        wanted = list(dict.fromkeys([*columns, *where]))
         df, available = self.fact, set(self.fact.columns)
-        derived = [c for c in wanted if c not in available and c in TIME_COLUMNS]
         if years is not None:
             if "ano" in available:  # the stored fact is split by year
                 df = df.where(F.col("ano").between(*years))
             elif "dia" in available:  # a range on the day reaches the scan, a year() would not
                 first, last = (F.lit(day).cast("date") for day in (f"{years[0]}-01-01", f"{years[1]}-12-31"))
                 df = df.where(F.col("dia").between(first, last))
+        # A filter on a dimension none of whose columns is shown keeps the keys that pass it.
+        for dimension in self.dimensions.values():
+            tested = [c for c in where if c in dimension.columns and c not in available]
+            shown = (set(dimension.columns) - available) & set(columns)
+            if tested and not shown:
+                members = dimension.lookup(tested)
+                for name in tested:
+                    members = members.where(F.col(name).isin(where.pop(name)))
+                df = df.join(members.select(dimension.key), dimension.key, "left_semi")
+        wanted = list(dict.fromkeys([*columns, *where]))
+        derived = [c for c in wanted if c not in available and c in TIME_COLUMNS]
         sources = [c for c in wanted if c not in derived] + (["dia"] if derived else [])
         for dimension in self.dimensions.values():
             supplied = [c for c in dimension.columns if c in sources and c not in available]
@@ -93,45 +131,36 @@ class Star:
             raise ValueError(f"unknown columns: {', '.join(missing)}")
         for name, values in where.items():
             df = df.where(F.col(name).isin(values))
-        return df.select(*columns, "qtd")
-
-    def cube(
-        self, columns: Iterable[str], where: Mapping[str, Sequence] | None = None,
-        years: tuple[int, int] | None = None,
-    ) -> DataFrame:
-        """`qtd` summed per combination of `columns`: the one pass over the fact from which
-        a query's other steps start. Its size follows the number of labels, not of complaints."""
-        columns = list(dict.fromkeys(columns))
-        return self.frame(columns, where, years).groupBy(*columns).agg(F.sum("qtd").alias("qtd"))
+        return df
 
 
 def star_of(
-    tables: Mapping[str, DataFrame], subscribers: Column | None = None, unidentified: str | None = None
+    tables: Mapping[str, DataFrame], subscribers: Column | None = None, unidentified: str = UNIDENTIFIED
 ) -> Star:
-    """The star over the five stored tables, under the names queries use."""
-    from queixa.fixed_values import UNIDENTIFIED
-    from queixa.operators.dimensions import subscribers_of
+    """The star over the five stored tables, under the names queries use.
 
-    fact = tables["fato_reclamacoes"].withColumnRenamed("sigla_servico", "servico")
+    The calendar is numbered from its first day without gaps, so a day follows from its key.
+    """
+    calendar = tables["dim_calendario"].select("data")
+    first_day = calendar.select(F.min("data")).scalar()
+    fact = (tables["fato_reclamacoes"].withColumnRenamed("sigla_servico", "servico")
+            .withColumn("dia", F.date_add(first_day, F.col("id_data") - 1)))
     operators = tables["dim_operadora"].select(
         "id_operadora", F.col("nome").alias("operadora"), "porte",
         F.col("grupo_economico").alias("grupo"))
     states = tables["dim_uf"].select(
         "id_uf", F.col("sigla").alias("uf"), F.col("nome").alias("estado"), "regiao")
-    days = tables["dim_calendario"]
+    types = tables["dim_tipo_reclamacao"]
+    base = subscribers if subscribers is not None else subscribers_of(F.col("operadora"))
     return Star(
         fact=fact,
         dimensions={
-            "operadora": Dimension(lambda columns: operators, "id_operadora", ("operadora", "porte", "grupo")),
-            "uf": Dimension(lambda columns: states, "id_uf", ("uf", "estado", "regiao")),
-            "tipo": Dimension(
-                lambda columns: tables["dim_tipo_reclamacao"], "id_tipo", ("categoria", "subcategoria")),
-            "calendario": Dimension(
-                lambda columns: days.select("id_data", F.col("data").alias("dia")), "id_data", ("dia",)),
+            "operadora": Dimension(
+                lambda columns: operators, "id_operadora", ("operadora", "porte", "grupo"), compact=True),
+            "uf": Dimension(lambda columns: states, "id_uf", ("uf", "estado", "regiao"), compact=True),
+            "tipo": Dimension(lambda columns: types, "id_tipo", ("categoria", "subcategoria"), compact=True),
         },
-        calendar=lambda: days.select("data"),
-        operators=lambda: operators.withColumn(
-            "assinantes",
-            subscribers if subscribers is not None else subscribers_of(F.col("operadora"))),
-        unidentified=unidentified or UNIDENTIFIED,
+        calendar=lambda: calendar,
+        operators=lambda: operators.withColumn("assinantes", base),
+        unidentified=unidentified,
     )

@@ -119,6 +119,17 @@ def test_etl_round_trip(spark, raw, raw_folder, tmp_path):
     assert "In(nome, [CLARO,VIVO])" in plan or "In(nome, [VIVO,CLARO])" in plan
 
 
+def test_cube_sums_per_key_before_looking_up_labels(spark, raw, tmp_path):
+    star = run_etl(raw, str(tmp_path / "estrela"))
+    columns, where = ["operadora", "regiao", "ano_mes"], {"categoria": ["Velocidade"], "ano": [2022, 2023]}
+    cube = star.cube(columns, where)
+    expected = star.frame(columns, where).groupBy(*columns).agg(F.sum("qtd").alias("qtd"))
+    assert sorted(map(tuple, cube.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    plan = executed_plan(cube)
+    # Below the label lookups, the fact only meets the keys that pass the filter.
+    assert plan.index("LeftSemi") > plan.rindex("LeftOuter") and "partial_sum" in plan[plan.rindex("LeftOuter"):plan.index("LeftSemi")]
+
+
 def test_csv_star_with_byte_order_mark(spark, raw, tmp_path):
     stored = str(tmp_path / "estrela")
     run_etl(raw, stored)
