@@ -432,6 +432,9 @@ ORACLES["spine_slope"] = over(
     f"""SELECT k.uf, {r6('regr_slope(CAST(coalesce(x.n, 0) AS DOUBLE), CAST(s.m AS DOUBLE))')} AS inclinacao
     FROM (SELECT DISTINCT uf FROM v) k CROSS JOIN (SELECT unnest(range((SELECT min(m) FROM v), (SELECT max(m) + 1 FROM v))) AS m) s
     LEFT JOIN (SELECT uf, m, sum(qtd) AS n FROM v GROUP BY ALL) x ON x.uf = k.uf AND x.m = s.m GROUP BY 1""")
+ORACLES["hhi_operator_and_state"] = over(" UNION ALL ".join(
+    f"SELECT {r6('sum(s * s) * 10000')} AS hhi, '{k}' AS eixo FROM (SELECT sum(qtd) / sum(sum(qtd)) OVER () AS s FROM v "
+    f"WHERE {k} IS NOT NULL GROUP BY {k})" for k in ("operadora", "uf")))
 ORACLES["pair_distinct"] = "SELECT DISTINCT p_type AS categoria, p_brand AS subcategoria FROM part"
 ORACLES["top3_states_with_ties"] = over(
     f"SELECT regiao, uf, volume FROM (SELECT regiao, uf, {N} AS volume, rank() OVER (PARTITION BY regiao "
@@ -553,6 +556,29 @@ def _changes(keys: str, where: str, shown: str) -> str:
 
 ORACLES["month_previous_and_last_year"] = _changes("operadora", "true", "true")
 ORACLES["month_changes_filtered"] = _changes("", "regiao IN ('ASIA', 'EUROPE')", "ano = 1998")
+
+
+def _shifted_cells(keys: str, period: str, months: str) -> tuple[str, str]:
+    """Per key and period: its own total, and the totals of its months moved back by one and by twelve."""
+    def part(k: int, name: str) -> str:
+        return (f"(SELECT {keys}, {period}, {N} AS {name} FROM (SELECT x.{keys}, x.qtd, (x.m + {k} - 1) // 12 AS ano, "
+                f"((x.m + {k} - 1) % 12) // 3 + 1 AS trimestre, x.m + {k} AS mk FROM v x) "
+                f"WHERE mk IN (SELECT m FROM cal WHERE {months}) GROUP BY {keys}, {period})")
+    using = f"USING ({keys}, {period})"
+    return (f"h AS (SELECT * FROM {part(0, 'total')} LEFT JOIN {part(1, 'p')} {using} LEFT JOIN {part(12, 'y')} {using})",
+            f"total, p AS mes_anterior, y AS ano_anterior, {r6('(total - y) / nullif(y, 0)')} AS var_yoy")
+
+
+_YEARS, _YEAR_COLUMNS = _shifted_cells("operadora", "ano", "true")
+ORACLES["changes_by_year"] = over(
+    _YEARS, "s AS (SELECT ano, sum(total) AS t, sum(p) AS p FROM h GROUP BY 1)",
+    "md AS (SELECT operadora, ano, avg(x) AS media FROM (SELECT operadora, ano, m, sum(qtd) AS x FROM v GROUP BY ALL) GROUP BY 1, 2)",
+    f"""SELECT operadora, ano, {_YEAR_COLUMNS.replace('p AS', 'h.p AS')}, {r6('(total - h.p) / nullif(h.p, 0)')} AS var_mom,
+    {r6('(s.t - s.p) / nullif(s.p, 0)')} AS var_mom_setor, {r6('media')} AS media_mensal
+    FROM h JOIN s USING (ano) JOIN md USING (operadora, ano)""")
+_QUARTER_CTE, _QUARTER_COLUMNS = _shifted_cells("regiao", "ano, trimestre", "ano IN (1997, 1998)")
+ORACLES["changes_by_quarter"] = over(
+    _QUARTER_CTE, f"SELECT regiao, CAST(ano AS BIGINT) AS ano, CAST(trimestre AS BIGINT) AS trimestre, {_QUARTER_COLUMNS} FROM h")
 ORACLES["period_shift"] = over(
     f"""h AS (SELECT operadora, {N} AS total, {sum_if('m + 1 <= (SELECT m FROM fim)')} AS p,
     {sum_if('m + 12 <= (SELECT m FROM fim)')} AS y, sum(CASE WHEN m = (SELECT m FROM fim) THEN qtd END) AS l,

@@ -370,6 +370,15 @@ def spine_slope(spark, sf_dir):
     return aggregates.slope(aggregates.month_spine(months, ["uf"]), ["uf"])
 
 
+@query
+def hhi_operator_and_state(spark, sf_dir):
+    """The index operator on its own: how concentrated complaints are among operators and among states."""
+    rows = frame(spark, sf_dir, "operadora", "uf")
+    operators = aggregates.hhi(aggregates.volume_by(rows, "operadora")).withColumn("eixo", F.lit("operadora"))
+    states = aggregates.hhi(aggregates.volume_by(rows, "uf")).withColumn("eixo", F.lit("uf"))
+    return operators.unionByName(states)
+
+
 @query
 def pair_distinct(spark, sf_dir):
     """Distinct (category, subcategory) pairs of the parts on file."""
@@ -415,6 +424,10 @@ REGISTRY.update({
     "period_shift_filtered": cells(
         [], ["total", "mes_anterior", "ano_anterior", "var_mom", "mom_ultimo_mes", "ytd",
              "media_movel_3m", "media_mensal"], {"ano": [1997, 1998]}),
+    "changes_by_year": cells(
+        ["operadora", "ano"], ["total", "mes_anterior", "ano_anterior", "var_mom", "var_yoy", "var_mom_setor", "media_mensal"]),
+    "changes_by_quarter": cells(
+        ["regiao", "ano", "trimestre"], ["total", "mes_anterior", "ano_anterior", "var_yoy"], {"ano": [1997, 1998]}),
     "ytd": cells(["servico", "mes_idx"], ["total", "ytd"]),
     "moving_average_by_operator": cells(["operadora", "mes_idx"], ["total", "media_movel_3m"]),
     "mom_flag_vs_sector": cells(

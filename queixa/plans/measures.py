@@ -29,7 +29,7 @@ from queixa.operators.windows import (
     z_score,
 )
 from queixa.plans.context import (
-    CALENDAR, EVERYTHING, OPERATOR, STATE, TYPE, Context, Quantity, lifting, replacing,
+    CALENDAR, CALENDAR_OF_INDEX, EVERYTHING, OPERATOR, STATE, TYPE, Context, Quantity, lifting, replacing,
 )
 
 C = F.col
@@ -296,6 +296,37 @@ def _time_over_period(ctx: Context, names: set[str]) -> dict[str, Column]:
     return {name: values[name] for name in TIME if name in names}
 
 
+def _time_by_calendar_axis(ctx: Context, cells: DataFrame, names: set[str], sums: Sequence[str]) -> DataFrame:
+    """A year, quarter or month-of-year axis: each month also counts for the cell it would fall
+    in a month or a year later, and the cells are summed from those."""
+    calendar = [a for a in ctx.axes if a in CALENDAR]
+    needed = {"mes_anterior": 1, "setor_mes_anterior": 1, "ano_anterior": 12}
+    shifts = sorted({0, *[months for name, months in needed.items() if name in names]})
+    month, shift = C("_mes"), C("_shift")
+    moved = cells.withColumn("_shift", F.explode(F.array(*[F.lit(k) for k in shifts]))).withColumn(
+        "_mes", C("mes_idx") + shift)
+    if shifts != [0]:
+        inside = ctx.month_selected(month) & (month <= C("_limites.ultimo"))
+        moved = moved.where((shift == 0) | inside)
+    moved = moved.withColumns({a: CALENDAR_OF_INDEX[a](month) for a in calendar})
+
+    def at(months: int, value: Column) -> Column:
+        return F.when(shift == months, value)
+
+    values = {
+        "media_mensal": F.avg(at(0, C("total"))),
+        "z_mensal": F.max(F.lit(None).cast("double")),
+        "mes_anterior": F.sum(at(1, C("_serie"))), "ano_anterior": F.sum(at(12, C("_serie"))),
+    }
+    if "setor" in names:
+        chosen = F.when(ctx.month_selected(month), C("_serie_setor"))
+        values |= {"setor": F.sum(at(0, chosen)), "setor_mes_anterior": F.sum(at(1, C("_serie_setor")))}
+    return moved.groupBy(*ctx.axes).agg(
+        *[F.sum(at(0, C(name))).alias(name) for name in sums],
+        *[value.alias(name) for name, value in values.items() if name in names],
+        *([F.first("_limites").alias("_limites")] if "_limites" in names else []))
+
+
 def _market(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
     """Concentration of all operators, per cell without its operator axis."""
     rest = ctx.axes_without(OPERATOR)
@@ -374,10 +405,10 @@ def evaluate(
         needed = MEASURES[name].axis if name in MEASURES else None
         if needed and needed not in ctx.axes:
             raise ValueError(f"{name} needs the axis {needed}")
-    off_month = CALENDAR & set(ctx.axes) - {"mes_idx"}
-    shifted = set(ordered) & (set(TIME) - {"media_mensal", "z_mensal"})
-    if off_month and shifted:
-        raise ValueError(f"{', '.join(sorted(shifted))}: take the month axis or no calendar axis")
+    by_calendar = bool(CALENDAR & set(ctx.axes)) and not ctx.by_month
+    refused = set(ordered) & {"ytd", "media_movel_3m", "tendencia", "mom_ultimo_mes"}
+    if by_calendar and refused:
+        raise ValueError(f"{', '.join(sorted(refused))}: take the month axis or no calendar axis")
     known = quantities(star)
     sums = {name: known[name] for name in ordered if name in known}
     names = set(ordered)
@@ -394,13 +425,14 @@ def evaluate(
     residual = ctx.filters
 
     per_month = timed and not ctx.by_month
-    cells = cube.groupBy(*ctx.axes, *(["mes_idx"] if per_month else [])).agg(
+    grain = [*ctx.axes_without(CALENDAR), "mes_idx"] if per_month else ctx.axes
+    cells = cube.groupBy(*grain).agg(
         *[ctx.sum_of(q).alias(name) for name, q in sums.items()])
     if "_limites" in names:
         ctx.filters = {**residual, **calendar_filters}
         cells = cells.withColumn("_limites", ctx.calendar_limits().select(F.struct("*")).scalar())
     if per_month:
-        cells = cells.groupBy(*ctx.axes).agg(
+        cells = _time_by_calendar_axis(ctx, cells, names, list(sums)) if by_calendar else cells.groupBy(*ctx.axes).agg(
             *[F.sum(name).alias(name) for name in sums],
             *[value.alias(name) for name, value in _time_over_period(ctx, names).items()],
             *([F.first("_limites").alias("_limites")] if "_limites" in names else []))

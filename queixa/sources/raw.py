@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from queixa.fixed_values import COLUMN_NAMES
 
+BYTE_ORDER_MARK = "\ufeff"
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (any file system Spark can reach) can be read."""
@@ -25,14 +27,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1"
+    spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1", multi_line: bool = False
 ) -> DataFrame:
     """One delimited file or folder with a header line, all columns strings.
 
     Lines with more fields than the header are skipped; shorter ones are kept and
     padded with NULL. Spark's malformed-line mode would drop both, so the fields
     of a line are counted first (separators inside quotes do not count). Header
-    names are trimmed. One complaint per line: files stay splittable.
+    names are trimmed.
+
+    By default a complaint is one line, so that files can be split among tasks.
+    `multi_line` also reads line breaks inside quotes, one task per file; there a line
+    whose only surplus is an empty field is kept.
     """
     lines = spark.read.text(path)
     if encoding.upper() not in ("UTF-8", "UTF8"):
@@ -41,7 +47,14 @@ def read_raw_csv(
     header = lines.first()
     if header is None:
         raise ValueError(f"no header line in {path}")
-    names = [name.strip().strip('"').strip("﻿") for name in header[0].split(sep)]
+    names = [name.strip().strip('"').strip(BYTE_ORDER_MARK) for name in header[0].split(sep)]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    quoting = {"sep": sep, "quote": '"', "escape": '"'}
+    if multi_line:
+        surplus = T.StructType([*schema.fields, T.StructField("_extra", T.StringType())])
+        rows = spark.read.csv(
+            path, schema=surplus, header=True, encoding=encoding, mode="PERMISSIVE", multiLine=True, **quoting)
+        return rows.where("_extra IS NULL").drop("_extra")
     line = F.col("value")
     unquoted = F.when(
         line.contains('"'), F.regexp_replace(line, '"(?:[^"]|"")*"', "")
@@ -50,9 +63,7 @@ def read_raw_csv(
     kept = lines.where(
         (F.trim(line) != "") & (line != F.lit(header[0])) & (separators < len(names))
     )
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    parsed = F.from_csv(line, schema.toDDL(), {"sep": sep, "quote": '"', "escape": '"'})
-    return kept.select(parsed.alias("row")).select("row.*")
+    return kept.select(F.from_csv(line, schema.toDDL(), quoting).alias("row")).select("row.*")
 
 
 def canonical_columns(df: DataFrame, names: Mapping[str, str] = COLUMN_NAMES) -> DataFrame:

@@ -43,6 +43,15 @@ def test_latin1_strings_and_line_lengths(spark, tmp_path):
     assert rows["10:05"]["Detalhe_Motivo"] == 'diz "não"'
 
 
+def test_line_breaks_inside_quotes_on_request(spark, tmp_path):
+    path = write(tmp_path / "scm.csv", [
+        line(), line(hour="10:01", extra=";sobra"), line(hour="10:02", detail='"duas\nlinhas; São"'),
+        line(hour="10:03").rsplit(";", 1)[0]])
+    rows = {r["Hora_Abertura"]: r for r in read_raw_csv(spark, path, multi_line=True).collect()}
+    assert sorted(rows) == ["10:00", "10:02", "10:03"]
+    assert rows["10:02"]["Detalhe_Motivo"] == "duas\nlinhas; São" and rows["10:03"]["Sigla"] is None
+
+
 def test_headers_are_trimmed_renamed_and_may_be_absent(spark, tmp_path):
     path = write(tmp_path / "x.csv", ["05/03/2022;algo"], header=" Data_Abertura ; Outra ")
     df = canonical_columns(read_raw_csv(spark, path))

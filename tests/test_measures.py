@@ -201,8 +201,21 @@ def test_bad_requests_are_refused(spark):
     with pytest.raises(ValueError, match="month axis"):
         evaluate(s, ["ano", "mes_idx"], ["total"])
     with pytest.raises(ValueError, match="month axis or no calendar axis"):
-        evaluate(s, ["ano"], ["var_yoy"])
-    assert evaluate(s, ["ano"], ["total", "media_mensal"]).count() == 1
+        evaluate(s, ["ano"], ["ytd"])
+
+
+def test_year_and_quarter_axes_shift_whole_periods(spark):
+    s = star(spark, *month_cells(), last=dt.date(2023, 12, 31))
+    counts = [c["qtd"] for c in month_cells()]
+    got = by(evaluate(s, ["ano"], ["total", "mes_anterior", "ano_anterior", "var_yoy", "media_mensal", "flag_piora_mom"]), "ano")
+    first, second = sum(counts[:12]), sum(counts[12:])
+    assert tuple(got[2022])[:4] == (2022, first, sum(counts[:11]), None)
+    assert tuple(got[2023])[:4] == (2023, second, sum(counts[11:23]), first)
+    assert got[2023].var_yoy == pytest.approx(second / first - 1) and got[2023].media_mensal == pytest.approx(second / 12)
+    quarters = {(r.ano, r.trimestre): r for r in evaluate(
+        s, ["ano", "trimestre"], ["total", "mes_anterior", "ano_anterior"], {"ano": [2023]}).collect()}
+    assert len(quarters) == 4
+    assert tuple(quarters[2023, 1])[2:] == (sum(counts[12:15]), sum(counts[11:14]), sum(counts[:3]))
 
 
 def test_catalogue_is_complete(spark):
