@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from queixa.fixed_values import STATES
 from queixa.operators.dimensions import calendar_from_bounds
 from queixa.operators.star import Dimension, Star
+from queixa.session import size_shuffles
 
 UNIDENTIFIED = "HOUSEHOLD"
 
@@ -44,6 +45,7 @@ def complaint_star(spark: SparkSession, sf_dir: str) -> Star:
         .when(F.col("l_returnflag") == "N", "Pendente").otherwise("Em Análise").alias("status"),
         F.when(F.col("l_linestatus") == "O", "SCM").otherwise("SMP").alias("servico"),
         F.lit(1).cast("long").alias("qtd"))
+    size_shuffles(fact)
     segment = F.col("c_mktsegment")
 
     def orders() -> DataFrame:

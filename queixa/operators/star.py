@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from queixa.fixed_values import UNIDENTIFIED
 from queixa.functions.dates import TIME_COLUMNS
 from queixa.operators.dimensions import subscribers_of
+from queixa.session import measured_size
 
 
 @dataclass(frozen=True)
@@ -45,8 +46,7 @@ def measured_small(table: DataFrame, headroom: int = 4) -> bool:
     """Whether a stored table's size, with headroom for unpacked columns, is within the
     session's broadcast threshold. Reads file sizes only."""
     limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size * headroom <= limit
+    return measured_size(table) * headroom <= limit
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Stored files come out at a size that is cheap to list and to read.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # Hot join keys (a third of the fact under one key) are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Once a join's sides are shuffled and small per partition, hash instead of sorting.
@@ -30,6 +32,32 @@ def build_session(app: str = "queixa", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def measured_size(table: DataFrame) -> int:
+    """Bytes of a stored table as the planner sees them: file sizes, less the columns not read."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def stored_size(table: DataFrame) -> int:
+    """Bytes of everything stored that a table is computed from."""
+    leaves = table._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+
+
+# A task's share of a shuffle, and the number of tasks beyond which their bookkeeping costs
+# more than larger shares do.
+SHUFFLE_SHARE, MOST_SHUFFLE_TASKS = 512 * 1024**2, 32_000
+
+
+def size_shuffles(*tables: DataFrame) -> int:
+    """Start shuffles with partitions that fit the stored input; adaptive execution joins
+    the ones that turn out small, but it cannot cut 200 partitions of a hundred terabytes."""
+    conf = tables[0].sparkSession.conf
+    wanted = sum(map(stored_size, tables)) // SHUFFLE_SHARE
+    start = max(int(conf.get("spark.sql.shuffle.partitions")), min(wanted, MOST_SHUFFLE_TASKS))
+    conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
+    return start
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the cluster names in
     `spark.checkpoint.dir`. A local session that names none gets one of its own."""

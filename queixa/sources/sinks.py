@@ -15,7 +15,7 @@ from queixa.operators.fact import build_fact
 from queixa.operators.star import Star, star_of
 from queixa.plans.kpis import KPI_TABLES, kpi_cube
 from queixa.schema import STORED_FACT
-from queixa.session import write_and_read_back
+from queixa.session import size_shuffles, write_and_read_back
 
 
 def write_table(df: DataFrame, folder: str, name: str, fmt: str = "parquet") -> None:
@@ -71,6 +71,7 @@ def run_etl(raw_files: list[DataFrame], folder: str) -> Star:
     The cleaned rows are written to the shared folder because three dimensions and
     the fact all start from them.
     """
+    size_shuffles(*raw_files)
     clean = write_and_read_back(clean_files(raw_files), "limpo")
     dimensions = store_dimensions(clean, folder)
     write_star({"fato_reclamacoes": build_fact(clean, dimensions)}, folder)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from catalog.tables import complaint_star
+from queixa import session
 from queixa.operators.star import Dimension, Star
 from queixa.plans import hypotheses
 from queixa.plans.datasets import REPORTS, dataset
@@ -101,3 +102,20 @@ def test_a_hot_key_is_split(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_shuffles_are_sized_from_the_input(spark, sf_dir, monkeypatch):
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert session.size_shuffles(lineitem) == 8 == int(spark.conf.get(key))
+        monkeypatch.setattr(session, "SHUFFLE_SHARE", 2000)
+        assert session.size_shuffles(lineitem) == session.stored_size(lineitem) // 2000 > 8
+        # A join's estimate multiplies its sides; what counts is what is stored.
+        assert session.stored_size(lineitem.join(lineitem, "l_orderkey")) == 2 * session.stored_size(lineitem)
+        # Fewer columns, fewer bytes.
+        assert session.measured_size(lineitem.select("l_orderkey")) < session.measured_size(lineitem) / 4
+        monkeypatch.setattr(session, "MOST_SHUFFLE_TASKS", 9)
+        assert session.size_shuffles(lineitem) == 9
+    finally:
+        spark.conf.unset(key)
