@@ -80,6 +80,11 @@ class Context:
     def by_month(self) -> bool:
         return "mes_idx" in self.axes
 
+    @property
+    def by_period(self) -> bool:
+        """A calendar axis coarser than, or across, months."""
+        return bool(CALENDAR & set(self.axes)) and not self.by_month
+
     def axes_without(self, columns: Iterable[str]) -> list[str]:
         return [a for a in self.axes if a not in set(columns)]
 
@@ -112,17 +117,16 @@ class Context:
             return F.col(name)
         return F.sum(name).over(W.partitionBy(*rest))
 
-    def cube(self, quantities: Iterable[Quantity], extra: Iterable[str] = ()) -> DataFrame:
-        """The one grouping of the fact that a report needs."""
+    def cube(self, quantities: Iterable[Quantity], extra: Iterable[str] = ()) -> tuple[DataFrame, Context]:
+        """The one grouping of the fact that a report needs, and the context that is left over it:
+        filters that no quantity lifts are settled by the scan and need not be tested again."""
         quantities = list(quantities)
         lifted = frozenset().union(*[q.lifts_filters for q in quantities])
         pushed = {c: v for c, v in self.filters.items() if c not in lifted}
-        columns = [*self.axes, *[c for c in self.filters if c not in pushed],
-                   *[q.reads for q in quantities if q.reads], *extra]
+        left = {c: v for c, v in self.filters.items() if c in lifted}
+        columns = [*self.axes, *left, *[q.reads for q in quantities if q.reads], *extra]
         cube = self.star.cube(columns, pushed, self._years_read(quantities))
-        # The scan has settled the pushed filters; only the others are tested again.
-        self.filters = {c: v for c, v in self.filters.items() if c in lifted}
-        return cube
+        return cube, Context(self.star, self.axes, left)
 
     def _years_read(self, quantities: Sequence[Quantity]) -> tuple[int, int] | None:
         """The years a report can touch, when it selects years and no quantity reads all of time."""

@@ -354,12 +354,12 @@ def _worst_state(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
         single_or(F.lit(SEVERAL), C("estado")).alias("pior_estado"))
 
 
-def _subscribers(ctx: Context, filters: Mapping[str, Sequence]) -> tuple[list[str], DataFrame]:
+def _subscribers(ctx: Context) -> tuple[list[str], DataFrame]:
     """The subscriber base, where the operators in context share a single value."""
     keys = [a for a in ctx.axes if a in OPERATOR]
     operators = ctx.star.operators()
     if "operadora" not in keys:
-        for column, values in filters.items():
+        for column, values in ctx.filters.items():
             if column in OPERATOR:
                 operators = operators.where(C(column).isin(values))
     distinct = F.count_distinct(F.coalesce(C("assinantes"), F.lit(-1)))
@@ -390,6 +390,42 @@ def _attach(cells: DataFrame, axes: list[str], keys: list[str], side: DataFrame)
     return cells.join(renamed, same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
+def _refuse_misuse(ctx: Context, names: Sequence[str]) -> None:
+    for name in names:
+        needed = MEASURES[name].axis if name in MEASURES else None
+        if needed and needed not in ctx.axes:
+            raise ValueError(f"{name} needs the axis {needed}")
+    refused = set(names) & {"ytd", "media_movel_3m", "tendencia", "mom_ultimo_mes"}
+    if ctx.by_period and refused:
+        raise ValueError(f"{', '.join(sorted(refused))}: take the month axis or no calendar axis")
+
+
+def _cells(
+    ctx: Context, left: Context, cube: DataFrame, sums: Mapping[str, Quantity], names: set[str]
+) -> DataFrame:
+    """One row per cell with every sum and every time value asked for."""
+    timed = bool(names & set(TIME))
+    months_first = timed and not ctx.by_month
+    grain = [*ctx.axes_without(CALENDAR), "mes_idx"] if months_first else ctx.axes
+    cells = cube.groupBy(*grain).agg(*[left.sum_of(q).alias(name) for name, q in sums.items()])
+    if "_limites" in names:
+        cells = cells.withColumn("_limites", ctx.calendar_limits().select(F.struct("*")).scalar())
+    if months_first:
+        if ctx.by_period:
+            cells = _time_by_calendar_axis(ctx, cells, names, list(sums))
+        else:
+            cells = cells.groupBy(*ctx.axes).agg(
+                *[F.sum(name).alias(name) for name in sums],
+                *[value.alias(name) for name, value in _time_over_period(ctx, names).items()],
+                *([F.first("_limites").alias("_limites")] if "_limites" in names else []))
+        sector = W.partitionBy(*ctx.axes_without(OPERATOR))
+        cells = cells.withColumns({
+            name: F.sum(name).over(sector) for name in ("setor", "setor_mes_anterior") if name in names})
+    elif timed:
+        cells = cells.withColumn("_ano", index_year(C("mes_idx"))).withColumns(_time_by_month(ctx, names))
+    return cells.withColumns({name: ctx.beyond_axes(name, q) for name, q in sums.items()})
+
+
 def evaluate(
     star: Star, axes: Sequence[str], measures: Sequence[str],
     filters: Mapping[str, Sequence] | None = None,
@@ -399,61 +435,26 @@ def evaluate(
     The month axis is `mes_idx` (`year * 12 + month`); `queixa.functions.dates` labels it.
     """
     ctx = Context(star, axes, filters)
-    asked_filters = dict(ctx.filters)
     ordered = _closure(ctx, measures)
-    for name in ordered:
-        needed = MEASURES[name].axis if name in MEASURES else None
-        if needed and needed not in ctx.axes:
-            raise ValueError(f"{name} needs the axis {needed}")
-    by_calendar = bool(CALENDAR & set(ctx.axes)) and not ctx.by_month
-    refused = set(ordered) & {"ytd", "media_movel_3m", "tendencia", "mom_ultimo_mes"}
-    if by_calendar and refused:
-        raise ValueError(f"{', '.join(sorted(refused))}: take the month axis or no calendar axis")
+    _refuse_misuse(ctx, ordered)
+    names = set(ordered)
     known = quantities(star)
     sums = {name: known[name] for name in ordered if name in known}
-    names = set(ordered)
-    timed = bool(names & set(TIME))
-    market, place = bool(names & set(MARKET)), bool(names & set(PLACE))
-
-    title_filters = dict(ctx.filters)
-    lifted_by_steps = [*([lifting(OPERATOR)] if market else []), *([lifting(STATE)] if place else [])]
-    extra = [*(["mes_idx"] if timed else []), *(["operadora"] if market else []),
-             *(["estado"] if place else [])]
-    # The series measures of `_time_*` read the calendar filters again, as month tests.
-    calendar_filters = {c: v for c, v in ctx.filters.items() if c in CALENDAR}
-    cube = ctx.cube([*sums.values(), *lifted_by_steps], extra)
-    residual = ctx.filters
-
-    per_month = timed and not ctx.by_month
-    grain = [*ctx.axes_without(CALENDAR), "mes_idx"] if per_month else ctx.axes
-    cells = cube.groupBy(*grain).agg(
-        *[ctx.sum_of(q).alias(name) for name, q in sums.items()])
-    if "_limites" in names:
-        ctx.filters = {**residual, **calendar_filters}
-        cells = cells.withColumn("_limites", ctx.calendar_limits().select(F.struct("*")).scalar())
-    if per_month:
-        cells = _time_by_calendar_axis(ctx, cells, names, list(sums)) if by_calendar else cells.groupBy(*ctx.axes).agg(
-            *[F.sum(name).alias(name) for name in sums],
-            *[value.alias(name) for name, value in _time_over_period(ctx, names).items()],
-            *([F.first("_limites").alias("_limites")] if "_limites" in names else []))
-        for name in ("setor", "setor_mes_anterior"):
-            if name in names:
-                rest = W.partitionBy(*ctx.axes_without(OPERATOR))
-                cells = cells.withColumn(name, F.sum(name).over(rest))
-    elif timed:
-        cells = cells.withColumn("_ano", index_year(C("mes_idx")))
-        cells = cells.withColumns(_time_by_month(ctx, names))
-    ctx.filters = residual
-    cells = cells.withColumns({name: ctx.beyond_axes(name, q) for name, q in sums.items()})
+    lifted, extra = [], ["mes_idx"] if names & set(TIME) else []
+    if names & set(MARKET):
+        lifted, extra = [*lifted, lifting(OPERATOR)], [*extra, "operadora"]
+    if names & set(PLACE):
+        lifted, extra = [*lifted, lifting(STATE)], [*extra, "estado"]
+    cube, left = ctx.cube([*sums.values(), *lifted], extra)
+
+    cells = _cells(ctx, left, cube, sums, names)
     if "assinantes" in names:
-        cells = _attach(cells, ctx.axes, *_subscribers(ctx, asked_filters))
-    if market:
-        cells = _attach(cells, ctx.axes, *_market(ctx, cube))
-    if place:
-        cells = _attach(cells, ctx.axes, *_worst_state(ctx, cube))
-    ctx.filters = title_filters
+        cells = _attach(cells, ctx.axes, *_subscribers(ctx))
+    if names & set(MARKET):
+        cells = _attach(cells, ctx.axes, *_market(left, cube))
+    if names & set(PLACE):
+        cells = _attach(cells, ctx.axes, *_worst_state(left, cube))
     for name in ordered:
         if name in MEASURES:
             cells = cells.withColumn(name, MEASURES[name].value(ctx))
-    visible = cells.where(C("total").isNotNull())
-    return visible.select(*ctx.axes, *dict.fromkeys(measures))
+    return cells.where(C("total").isNotNull()).select(*ctx.axes, *dict.fromkeys(measures))
