@@ -241,6 +241,15 @@ def _closure(ctx: Context, names: Iterable[str]) -> list[str]:
     return ordered
 
 
+def _steps(ordered: Sequence[str]) -> list[list[str]]:
+    """Measures in as few projections as their dependencies allow."""
+    depth: dict[str, int] = {}
+    for name in ordered:
+        if name in MEASURES:
+            depth[name] = 1 + max([depth.get(used, 0) for used in MEASURES[name].uses], default=0)
+    return [[n for n, d in depth.items() if d == level] for level in sorted(set(depth.values()))]
+
+
 def _time_by_month(ctx: Context, names: set[str]) -> dict[str, Column]:
     """Month axis: calendar windows over the monthly cells."""
     others = ctx.axes_without({"mes_idx"})
@@ -454,7 +463,6 @@ def evaluate(
         cells = _attach(cells, ctx.axes, *_market(left, cube))
     if names & set(PLACE):
         cells = _attach(cells, ctx.axes, *_worst_state(left, cube))
-    for name in ordered:
-        if name in MEASURES:
-            cells = cells.withColumn(name, MEASURES[name].value(ctx))
+    for step in _steps(ordered):
+        cells = cells.withColumns({name: MEASURES[name].value(ctx) for name in step})
     return cells.where(C("total").isNotNull()).select(*ctx.axes, *dict.fromkeys(measures))

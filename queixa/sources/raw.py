@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -56,8 +57,10 @@ def read_raw_csv(
             path, schema=surplus, header=True, encoding=encoding, mode="PERMISSIVE", multiLine=True, **quoting)
         return rows.where("_extra IS NULL").drop("_extra")
     line = F.col("value")
+    # A quote opens a quoted cell only at the cell's start; elsewhere it is a character.
+    quoted_cell = f'(^|{re.escape(sep)})"(?:[^"]|"")*"'
     unquoted = F.when(
-        line.contains('"'), F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+        line.contains('"'), F.regexp_replace(line, quoted_cell, "$1")
     ).otherwise(line)
     separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))
     kept = lines.where(

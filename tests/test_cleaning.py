@@ -30,17 +30,22 @@ def test_latin1_strings_and_line_lengths(spark, tmp_path):
         line(hour="10:03").rsplit(";", 1)[0],        # 12 fields: kept, the last one missing
         line(hour="10:04", detail='"com ; dentro"'),  # a separator inside quotes
         line(hour="10:05", detail='"diz ""não"""'),
+        line(hour="10:06", detail='de 20" ou 30"', city='"A";"B"').rsplit(";", 1)[0],  # quotes inside a cell
+        line(hour="10:07", detail='20";30"'),        # not quoted: one field too many
+        line(hour="10:08", status='""', name='"Vivo"', city='"a;b;c"'),
         "",
     ])
     df = read_raw_csv(spark, path)
     assert df.columns == RAW_COLUMNS
     assert {f.dataType.simpleString() for f in df.schema} == {"string"}
     rows = {r["Hora_Abertura"]: r for r in df.collect()}
-    assert sorted(rows) == ["10:00", "10:03", "10:04", "10:05"]
+    assert sorted(rows) == ["10:00", "10:03", "10:04", "10:05", "10:06", "10:08"]
     assert rows["10:00"]["Municipio"] == "São Paulo"
     assert rows["10:03"]["Sigla"] is None
     assert rows["10:04"]["Detalhe_Motivo"] == "com ; dentro"
     assert rows["10:05"]["Detalhe_Motivo"] == 'diz "não"'
+    assert (rows["10:06"]["Detalhe_Motivo"], rows["10:06"]["Sigla"]) == ('de 20" ou 30"', "B")
+    assert (rows["10:08"]["Nome"], rows["10:08"]["Municipio"], rows["10:08"]["Sigla"]) == ("Vivo", "a;b;c", "SCM")
 
 
 def test_line_breaks_inside_quotes_on_request(spark, tmp_path):
