@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from queixa.functions.dates import with_time_columns
 from queixa.operators.cleaning import clean_light
 from queixa.operators.star import Star, star_of
 from queixa.schema import FACT, STAR_TABLES, STORED_FACT
 from queixa.sources.raw import path_exists, read_many, union_all
 
 RAW_FILES = ("reclamacoes_scm.csv", "reclamacoes_smp.csv")
+FACT_COLUMNS = ["dia", "operadora", "uf", "regiao", "categoria", "subcategoria", "status", "servico"]
 
 
 def read_star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -32,11 +36,23 @@ def read_star(spark: SparkSession, folder: str) -> Star:
     return star_of(read_star_tables(spark, folder))
 
 
+def has_star(spark: SparkSession, folder: str) -> bool:
+    fact = os.path.join(folder, "fato_reclamacoes")
+    return path_exists(spark, fact) or path_exists(spark, f"{fact}.csv")
+
+
 def load_fact(spark: SparkSession, processed: str, raw: str) -> DataFrame:
     """One row per complaint from the stored star, else from the raw files; same columns either way."""
-    columns = ["dia", "operadora", "uf", "regiao", "categoria", "subcategoria", "status", "servico"]
-    fact = os.path.join(processed, "fato_reclamacoes")
-    if path_exists(spark, fact) or path_exists(spark, f"{fact}.csv"):
-        return read_star(spark, processed).frame(columns)
+    if has_star(spark, processed):
+        return read_star(spark, processed).frame(FACT_COLUMNS)
     files = read_many(spark, [os.path.join(raw, name) for name in RAW_FILES])
-    return clean_light(union_all(files)).select(*columns, "qtd")
+    return clean_light(union_all(files)).select(*FACT_COLUMNS, "qtd")
+
+
+def load_cube(spark: SparkSession, processed: str, raw: str, columns: Sequence[str]) -> DataFrame:
+    """`qtd` per combination of `columns` from the same source; over a stored star the labels
+    are looked up after summing."""
+    if has_star(spark, processed):
+        return read_star(spark, processed).cube(columns)
+    rows = with_time_columns(load_fact(spark, processed, raw))
+    return rows.groupBy(*columns).agg(F.sum("qtd").alias("qtd"))
