@@ -88,7 +88,7 @@ def complaint_star(spark: SparkSession, sf_dir: str) -> Star:
         dimensions={
             "operadora": Dimension(filed_against, "l_orderkey", ("operadora", "grupo"), orders),
             "uf": Dimension(places, "l_suppkey", ("uf", "estado", "regiao"), suppliers),
-            "tipo": Dimension(types, "l_partkey", ("categoria", "subcategoria")),
+            "tipo": Dimension(types, "l_partkey", ("categoria", "subcategoria"), lambda: types(())),
         },
         calendar=days, operators=operators, unidentified=UNIDENTIFIED,
     )

@@ -84,9 +84,10 @@ class Star:
         a query's other steps start. Its size follows the number of labels, not of complaints."""
         columns = list(dict.fromkeys(columns))
         held = set(self.fact.columns)
-        late = {name: [c for c in columns if c in d.columns and c not in held]
-                for name, d in self.dimensions.items() if d.compact}
-        late = {name: labels for name, labels in late.items() if labels}
+        labels_of = {name: [c for c in columns if c in d.columns and c not in held]
+                     for name, d in self.dimensions.items()}
+        late = {name: found for name, found in labels_of.items()
+                if found and (self.dimensions[name].compact or self._worth_summing(name, found, columns))}
         labels = {c for found in late.values() for c in found}
         keys = [c for c in columns if c not in labels] + [self.dimensions[name].key for name in late]
         sums = self._rows(keys, where, years).groupBy(*keys).agg(F.sum("qtd").alias("qtd"))
@@ -94,6 +95,16 @@ class Star:
             sums = sums.join(self.dimensions[name].lookup(found), self.dimensions[name].key, "left")
         return sums.groupBy(*columns).agg(F.sum("qtd").alias("qtd")) if late else sums
 
+    def _worth_summing(self, name: str, found: Sequence[str], columns: Sequence[str]) -> bool:
+        """Whether to sum per key before joining a dimension that has many members.
+
+        When its labels are all a cube asks for, the sums and the join share one shuffle on the
+        key, and a hot key is one row per task in it. With further columns the sums would
+        need a shuffle of their own, and the join of rows is cheaper.
+        """
+        start = self.dimensions[name].starts_from
+        return start is not None and list(found) == list(columns) and not measured_small(start())
+
     def _rows(
         self, columns: Sequence[str], where: Mapping[str, Sequence] | None, years: tuple[int, int] | None
     ) -> DataFrame:

@@ -119,3 +119,20 @@ def test_shuffles_are_sized_from_the_input(spark, sf_dir, monkeypatch):
         assert session.size_shuffles(lineitem) == 9
     finally:
         spark.conf.unset(key)
+
+
+def test_a_large_dimension_alone_is_joined_to_sums(spark, sf_dir):
+    """One shuffle of the fact, of per-key sums, serves both the sums and the join."""
+    expected = sorted(map(tuple, dataset(complaint_star(spark, sf_dir), "volume_by_operator").collect()))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = dataset(complaint_star(spark, sf_dir), "volume_by_operator")
+        plan = executed_plan(df)
+        assert sorted(map(tuple, df.collect())) == expected
+        assert re.search(r"HashAggregate\(keys=\[l_orderkey#\d+L\], functions=\[partial_", plan)
+        assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", plan)) == 2  # the sums, and the lookup
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
