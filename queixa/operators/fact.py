@@ -22,7 +22,7 @@ def build_fact(clean: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFra
     first_day = dimensions["dim_calendario"].select(F.min("data")).scalar()
     keyed = (clean
              .join(operators, "operadora", "left")
-             .join(F.broadcast(states), "uf_sigla", "left")  # 27 fixed rows
+             .join(states, "uf_sigla", "left")
              .join(types, ["motivo", "detalhe_motivo"], "left"))
     service = F.col("sigla_servico") if "sigla_servico" in clean.columns else F.lit(None).cast("string")
     return add_row_id(keyed.select(
