@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queixa.llm import decontaminate, minhash, recompress
+from queixa.llm import decontaminate, minhash, mixture, recompress, shards
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -41,6 +41,19 @@ def op6_recompression_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op7_subset_sum_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixture.mixture(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shards.shard_rows(read(spark, sf_dir, "documents"), shards=16)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"'[^\x20\x09-\x0D]+'"
 LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
