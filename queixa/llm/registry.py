@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queixa.llm import decontaminate, minhash, mixture, recompress, shards
+from queixa.llm import decontaminate, licences, minhash, mixture, quality, recompress, shards
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -47,6 +47,22 @@ def op7_subset_sum_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_suffix_automaton_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "labels").alias("labels"), "score")
+
+
+@query
+def op9_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    found = quality.judge(docs, read(spark, sf_dir, "labels"))
+    return found.select("doc_id", F.round("evidence", 6).alias("evidence"), F.round("host_rate", 6).alias("host_rate"),
+                        F.round("path_rate", 6).alias("path_rate"), F.round("posterior", 6).alias("posterior"),
+                        (~F.col("rejected")).alias("kept"))
+
+
 @query
 def op10_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shards.shard_rows(read(spark, sf_dir, "documents"), shards=16)
