@@ -25,7 +25,7 @@ LABELLED, FEATURES = 40_000, 50_000
 # A feature's rate is shrunk by this many documents at the overall rate.
 PRIOR = 5.0
 # Rejected from this posterior on: a text with a telling word seldom ends far below, a clean one far lower.
-THRESHOLD = 0.25
+THRESHOLD = 0.4
 FORM, WORD = 0, 1
 
 _CLASS = np.arange(256, dtype=np.uint8)
