@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queixa.llm import decontaminate, licences, minhash, mixture, quality, recompress, shards
+from queixa.llm import decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -20,12 +20,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_merged_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_and_index(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op2_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op3_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return forest.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @query
 def op4_suffix_array_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -35,6 +47,12 @@ def op4_suffix_array_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.digest().alias("items_sha256"), (F.size("hit_spans") > 0).alias("contaminated"))
 
 
+@query
+def op5_line_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.repeated_lines(read(spark, sf_dir, "documents"), lines=3)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op6_recompression_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = recompress.repeated_spans(read(spark, sf_dir, "documents"), window=50)
@@ -130,3 +148,29 @@ kept AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
+
+SQL["op1_merged_warc_index"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first_page FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first_page < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_page < page_id THEN first_page END AS refers_to
+FROM p LEFT JOIN firsts USING (digest)"""
+
+SQL["op5_line_suffix_array"] = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+raw AS (SELECT doc_id, unnest(l) AS line, unnest(range(0, len(l))) AS i FROM d),
+counted AS (
+  SELECT doc_id, line, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
+  FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+runs AS (
+  SELECT a.doc_id, a.p, a.line AS x, b.line AS y, c.line AS z
+  FROM counted a JOIN counted b ON a.doc_id = b.doc_id AND b.p = a.p + 1 JOIN counted c ON a.doc_id = c.doc_id AND c.p = a.p + 2),
+ordered AS (SELECT doc_id, p, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, p) AS n FROM runs),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM ordered, range(0, 3) AS r(k) WHERE n > 1),
+gone_lines AS (SELECT doc_id, i FROM counted JOIN gone USING (doc_id, p)),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM raw ANTI JOIN gone_lines USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM counted c WHERE c.doc_id = d.doc_id) AS n_lines,
+  (SELECT count(*) FROM gone_lines g WHERE g.doc_id = d.doc_id) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
