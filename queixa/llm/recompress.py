@@ -6,7 +6,7 @@ symbol. Names are 64-bit fingerprints of what they stand for, so every task of e
 equal strings equal names without a table of names. Each symbol remembers the words its making
 depended on. A repeated stretch that holds all of those carries the same symbol in every copy,
 so a window whose symbols are not all shared by two documents repeats nowhere. The windows that
-remain are verified by 128-bit hashes of all their words; windows too poor in symbols are
+remain are verified by 95-bit hashes of all their words; windows too poor in symbols are
 verified without being asked, so no repeat is lost.
 """
 
@@ -122,7 +122,7 @@ def _parse(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
 def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Windows whose symbols all occur in an earlier (`later`: in a later) document."""
     for batch in batches:
-        ids, keys, texts, before, after = (batch.column(i) for i in range(5))
+        ids, tags, texts, before, after = (batch.column(i) for i in range(5))
         for part in hashed(texts, SPACED):
             n = len(part.hashes)
             name, text, start, stop = _anchors(part.hashes, part.bounds, window)
@@ -138,14 +138,16 @@ def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
             at = np.flatnonzero(may["removable"] | may["source"])
             if not len(at):
                 continue
-            row = np.searchsorted(part.bounds, at, side="right") - 1
             high = windows(part.hashes, window)[at]
-            low = windows(mixed(part.hashes ^ _RUN), window)[at]
+            row = np.searchsorted(part.bounds, at, side="right") - 1
+            # a window that a text repeats itself (a run of one word) is asked once; _cut finds the others
+            at, high, row = (x[np.unique(high ^ mixed(row.astype(np.uint64)), return_index=True)[1]] for x in (at, high, row))
+            low = windows(mixed(part.hashes ^ _RUN), window)[at] >> np.uint64(33)
             take = pa.array(row + part.first)
             yield pa.RecordBatch.from_arrays([
-                ids.take(take), keys.take(take), as_long(high), as_long(low), pa.array((at - part.bounds[row]).astype(np.int32)),
-                pa.array(may["removable"][at]), pa.array(may["source"][at])],
-                names=["doc_id", "key", "high", "low", "place", "removable", "source"])
+                ids.take(take), tags.take(take), as_long(high), pa.array(low.astype(np.int32)),
+                pa.array((at - part.bounds[row]).astype(np.int32)), pa.array(may["removable"][at]), pa.array(may["source"][at])],
+                names=["first_id", "tag", "high", "low", "place", "removable", "source"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,8 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
         out: dict[str, list] = {"key": keys.to_pylist(), "removed_spans": [], "kept_text": []}
         for text, mine in zip(texts, places, strict=True):
             words, spans, kept, at = (text.as_py() or "").encode().split(), [], [], 0
-            for p in sorted(mine.as_py()):
+            found = [windows(part.hashes, window) for part in hashed(pa.array([text.as_py()], pa.string()), SPACED)][0]
+            for p in np.flatnonzero(np.isin(found, found[mine.as_py()])).tolist():
                 if spans and p <= spans[-1]["end"]:
                     spans[-1]["end"] = p + window
                 else:
@@ -190,28 +193,30 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     # of equal texts only the first is looked at; the others are removed whole
     firsts = parsed.where(F.col("n_words") >= window).groupBy("key").agg(F.min(order).alias("first_id"))
     texts = parsed.join(firsts, "key").where(order == F.col("first_id")).dropDuplicates(["key"])
-    texts = write_and_read_back(texts.select("key", "first_id", "symbols", "bare"), "texts")
-    held = texts.select("key", "first_id", F.explode("symbols").alias("symbol"))
+    # a short tag beside the id tells texts of one repeated doc_id apart
+    tag = F.xxhash64("key").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("tag")
+    texts = write_and_read_back(texts.select("key", "first_id", tag, "symbols", "bare"), "texts")
+    held = texts.select("first_id", "tag", F.explode("symbols").alias("symbol"))
     spread = (held.groupBy("symbol").agg(F.min("first_id").alias("low"), F.max("first_id").alias("high"))
               .where("low < high"))
-    shared = held.join(spread, "symbol").groupBy("key").agg(
+    shared = held.join(spread, "symbol").groupBy("first_id", "tag").agg(
         F.collect_list(F.when(F.col("low") < F.col("first_id"), F.col("symbol"))).alias("before"),
         F.collect_list(F.when(F.col("high") > F.col("first_id"), F.col("symbol"))).alias("after"))
     none = F.array().cast("array<long>")
-    wanted = texts.join(shared, "key", "left").where("bare or before is not null").select(
-        "key", "first_id", F.coalesce("before", none).alias("before"), F.coalesce("after", none).alias("after"))
+    wanted = texts.join(shared, ["first_id", "tag"], "left").where("bare or before is not null").select(
+        "key", "first_id", "tag", F.coalesce("before", none).alias("before"), F.coalesce("after", none).alias("after"))
     first_rows = keyed.select(order.alias("order"), "key", "text")
     looked = write_and_read_back(
         first_rows.join(wanted, (first_rows["order"] == wanted["first_id"]) & (first_rows["key"] == wanted["key"]))
-        .select("first_id", wanted["key"], "text", "before", "after"), "looked")
+        .select("first_id", "tag", "text", "before", "after", wanted["key"]), "looked")
 
-    found = looked.mapInArrow(
+    found = looked.drop("key").mapInArrow(
         partial(_candidates, window=window),
-        "first_id long, key binary, high long, low long, place int, removable boolean, source boolean")
+        "first_id long, tag int, high long, low int, place int, removable boolean, source boolean")
     sources = found.where("source").groupBy("high", "low").agg(F.min("first_id").alias("origin"))
     places = (found.where("removable").join(sources, ["high", "low"]).where("origin < first_id")
-              .groupBy("key").agg(F.collect_set("place").alias("places")))
-    cut = looked.join(places, "key").select("key", "text", "places").mapInArrow(
+              .groupBy("first_id", "tag").agg(F.collect_list("place").alias("places")))
+    cut = looked.join(places, ["first_id", "tag"]).select("key", "text", "places").mapInArrow(
         partial(_cut, window=window),
         "key binary, removed_spans array<struct<start:long,end:long>>, kept_text string").dropDuplicates(["key"])
 
