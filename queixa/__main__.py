@@ -3,7 +3,8 @@
 etl RAW STAR           raw files to a stored star
 kpis STAR RAW OUT      the five KPI tables, from the star if it is stored, else from the raw files
 hypotheses RAW         the five verdicts over the raw files, duplicates kept
-report STAR NAME       one report dataset; repeat --where ano=2023,2022
+report STAR NAME       one report dataset; repeat --where ano=2023,2022. --out writes all its rows to a
+                       folder; without it the first rows are shown as a preview
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from queixa.plans.hypotheses import hypotheses
 from queixa.plans.kpis import CUBE_KEYS
 from queixa.session import build_session
 from queixa.sources.raw import read_many, union_all
-from queixa.sources.sinks import run_etl, write_kpis
+from queixa.sources.sinks import run_etl, write_kpis, write_table
 from queixa.sources.star_files import RAW_FILES, load_cube, read_star
 
+PREVIEW = 50
+
 
 def _raw(spark: SparkSession, folder: str):
     return read_many(spark, [os.path.join(folder, name) for name in RAW_FILES])
@@ -56,6 +59,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     report.add_argument("star")
     report.add_argument("name", choices=[*REPORTS, "category_drill"])
     report.add_argument("--where", action="append", default=[], metavar="COLUMN=VALUE,...")
+    report.add_argument("--out")
+    report.add_argument("--format", choices=["csv", "parquet"], default="csv")
     asked = parser.parse_args(arguments)
 
     spark = build_session()
@@ -66,7 +71,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif asked.program == "hypotheses":
         hypotheses(clean_light(union_all(_raw(spark, asked.raw)), EXPLORATION_ALIASES)).show(truncate=False)
     else:
-        dataset(read_star(spark, asked.star), asked.name, _filters(asked.where)).show(1000, truncate=False)
+        rows = dataset(read_star(spark, asked.star), asked.name, _filters(asked.where))
+        if asked.out:
+            write_table(rows, asked.out, asked.name, asked.format)
+        else:
+            rows.show(PREVIEW, truncate=False)
+            print(f"Preview of at most {PREVIEW} rows; --out writes all of them.")
 
 
 if __name__ == "__main__":

@@ -54,7 +54,7 @@ def brand_or_first_word(
     name: Column, aliases: Sequence[tuple[str, str]], unidentified: str
 ) -> Column:
     """First alias contained in the filed name, else its first word, else `unidentified`."""
-    brand = _first_alias(name, aliases, F.split(name, r"\s+", 2)[0])
+    brand = _first_alias(name, aliases, F.split(name, f"[{BLANKS}]+", 2)[0])
     return F.when(name.isNull() | (name == ""), F.lit(unidentified)).otherwise(brand)
 
 

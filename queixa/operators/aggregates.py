@@ -144,14 +144,12 @@ def monthly_spread(frame: DataFrame, *keys: str) -> DataFrame:
 def month_spine(months: DataFrame, keys: Sequence[str], volume: str = "volume") -> DataFrame:
     """Every month between the first and last of the frame, for every key; 0 where a key has none.
 
-    Each key's own rows are laid on the common span by exploding a sequence, so
-    keys are never paired with a table of months. A key holds at most one entry per month.
+    Each key's own rows are laid on the common span (a one-row aggregate) by exploding a sequence,
+    so keys are never paired with a table of months. A key holds at most one entry per month.
     """
-    everyone = W.partitionBy()
+    span = F.sequence(months.select(F.min("mes_idx")).scalar(), months.select(F.max("mes_idx")).scalar())
     by_key = months.groupBy(*keys).agg(
-        F.min("mes_idx").alias("_first"), F.max("mes_idx").alias("_last"),
         F.map_from_entries(F.collect_list(F.struct("mes_idx", volume))).alias("_v"))
-    span = F.sequence(F.min("_first").over(everyone), F.max("_last").over(everyone))
     return by_key.select(*keys, span.alias("_span"), "_v").select(
         *keys, F.explode("_span").alias("mes_idx"), "_v"
     ).select(*keys, "mes_idx",

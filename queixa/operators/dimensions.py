@@ -17,9 +17,9 @@ def dense_ids(df: DataFrame, id_column: str, keys: Sequence[str]) -> DataFrame:
     """Number distinct keys 1..n in key order, without sorting them all in one task.
 
     Rows are numbered inside buckets of the first key's two leading characters;
-    a bucket's start is the number of rows in the buckets before it.
+    a bucket's start is the number of rows in the buckets before it. A null key counts first.
     """
-    bucket = F.substring(F.col(keys[0]), 1, 2)
+    bucket = F.coalesce(F.substring(F.col(keys[0]), 1, 2), F.lit(""))
     inside = df.withColumns({
         "_bucket": bucket,
         "_position": F.row_number().over(W.partitionBy(bucket).orderBy(*keys)),

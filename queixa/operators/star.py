@@ -150,12 +150,12 @@ def star_of(
 ) -> Star:
     """The star over the five stored tables, under the names queries use.
 
-    The calendar is numbered from its first day without gaps, so a day follows from its key.
+    The calendar is numbered without gaps from its first day's key on, so a day follows from its key.
     """
     calendar = tables["dim_calendario"].select("data")
-    first_day = calendar.select(F.min("data")).scalar()
+    first = tables["dim_calendario"].select(F.min(F.struct("data", "id_data"))).scalar()
     fact = (tables["fato_reclamacoes"].withColumnRenamed("sigla_servico", "servico")
-            .withColumn("dia", F.date_add(first_day, F.col("id_data") - 1)))
+            .withColumn("dia", F.date_add(first["data"], F.col("id_data") - first["id_data"])))
     operators = tables["dim_operadora"].select(
         "id_operadora", F.col("nome").alias("operadora"), "porte",
         F.col("grupo_economico").alias("grupo"))

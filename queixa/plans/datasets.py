@@ -78,6 +78,6 @@ def by_report_order(cells: DataFrame, axes: Sequence[str], sort: Sequence[str])
 
 def category_drill(star: Star, filters: Mapping[str, Sequence] | None = None) -> DataFrame:
     """Category x operator, each category expandable to its subcategories."""
-    rows = star.frame(["categoria", "subcategoria", "operadora"], filters)
+    rows = star.cube(["categoria", "subcategoria", "operadora"], filters)
     return drill(rows, "categoria", "subcategoria", "operadora").orderBy(
         "categoria", F.desc("nivel"), "subcategoria", "operadora")

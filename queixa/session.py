@@ -43,9 +43,9 @@ def stored_size(table: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
 
 
-# A task's share of a shuffle, and the number of tasks beyond which their bookkeeping costs
-# more than larger shares do.
-SHUFFLE_SHARE, MOST_SHUFFLE_TASKS = 512 * 1024**2, 32_000
+# A task's share of a shuffle. The session may set MOST_SHUFFLE_TASKS where the bookkeeping of
+# more tasks costs more than larger shares do; by default there is no such bound.
+SHUFFLE_SHARE, MOST_SHUFFLE_TASKS = 512 * 1024**2, "spark.queixa.mostShuffleTasks"
 
 
 def size_shuffles(*tables: DataFrame) -> int:
@@ -53,7 +53,8 @@ def size_shuffles(*tables: DataFrame) -> int:
     the ones that turn out small, but it cannot cut 200 partitions of a hundred terabytes."""
     conf = tables[0].sparkSession.conf
     wanted = sum(map(stored_size, tables)) // SHUFFLE_SHARE
-    start = max(int(conf.get("spark.sql.shuffle.partitions")), min(wanted, MOST_SHUFFLE_TASKS))
+    most = conf.get(MOST_SHUFFLE_TASKS, None)
+    start = max(int(conf.get("spark.sql.shuffle.partitions")), min(wanted, int(most)) if most else wanted)
     conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
     return start
 

@@ -115,10 +115,11 @@ def test_shuffles_are_sized_from_the_input(spark, sf_dir, monkeypatch):
         assert session.stored_size(lineitem.join(lineitem, "l_orderkey")) == 2 * session.stored_size(lineitem)
         # Fewer columns, fewer bytes.
         assert session.measured_size(lineitem.select("l_orderkey")) < session.measured_size(lineitem) / 4
-        monkeypatch.setattr(session, "MOST_SHUFFLE_TASKS", 9)
+        spark.conf.set(session.MOST_SHUFFLE_TASKS, "9")
         assert session.size_shuffles(lineitem) == 9
     finally:
         spark.conf.unset(key)
+        spark.conf.unset(session.MOST_SHUFFLE_TASKS)
 
 
 def test_a_large_dimension_alone_is_joined_to_sums(spark, sf_dir):

@@ -26,3 +26,13 @@ def test_programs(spark, raw_folder, tmp_path, capsys):  # noqa: F811
     assert "CLARO" in shown and "VIVO" in shown and "ALGAR" not in shown
     with pytest.raises(SystemExit):
         main(["report", star, "nada"])
+
+
+def test_report_writes_all_its_rows(spark, tmp_path, monkeypatch):
+    from queixa import __main__ as programs
+
+    many = spark.range(1500).withColumnRenamed("id", "total")
+    monkeypatch.setattr(programs, "read_star", lambda *_: None)
+    monkeypatch.setattr(programs, "dataset", lambda *_: many)
+    programs.main(["report", "anywhere", "volume_by_operator", "--out", str(tmp_path), "--format", "parquet"])
+    assert spark.read.parquet(str(tmp_path / "volume_by_operator")).count() == 1500
