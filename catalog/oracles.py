@@ -509,6 +509,11 @@ FLAG = "CASE WHEN z > 2 THEN 'alta' WHEN z < -2 THEN 'baixa' WHEN z IS NOT NULL
 ORACLES["zscore_month_flag"] = over(
     f"g AS (SELECT m, {N} AS total FROM v GROUP BY 1)", f"h AS (SELECT *, {_z('')} AS z FROM g)",
     f"SELECT total, {r6('z')} AS z_mensal, {FLAG} AS flag_anomalia, {month_text('m')} AS ano_mes FROM h")
+ORACLES["zscore_ano_mes"] = ORACLES["zscore_month_flag"]
+ORACLES["zscore_ano_and_mes"] = over(
+    f"g AS (SELECT m, {N} AS total FROM v GROUP BY 1)", f"h AS (SELECT *, {_z('')} AS z FROM g)",
+    f"SELECT total, {r6('z')} AS z_mensal, {FLAG} AS flag_anomalia, CAST((m - 1) // 12 AS INTEGER) AS ano, "
+    "CAST((m - 1) % 12 + 1 AS INTEGER) AS mes FROM h")
 ORACLES["zscore_by_operator"] = over(
     f"g AS (SELECT operadora, m, {N} AS total FROM v WHERE ano IN (1997, 1998) GROUP BY 1, 2)",
     f"h AS (SELECT *, {_z('PARTITION BY operadora')} AS z FROM g)",
@@ -611,6 +616,7 @@ def _moving(keys: str, extra: str) -> str:
 
 
 ORACLES["moving_average_by_operator"] = _moving("operadora", "")
+ORACLES["moving_average_ano_mes"] = _moving("", "")
 MONTH_LABEL = (f"{_list(MONTH_ABBREVIATIONS)}[(m - 1) % 12 + 1] || printf('/%02d', CAST(((m - 1) // 12) % 100 AS INTEGER)) "
                "AS mes_rotulo")
 ORACLES["monthly_evolution"] = _moving("", f"{MONTH_LABEL}, ")

@@ -409,6 +409,9 @@ REGISTRY.update({
         ["operadora"], ["total", "score_risco", "rating_risco", "rank_volume", "rank_100k"],
         {"operadora": ["BUILDING", "HOUSEHOLD"], "ano": [1996, 1997]}),
     "zscore_month_flag": cells(["mes_idx"], ["total", "z_mensal", "flag_anomalia"]),
+    "zscore_ano_mes": cells(["ano_mes"], ["total", "z_mensal", "flag_anomalia"]),
+    "zscore_ano_and_mes": cells(["ano", "mes"], ["total", "z_mensal", "flag_anomalia"]),
+    "moving_average_ano_mes": cells(["ano_mes"], ["total", "media_movel_3m"]),
     "zscore_by_operator": cells(["operadora", "mes_idx"], ["z_mensal", "flag_anomalia"], {"ano": [1997, 1998]}),
     "trend_slope": cells(["operadora"], ["tendencia"]),
     "trend_slope_filtered": cells(["uf"], ["tendencia"], {"ano": [1997, 1998], "categoria": ["PROMO"]}),

@@ -441,10 +441,15 @@ def evaluate(
 ) -> DataFrame:
     """One row per cell with complaints: the axes, then the measures.
 
-    The month axis is `mes_idx` (`year * 12 + month`); `queixa.functions.dates` labels it.
+    The month axis is `mes_idx` (`year * 12 + month`); `queixa.functions.dates` labels it. Axes that
+    fix one month, `ano_mes` or `ano` and `mes`, are the month axis too: time measures take them alike.
     """
     ctx = Context(star, axes, filters)
     ordered = _closure(ctx, measures)
+    if ctx.by_period and set(ordered) & set(TIME) and ("ano_mes" in axes or {"ano", "mes"} <= set(axes)):
+        by_month = evaluate(star, [*ctx.axes_without(CALENDAR), "mes_idx"], measures, filters)
+        labels = [CALENDAR_OF_INDEX[a](C("mes_idx")).alias(a) if a in CALENDAR else C(a) for a in axes]
+        return by_month.select(*labels, *dict.fromkeys(measures))
     _refuse_misuse(ctx, ordered)
     names = set(ordered)
     known = quantities(star)
