@@ -194,8 +194,8 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     firsts = parsed.where(F.col("n_words") >= window).groupBy("key").agg(F.min(order).alias("first_id"))
     texts = parsed.join(firsts, "key").where(order == F.col("first_id")).dropDuplicates(["key"])
     # a short tag beside the id tells texts of one repeated doc_id apart
-    tag = F.xxhash64("key").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("tag")
-    texts = write_and_read_back(texts.select("key", "first_id", tag, "symbols", "bare"), "texts")
+    tag = F.xxhash64("key").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    texts = write_and_read_back(texts.select("key", "first_id", tag.alias("tag"), "symbols", "bare"), "texts")
     held = texts.select("first_id", "tag", F.explode("symbols").alias("symbol"))
     spread = (held.groupBy("symbol").agg(F.min("first_id").alias("low"), F.max("first_id").alias("high"))
               .where("low < high"))
@@ -205,18 +205,21 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     none = F.array().cast("array<long>")
     wanted = texts.join(shared, ["first_id", "tag"], "left").where("bare or before is not null").select(
         "key", "first_id", "tag", F.coalesce("before", none).alias("before"), F.coalesce("after", none).alias("after"))
-    first_rows = keyed.select(order.alias("order"), "key", "text")
-    looked = write_and_read_back(
-        first_rows.join(wanted, (first_rows["order"] == wanted["first_id"]) & (first_rows["key"] == wanted["key"]))
-        .select("first_id", "tag", "text", "before", "after", wanted["key"]), "looked")
+    wanted = write_and_read_back(wanted, "wanted")
+    # the texts, dealt out once: both passes over them read the same shuffle
+    dealt = keyed.select(order.alias("order"), tag.alias("text_tag"), "text")
 
-    found = looked.drop("key").mapInArrow(
+    def looked_at(rows: DataFrame) -> DataFrame:
+        return dealt.join(rows, (dealt["order"] == rows["first_id"]) & (dealt["text_tag"] == rows["tag"]))
+
+    found = looked_at(wanted.drop("key")).select("first_id", "tag", "text", "before", "after").mapInArrow(
         partial(_candidates, window=window),
         "first_id long, tag int, high long, low int, place int, removable boolean, source boolean")
     sources = found.where("source").groupBy("high", "low").agg(F.min("first_id").alias("origin"))
     places = (found.where("removable").join(sources, ["high", "low"]).where("origin < first_id")
               .groupBy("first_id", "tag").agg(F.collect_list("place").alias("places")))
-    cut = looked.join(places, ["first_id", "tag"]).select("key", "text", "places").mapInArrow(
+    places = places.join(wanted.select("key", "first_id", "tag"), ["first_id", "tag"])
+    cut = looked_at(places).select("key", "text", "places").mapInArrow(
         partial(_cut, window=window),
         "key binary, removed_spans array<struct<start:long,end:long>>, kept_text string").dropDuplicates(["key"])
 
