@@ -53,6 +53,12 @@ def op5_line_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op5_repeated_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.repeated_lines(read(spark, sf_dir, "documents"), words=1)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op6_recompression_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = recompress.repeated_spans(read(spark, sf_dir, "documents"), window=50)
@@ -174,3 +180,15 @@ kept AS (
 SELECT d.doc_id, (SELECT count(*) FROM counted c WHERE c.doc_id = d.doc_id) AS n_lines,
   (SELECT count(*) FROM gone_lines g WHERE g.doc_id = d.doc_id) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
+
+SQL["op5_repeated_line_runs"] = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+raw AS (SELECT doc_id, unnest(l) AS line, unnest(range(0, len(l))) AS i FROM d),
+counted AS (SELECT doc_id, line, i FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+ordered AS (SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS n FROM counted),
+gone_lines AS (SELECT doc_id, i FROM ordered WHERE n > 1),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM raw ANTI JOIN gone_lines USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM counted c WHERE c.doc_id = d.doc_id) AS n_lines,
+  (SELECT count(*) FROM gone_lines g WHERE g.doc_id = d.doc_id) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""

@@ -179,6 +179,39 @@ def test_line_repeats(documents):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, out))
 
 
+@pytest.mark.parametrize("least", [1, 4, 9])
+def test_line_runs_by_words(documents, least):
+    rng = random.Random(18)
+    pool = ["a", "b c", "d e f", "one two three four five", "  x\ty", "", " ", "z " * 12]
+    rows = [(i, "\n".join(rng.choice(pool) + rng.choice(["", "", f" v{rng.randrange(40)}"]) for _ in range(rng.randrange(12)))) for i in range(40)]
+    rows += [(50, "lonely"), (51, "lonely"), (52, "two\nlines"), (53, "two\nlines"), (3, rows[3][1]), (None, rows[4][1]), (54, None), (55, "")]
+    own = [[x for x in (text or "").split("\n") if spaced(x)] for _, text in rows]
+    order = [float("inf") if d is None else d for d, _ in rows]
+    first = {}
+    for o, (_, text), w in zip(order, rows, own, strict=True):
+        for p in range(len(w)):
+            for q in range(p, len(w)):
+                first.setdefault(tuple(w[p:q + 1]), set()).add((o, text, p))
+    out = []
+    for o, (doc_id, text), w in zip(order, rows, own, strict=True):
+        gone = set()
+        if any(a < o and t == text for a, (_, t) in zip(order, rows, strict=True)):
+            gone = set(range(len(w)))
+        for p in range(len(w)):
+            for q in range(p, len(w)):
+                if q - p + 1 >= 3 or sum(len(spaced(x)) for x in w[p:q + 1]) >= least:
+                    if any(a < o or (a == o and t == text and r < p) for a, t, r in first[tuple(w[p:q + 1])]):
+                        gone |= set(range(p, q + 1))
+        kept, k = [], -1
+        for x in (text or "").split("\n"):
+            k += bool(spaced(x))
+            if not spaced(x) or k not in gone:
+                kept.append(x)
+        out.append((doc_id, len(w), len(gone), None if text is None else "\n".join(kept)))
+    got = lines.repeated_lines(documents(rows), 3, words=least).select("doc_id", "n_lines", "n_removed", "kept_text").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, out))
+
+
 def test_knapsack():
     rng = random.Random(9)
     for _ in range(60):
