@@ -3,11 +3,15 @@
 Documents with the same link value are neighbours through one hub, so a group of any size costs
 a row per document and no pairs. In each round hubs look up where most of their documents lie
 and the others ask to move there; requests are granted up to a quota per pair of shards, so that
-no shard's linked documents outgrow it. Documents without links fill the shards up evenly.
+no shard's linked documents outgrow it. Groups still cut after the last round are packed whole into
+the room that is left, by counts of groups per size; if that doesn't hold them, all groups are packed
+anew. Documents without links fill the shards up evenly.
 """
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,13 +60,104 @@ def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int = ROUND
     return linked
 
 
+def packed(counts: dict[int, int], room: list[int], most: int) -> tuple[list[tuple], list[tuple], int]:
+    """Places of `counts[n]` groups of n rows in shards with `room`, large groups first.
+
+    Whole groups: (n, first, last, shard), for the groups first to last - 1 of that size. Cut ones: (n, group,
+    first, last, shard), for rows. A group of more than `most` rows fills the emptiest shards and its remains are
+    packed like a group; one that finds no room is cut at the end. The number of those comes last: under
+    len(room), as no shard has room for the smallest of them.
+    """
+    room, whole, cut, late = list(room), [], [], []
+    queue = [(-n, 0, c, None) for n, c in counts.items() if c]  # size, rows placed before, groups, of which group
+    heapq.heapify(queue)
+    while queue:
+        n, done, c, of = heapq.heappop(queue)
+        n = -n
+        if of is None and n > most:
+            for g in range(c):
+                heapq.heappush(queue, (-n, 0, 1, (n, g)))
+            continue
+        if of and n > max(room):
+            s = max(range(len(room)), key=lambda x: (room[x], -x))
+            cut.append((*of, done, done + room[s], s))
+            heapq.heappush(queue, (-(n - room[s]), done + room[s], 1, of))
+            room[s] = 0
+            continue
+        g = 0
+        for s in sorted(range(len(room)), key=lambda x: (room[x], x)):
+            if (take := min(c - g, room[s] // n)) > 0:
+                if of:
+                    cut.append((*of, done, done + n, s))
+                else:
+                    whole.append((n, g, g + take, s))
+                room[s] -= take * n
+                g += take
+        late += [(n, x) for x in range(g, c)]
+    for n, g in late:
+        done = 0
+        while done < n:
+            s = max(range(len(room)), key=lambda x: (room[x], -x))
+            take = min(room[s], n - done)
+            cut.append((n, g, done, done + take, s))
+            room[s] -= take
+            done += take
+    return whole, cut, len(late)
+
+
+def settle(linked: DataFrame, quota: list[int]) -> DataFrame:
+    """`linked` (link, order, shard, ...) without cut groups, as far as whole groups fit into shards of `quota` rows."""
+    spark, most = linked.sparkSession, max(quota)
+    groups = linked.groupBy("link").agg(
+        F.count(F.lit(1)).alias("members"), F.min("shard").alias("at"), (F.min("shard") < F.max("shard")).alias("lies cut"))
+    groups = write_and_read_back(groups.withColumn("group order", order_value("link")), "groups")
+    by_size = [tuple(r) for r in groups.groupBy("members", "at", "lies cut").agg(F.count(F.lit(1))).collect()]
+    room = list(quota)
+    for n, at, lies_cut, c in by_size:
+        room[at] -= 0 if lies_cut else n * c
+
+    def sizes(chosen):
+        out: dict[int, int] = {}
+        for n, _, _, c in filter(chosen, by_size):
+            out[n] = out.get(n, 0) + c
+        return out
+    moving = groups.where("`lies cut`")
+    plan = packed(sizes(lambda x: x[2]), room, most) if min(room) >= 0 else None
+    if plan is None or plan[2]:
+        anew = packed(sizes(lambda x: True), quota, most)
+        if plan is None or anew[2] < plan[2]:
+            plan, moving = anew, groups
+    whole, cut, _ = plan
+    if not whole and not cut:
+        return linked
+    numbered = ranked(moving.select("link", "members", "group order"), ["members"], "group order", ["link"], name="group")
+    spans = spark.createDataFrame(whole, "members long, first long, last long, to int")
+    inside = (F.col("group") >= F.col("first")) & (F.col("group") < F.col("last"))
+    targets = numbered.join(spans, "members").where(inside).select("link", "to")
+    pieces = spark.createDataFrame(cut, "members long, group long, first long, last long, to int")
+    split = numbered.join(pieces, ["members", "group"]).select("link", "first", "last", "to")
+    targets = write_and_read_back(targets.select("link", F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"), "to")
+                                  .union(split), "targets")
+    one = targets.where("first is null").select("link", "to")
+    few = write_and_read_back(targets.where("first is not null"), "pieces")
+    # few groups are cut, so their keys are few
+    torn = F.broadcast(few.select("link").distinct())
+    rest = linked.join(torn, "link", "left_anti").join(one, "link", "left")
+    rest = rest.withColumn("shard", F.coalesce("to", "shard")).drop("to")
+    within = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
+    dealt = ranked(linked.join(torn, "link", "left_semi"), ["link"], "order").join(F.broadcast(few), "link").where(within)
+    dealt = dealt.withColumn("shard", F.col("to")).drop("to", "first", "last", "rank")
+    return write_and_read_back(rest.unionByName(dealt), "settled")
+
+
 def shard_rows(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS, seed: int = 11) -> DataFrame:
     """Every document's shard and its slot there, shards' row counts at most one apart.
 
     `docs` needs `doc_id` and `text`; other columns are ignored. Documents of equal text are
     linked (null texts aren't). One row per document: doc_id, size (UTF-8 bytes of the text plus
     1; null: 1), text_crc32 (of null: 0), linked, shard, slot (gapless from 0), text_key (xxhash64
-    of the text). Groups stay together unless they or the shards are too full. Repeated rows and
+    of the text). Groups stay together unless they are larger than a shard or fill the shards so that
+    no room for a whole one is left: under `shards` of those. Repeated rows and
     null ids are rows like others; an empty table gives no rows.
     """
     rows = docs.select(
@@ -76,7 +171,9 @@ def shard_rows(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS, seed: in
     marked = write_and_read_back(
         rows.join(groups.select(F.col("link").alias("group"), "members"), F.col("link") == F.col("group"), "left")
         .drop("members"), "marked")
+    quota = {s: total // shards + (s < total % shards) for s in range(shards)}
     linked = propagate(marked.where("group is not null").drop("group"), shards, -(-total // shards), rounds)
+    linked = settle(linked, list(quota.values()))
     single = marked.where("group is null").drop("group")
     # documents without links rank last, so they are the ones that move to even the counts
     free = F.shiftright("order", 1)
@@ -85,7 +182,6 @@ def shard_rows(docs: DataFrame, shards: int = 16, rounds: int = ROUNDS, seed: in
                    ["shard"], "place")
     every = write_and_read_back(every.drop("place", "order"), "ranked")
     load = {r.shard: r["count"] for r in every.groupBy("shard").count().collect()}
-    quota = {s: total // shards + (s < total % shards) for s in range(shards)}
     first, rest = {}, 0
     spans, room = [], 0
     for s in range(shards):

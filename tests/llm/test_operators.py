@@ -261,6 +261,47 @@ def test_shards(documents, odd_rows):
     assert {(r.doc_id, r.text_crc32, r["size"]) for r in got} == known
 
 
+@pytest.mark.parametrize("large", [0, 500])
+def test_groups_that_fit_are_not_cut(documents, large):
+    rng = random.Random(19)
+    sizes = [large] * bool(large) + [2] * 100 + [rng.randrange(2, 51) for _ in range(16)]
+    texts = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)]
+    texts += [f"single {i}" for i in range(sum(sizes) // 3)]
+    got = shards.shard_rows(documents(list(enumerate(texts))), 16).collect()
+    counts = [sum(r.shard == s for r in got) for s in range(16)]
+    assert len(got) == len(texts) and max(counts) - min(counts) <= 1
+    where = {}
+    for r in got:
+        where.setdefault(texts[r.doc_id], set()).add(r.shard)
+    cut = {t: len(s) for t, s in where.items() if len(s) > 1}
+    assert set(cut) <= {"group 0"} if large else not cut
+    assert not large or cut["group 0"] <= -(-large // min(counts)) + 1
+
+
+def test_packed():
+    rng = random.Random(20)
+    for _ in range(300):
+        room = [rng.randrange(30) for _ in range(5)]
+        counts, left = {}, sum(room)
+        while left > 0 and rng.random() < 0.95:
+            n = rng.randrange(1, min(left, rng.choice([6, 60])) + 1)
+            counts[n] = counts.get(n, 0) + 1
+            left -= n
+        whole, cut, late = shards.packed(counts, room, max(room))
+        rows, used = {}, [0] * 5
+        for n, first, last, s in whole:
+            used[s] += n * (last - first)
+            for g in range(first, last):
+                rows.setdefault((n, g), []).extend(range(n))
+        for n, g, first, last, s in cut:
+            used[s] += last - first
+            rows.setdefault((n, g), []).extend(range(first, last))
+        assert all(sorted(x) == list(range(n)) for (n, _), x in rows.items())
+        assert set(rows) == {(n, g) for n, c in counts.items() for g in range(c)}
+        assert all(a <= b for a, b in zip(used, room, strict=True)) and late < 5
+    assert shards.packed({3: 2, 2: 2}, [5, 5], 5)[1:] == ([], 0)
+
+
 def test_grants():
     assert shards.grants({(0, 1): 5, (1, 0): 3}, [5, 5], 5) == {(0, 1): 3, (1, 0): 3}
     assert shards.grants({(0, 1): 5}, [5, 3], 5) == {(0, 1): 2}
