@@ -113,7 +113,7 @@ class Automaton:
 
 
 class Scanner:
-    """The automaton, the word numbers it uses, and which word pairs occur in it."""
+    """The automaton, the word numbers it uses, and which word pairs and one-word phrases occur in it."""
 
     def __init__(self, phrases: list[tuple[str, str]], texts: list[tuple[str, str]]):
         self.labels = [label for _, label in [*phrases, *texts]]
@@ -127,6 +127,8 @@ class Scanner:
         self.pairs = np.zeros((len(self.known) + 1, len(self.known) + 1), dtype=bool)
         for words in self.texts:
             self.pairs[words[:-1], words[1:]] = True
+        self.alone = np.zeros(len(self.known) + 1, dtype=bool)
+        self.alone[[x[0] for x in self.texts[:self.n_phrases] if len(x) == 1]] = True
         # phrases that are endings of a state's stretches, with their lengths: its own and those of its links
         link, length, places = self.automaton.link, self.automaton.length, self.automaton.places
         self.phrase_ends: list[list[tuple[int, int]]] = [[] for _ in length]
@@ -191,9 +193,16 @@ def _scan(batches: Iterator[pa.RecordBatch], scanner, kept: list[str]) -> Iterat
             same = scanner.pairs[number[:-1], number[1:]]
             edges = part.bounds[(part.bounds > 0) & (part.bounds < len(number))]
             same[edges - 1] = False
-            # stretches in which every word pair occurs in a text; elsewhere matches are single words
+            # stretches in which every word pair occurs in a text; elsewhere matches are single words, of which
+            # only whole phrases count
             step = np.diff(np.concatenate([[0], same.astype(np.int8), [0]]))
             begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1) + 1
+            if scanner.alone.any():
+                single = scanner.alone[number]
+                single[:-1] &= ~same
+                single[1:] &= ~same
+                at = np.flatnonzero(single)
+                begin, end = np.sort(np.concatenate([begin, at])), np.sort(np.concatenate([end, at + 1]))
             row = np.searchsorted(part.bounds, begin, side="right") - 1
             phrases: dict[int, list] = {}
             found: dict[int, list] = {}

@@ -318,6 +318,31 @@ def test_licences(documents, odd_rows):
     assert 0 < got[32].score < licences.COVERED
 
 
+def phrases_brute(rows, phrases):
+    wanted = [(LETTERS.findall(p.translate(FOLD)), label) for p, label in phrases]
+    out = []
+    for doc_id, text in rows:
+        w = LETTERS.findall((text or "").translate(FOLD))
+        places = [(i, label) for p, label in wanted for i in range(len(w) - len(p) + 1) if w[i:i + len(p)] == p]
+        starts = [i for i, _ in places]
+        out.append((doc_id, len(w), len(places), min(starts, default=None), max(starts, default=None), sorted({x for _, x in places})))
+    return out
+
+
+BASE = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+
+
+def test_one_word_phrases(documents, odd_rows):
+    rng = random.Random(21)
+    phrases = [("mit", "mit"), ("the mit license", "mit-text"), ("gpl", "gpl"), ("license", "any")]
+    pool = ["MIT", "the", "license", "gpl", "GPL", "other", "x"]
+    rows = odd_rows + [(30, "MIT"), (31, "gpl"), (32, "see gpl")] + [
+        (40 + i, " ".join(rng.choice(pool) for _ in range(rng.randrange(9)))) for i in range(60)]
+    for texts in (licences.TEXTS, []):
+        got = licences.scan_licences(documents(rows), phrases, texts).select(BASE).collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, phrases_brute(rows, phrases)))
+
+
 def test_matching_statistics():
     rng = random.Random(12)
     texts = [[rng.randrange(4) for _ in range(rng.randrange(1, 25))] for _ in range(6)]
