@@ -110,6 +110,16 @@ def test_recompression(documents, odd_rows):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, repeats_brute(rows, 50)))
 
 
+def test_recompression_of_long_texts(documents, odd_rows):
+    rng = random.Random(22)
+    long_text = dict(odd_rows)[7].split()
+    rows = odd_rows + [(80, " ".join([*long_text[500:59_000], "x", *long_text[:499]])), (81, " ".join(long_text[30_000:30_050])),
+                       (82, sentence(rng, 30) + " " + " ".join(long_text[-49:]))]
+    got = recompress.repeated_spans(documents(rows), 50).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, repeats_brute(rows, 50)))
+    assert {r.doc_id: r.n_removed for r in got}[8] == 60_000
+
+
 def leaks_brute(rows, items, n):
     wins = {}
     for item, text in items:
@@ -144,6 +154,18 @@ def test_leaks(spark, documents, odd_rows, block):
     assert all(longest[d][0] <= n for d, n, _, _ in leaks_brute(rows, items, 10))
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_WORDS, 60])
+def test_leaks_in_long_texts(spark, documents, odd_rows, block):
+    long_text = dict(odd_rows)[7].split()
+    items = [(1, " ".join(long_text[:12])), (2, " ".join(long_text[31_000:31_030])), (3, " ".join(long_text[-9:]) + " more"),
+             (4, " ".join(long_text[-15:])), (5, "not in there at all, none of the ten words or more")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_leaks(documents(odd_rows), bench, 10, block_words=block)
+    got = found.select("doc_id", "n_words", decontaminate.hit_words().alias("n"), "items").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, leaks_brute(odd_rows, items, 10)))
+    assert {r.doc_id: list(r["items"]) for r in got}[8] == ["1", "2", "3", "4"]
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 500):
