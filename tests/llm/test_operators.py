@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from corpus_pipeline import STAGES
+from corpus_pipeline import STAGES, run
 from queixa.llm import decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, warc, words
 from tests.llm.conftest import sentence
 
@@ -365,6 +365,14 @@ def test_one_word_phrases(documents, odd_rows):
         assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, phrases_brute(rows, phrases)))
 
 
+def test_licence_phrases_of_the_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = licences.scan_licences(docs).select(BASE).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, phrases_brute(rows, licences.PHRASES)))
+    assert any(r.n_base for r in got)
+
+
 def test_matching_statistics():
     rng = random.Random(12)
     texts = [[rng.randrange(4) for _ in range(rng.randrange(1, 25))] for _ in range(6)]
@@ -488,3 +496,18 @@ def test_stages_take_effect(spark, documents, sf_dir, tmp_path):
         if name == "shards":
             assert after.count() == len(before)
         docs = after
+
+
+def test_pipeline_run(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    good = [(r.doc_id, r.text) for r in STAGES[0][1](spark, docs, sf_dir).collect()]
+    rest = [row for row, x in zip(good, near_brute(good, 5, 80), strict=True) if x[3]]
+    rest = {d: t for (d, t), x in zip(rest, leaks_brute(rest, items, 10), strict=True) if not x[2]}
+    size = {r.doc_id: (r["size"], r.taken) for r in mixture.mixture(docs.where(docs.doc_id.isin(list(rest)))).collect()}
+    expected = [(d, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1)
+                for d, t in rest.items() for _ in range(size[d][1] // size[d][0])]
+    got = run(spark, sf_dir).collect()
+    assert sorted((r.doc_id, r.text_crc32, r["size"]) for r in got) == sorted(expected) and expected
+    slots = [sorted(r.slot for r in got if r.shard == s) for s in range(16)]
+    assert all(x == list(range(len(x))) for x in slots) and max(map(len, slots)) - min(map(len, slots)) <= 1
