@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queixa.llm import decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, warc
+from queixa.llm import alignment, decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -94,6 +94,16 @@ def op10_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+# Vocabulary files of public tokenizers, read where the query is planned.
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query
+def op11_identity_map_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(read(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"'[^\x20\x09-\x0D]+'"
 LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
