@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queixa.llm import alignment, decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, warc
+from queixa.llm import alignment, decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, tries, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -104,6 +104,12 @@ def op11_identity_map_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+@query
+def op12_double_array_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(read(spark, sf_dir, "conversations")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"'[^\x20\x09-\x0D]+'"
 LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -202,3 +208,36 @@ kept AS (
 SELECT d.doc_id, (SELECT count(*) FROM counted c WHERE c.doc_id = d.doc_id) AS n_lines,
   (SELECT count(*) FROM gone_lines g WHERE g.doc_id = d.doc_id) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
+
+# DuckDB has no crc32: the table is the polynomial's eight steps per byte.
+SQL["op12_double_array_trie"] = r"""
+WITH steps AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)),
+own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS said
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+taken AS (
+  SELECT conv_id, said, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+    lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 4 AS h
+  FROM own, steps),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(f.said[1:c.h], []), c.said[c.h + 1:]) AS path
+  FROM taken c LEFT JOIN own f ON f.conv_id = c.conv_id - c.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, len(path) AS n, unnest(range(0, len(path) + 1)) AS d, path FROM rebuilt),
+nodes AS (
+  SELECT path[1:d] AS node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d) AS ends,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(any_value(path[d].t), '[^\x20\x09-\x0D]+')) END AS saved
+  FROM prefixes GROUP BY path[1:d], d),
+children AS (SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY node[1:d - 1], d - 1),
+own_sums AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node, d)),
+subtree AS (
+  SELECT node[1:k] AS node, k AS d, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT node, saved, n_children, unnest(range(0, d + 1)) AS k FROM own_sums) GROUP BY node[1:k], k)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(o.ends, '')) AS ends_sha256
+FROM own_sums o JOIN subtree s ON s.node = o.node AND s.d = o.d LEFT JOIN nodes p ON p.d = o.d - 1 AND p.node = o.node[1:o.d - 1]"""
