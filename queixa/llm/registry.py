@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queixa.llm import alignment, decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, tries, warc
+from queixa.llm import alignment, bilinear, decontaminate, forest, licences, lines, minhash, mixture, quality, recompress, shards, tries, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -110,6 +110,12 @@ def op12_double_array_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+@query
+def op13_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear.score_texts(read(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"'[^\x20\x09-\x0D]+'"
 LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
