@@ -12,10 +12,12 @@ per chunk, and a chunk gets its own pairs' counts back.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,13 @@ from queixa.session import write_and_read_back
 # Neither tokenizer has a token across such a space: A cuts words there, and no piece of B goes on
 # over a space (checked when it is loaded). A text's tokens are those of the stretches between.
 CUT = re.compile(r"(?<=[!-~]) (?=[A-Za-z])")
+# Stretches that begin and end at such a cut, of letters whose class is the same in every version of
+# Unicode: joined by spaces they have the tokens that they have alone.
+PLAIN = re.compile("[A-Za-z](?:[\\t\\n\\r -~À-ÖØ-öø-ɏ]*[!-~])?")
+# How byte-level BPE cuts a text into words (fixed by the tokenizer's format).
+WORDS_OF_A = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Bytes handed to the tokenizers in one call.
-CALL_BYTES = 1 << 19
+CALL_BYTES = 1 << 17
 
 CHUNKS = pa.schema([
     ("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())),
@@ -70,6 +77,7 @@ class Pair:
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for text, i in vocabulary.items():
             self.bytes_a[i] = bytes(map(letters.__getitem__, text)) if letters.keys() >= set(text) else text.encode()
+        self.fast = self._ranked(json.loads(byte_json))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("pieces that go on over a space cannot be cut there")
@@ -83,7 +91,28 @@ class Pair:
         self.text_a = [f"{i}{end}" for end in ",|" for i in range(len(self.bytes_a))]
         self.text_b = [f"{i}{end}" for end in ",;" for i in range(len(self.bytes_b))]
 
-    def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def _ranked(self, file: dict):
+        """A's merges by rank, for plain text: the same ids several times faster. None where its ids are not in the order of its merges."""
+        import tiktoken
+
+        model, cut = file["model"], file.get("pre_tokenizer") or {}
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model.get("merges", [])]
+        made = [model["vocab"].get(m, -1) for m in merged]
+        usual = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not file.get("normalizer")
+        plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        if not usual or not plain or not made or made != list(range(256, 256 + len(made))) or len(model["vocab"]) != 256 + len(made):
+            return None
+        ranks = {self.bytes_a[i]: i for i in model["vocab"].values()}
+        return tiktoken.Encoding("plain", pat_str=WORDS_OF_A, mergeable_ranks=ranks, special_tokens={})
+
+    def joined(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """Tokens of plain stretches, one after the other."""
+        text = " ".join(texts)
+        a = self.fast.encode_ordinary(" " + text) if self.fast else self.a.encode(" " + text, add_special_tokens=False).ids
+        lines = [" ".join(texts[i:i + 100]) for i in range(0, len(texts), 100)]
+        return a, list(chain.from_iterable(self.b.encode(lines, num_threads=1)))
+
+    def each(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         return [x.ids for x in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
 
 
@@ -93,54 +122,70 @@ def _loaded(byte_json: bytes, piece_model: bytes) -> Pair:
 
 
 class _Aligned:
-    """Stretches of text with their groups as text and their links, one after the other."""
+    """Stretches of text with their counts (A, B, groups, links), their groups as text and their links, one after the other."""
 
     def __init__(self, pair: Pair, texts: list[str]) -> None:
-        parts = []
+        plain = np.array([PLAIN.fullmatch(t) is not None for t in texts], dtype=bool)
+        self.order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        self.counts, self.groups, self.links = [], [], []
+        self.whole = np.ones(len(texts), dtype=bool)
+        self._calls(pair, [texts[i] for i in np.flatnonzero(plain).tolist()], self._plain)
+        self._calls(pair, [texts[i] for i in np.flatnonzero(~plain).tolist()], self._odd)
+        # back to the order of the texts
+        counts, groups = np.concatenate([np.empty((0, 4), dtype=np.int64), *self.counts]), self.groups
+        self.links = np.concatenate([np.empty(0, dtype=np.int64), *self.links])
+        place = np.argsort(self.order)
+        self.whole, self.counts, self.groups = self.whole[place], counts[place], [groups[i] for i in place.tolist()]
+        self.first_link = offsets(counts[:, 3])[:-1][place]
+
+    def _calls(self, pair: Pair, texts: list[str], call) -> None:
         at = 0
         while at < len(texts):
             end, size = at, 0
             while end < len(texts) and (end == at or size + len(texts[end]) <= CALL_BYTES):
                 size += len(texts[end])
                 end += 1
-            parts.append(self._call(pair, texts[at:end]))
+            call(pair, texts[at:end])
             at = end
-        self.whole = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, dtype=bool)
-        self.counts = np.concatenate([p[1] for p in parts]) if parts else np.empty((0, 4), dtype=np.int64)
-        self.groups = [x for p in parts for x in p[2]]
-        self.links = np.concatenate([p[3] for p in parts]) if parts else np.empty(0, dtype=np.int64)
-
-    @staticmethod
-    def _call(pair: Pair, texts: list[str]):
-        """Which texts come out whole, their counts (A, B, groups, links), their groups as text, all their links."""
-        found_a, found_b = pair.tokens(texts)
+
+    def _plain(self, pair: Pair, texts: list[str]) -> None:
+        a, b = pair.joined(texts)
+        whole = (" " + " ".join(texts)).encode()
+        if b"".join(map(pair.bytes_a.__getitem__, a)) != whole or b"".join(map(pair.bytes_b.__getitem__, b)) != whole:
+            self._odd(pair, texts)
+        else:
+            self._align(pair, np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), np.array([1 + len(t.encode()) for t in texts]))
+
+    def _odd(self, pair: Pair, texts: list[str]) -> None:
+        found_a, found_b = pair.each(texts)
         wanted = [b" " + t.encode() for t in texts]
-        whole = np.array([b"".join(map(pair.bytes_a.__getitem__, a)) == w == b"".join(map(pair.bytes_b.__getitem__, b))
-                          for a, b, w in zip(found_a, found_b, wanted, strict=True)], dtype=bool)
-        found_a = [x if ok else [] for x, ok in zip(found_a, whole, strict=True)]
-        found_b = [x if ok else [] for x, ok in zip(found_b, whole, strict=True)]
-        n_a, n_b = (np.array([len(x) for x in own], dtype=np.int64) for own in (found_a, found_b))
-        a = np.fromiter((i for x in found_a for i in x), dtype=np.int64, count=int(n_a.sum()))
-        b = np.fromiter((i for x in found_b for i in x), dtype=np.int64, count=int(n_b.sum()))
+        whole = [b"".join(map(pair.bytes_a.__getitem__, a)) == w == b"".join(map(pair.bytes_b.__getitem__, b))
+                 for a, b, w in zip(found_a, found_b, wanted, strict=True)]
+        a, b = ([i for x, ok in zip(found, whole, strict=True) if ok for i in x] for found in (found_a, found_b))
+        at = len(self.groups)
+        self.whole[at:at + len(texts)] = whole
+        lengths = np.array([len(w) if ok else 0 for w, ok in zip(wanted, whole, strict=True)])
+        self._align(pair, np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), lengths)
+
+    def _align(self, pair: Pair, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> None:
+        """Tokens of stretches that stand one after the other, `lengths` bytes each."""
         ends_a, ends_b = np.cumsum(pair.length_a[a]), np.cumsum(pair.length_b[b])
-        ends = np.union1d(ends_a, ends_b)
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        links = a[np.searchsorted(ends_a, ends)] * len(pair.bytes_b) + b[np.searchsorted(ends_b, ends)]
-        # texts stand one after the other, so a text's stretch ends where its last token does
-        text_ends = np.cumsum([len(w) if ok else 0 for w, ok in zip(wanted, whole, strict=True)])
-        edges = np.concatenate([[0], text_ends])
-        n_links = np.diff(np.searchsorted(ends, edges, side="right"))
-        n_groups = np.diff(np.searchsorted(shared, edges, side="right"))
-        # a token's group, its place among A and B tokens group by group, and its text with what follows it
-        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
-        last_a, last_b = np.isin(ends_a, shared, assume_unique=True), np.isin(ends_b, shared, assume_unique=True)
+        last_a, last_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
+        ends = np.sort(np.concatenate([ends_a, ends_b[~last_b]]), kind="stable")
+        shared = ends_a[last_a]
+        self.links.append(a[np.searchsorted(ends_a, ends)] * len(pair.bytes_b) + b[np.searchsorted(ends_b, ends)])
+        edges = offsets(lengths)
+        cuts = [np.searchsorted(x, edges, side="right") for x in (ends_a, ends_b, shared, ends)]
+        self.counts.append(np.stack([np.diff(x) for x in cuts], axis=1))
+        # a token's place among A and B tokens, group by group, and its text with what follows it
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        through_a, through_b = np.bincount(group_a, minlength=len(shared)).cumsum(), np.bincount(group_b, minlength=len(shared)).cumsum()
         order = np.empty(len(a) + len(b), dtype=np.int64)
-        order[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + last_a * len(pair.bytes_a)
-        order[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = -1 - (b + last_b * len(pair.bytes_b))
+        order[np.arange(len(a)) + np.concatenate([[0], through_b])[group_a]] = a + last_a * len(pair.bytes_a)
+        order[np.arange(len(b)) + through_a[group_b]] = -1 - (b + last_b * len(pair.bytes_b))
         said = [pair.text_a[i] if i >= 0 else pair.text_b[-1 - i] for i in order.tolist()]
-        bounds = offsets(n_a + n_b)
-        groups = ["".join(said[x:y])[:-1] for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        return whole, np.stack([n_a, n_b, n_groups, n_links], axis=1), groups, links
+        bounds = (cuts[0] + cuts[1]).tolist()
+        self.groups += ["".join(said[x:y])[:-1] for x, y in zip(bounds, bounds[1:], strict=False)]
 
 
 def _pack(table: pa.Table, pair: Pair) -> dict:
@@ -166,8 +211,8 @@ def _pack(table: pa.Table, pair: Pair) -> dict:
     documents = np.repeat(np.arange(len(sizes)), sizes)
     both, times = np.unique(documents * max(1, len(numbers)) + stretches, return_counts=True)
     documents, stretches = np.divmod(both, max(1, len(numbers)))
-    n_links, first_link = known.counts[:, 3], offsets(known.counts[:, 3])[:-1]
-    at = spread(first_link[stretches], n_links[stretches])
+    n_links = known.counts[:, 3]
+    at = spread(known.first_link[stretches], n_links[stretches])
     width = len(pair.bytes_a) * len(pair.bytes_b)
     held, place = np.unique(np.repeat(documents, n_links[stretches]) * width + known.links[at], return_inverse=True)
     times = np.bincount(place, weights=np.repeat(times, n_links[stretches]), minlength=len(held)).astype(np.int64)

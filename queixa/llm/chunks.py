@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 
 # Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
