@@ -265,6 +265,12 @@ ORACLES["star_denormalised"] = dirty(
     CAST(year(data_abertura) AS BIGINT) AS ano, CAST(month(data_abertura) AS BIGINT) AS mes,
     strftime(data_abertura, '%Y-%m') AS ano_mes, CAST(quarter(data_abertura) AS BIGINT) AS trimestre,
     CAST(1 AS BIGINT) AS qtd FROM {STAR_JOIN}""")
+ORACLES["raw_files_with_breaks"] = dirty("""SELECT
+    CASE WHEN municipio LIKE '%3' THEN municipio || chr(10) || '"centro"; sul' || chr(10)
+         WHEN municipio LIKE '%5' THEN chr(10) || municipio ELSE municipio END AS municipio,
+    status, sigla_servico, count(*) AS linhas FROM bruto GROUP BY 1, 2, 3""")
+ORACLES["raw_files_other_headers"] = dirty("""SELECT CASE WHEN sigla_servico = 'SCM' THEN porte END AS porte, grupo_economico, uf_sigla,
+    sigla_servico, count(*) AS linhas, count(DISTINCT operadora_raw) AS nomes, max(data_abertura) AS maior_texto FROM bruto GROUP BY 1, 2, 3, 4""")
 ORACLES["etl_from_files"] = dirty(
     *STAR, f"""SELECT CAST(year(data_abertura) AS BIGINT) AS ano, o.nome AS operadora, u.regiao, t.categoria, f.status,
     sigla_servico AS servico, count(*) AS qtd FROM {STAR_JOIN} GROUP BY ALL""")

@@ -27,7 +27,7 @@ from queixa.operators.star import star_of
 from queixa.plans import datasets, hypotheses, kpis
 from queixa.plans.measures import evaluate
 from queixa.session import shared_folder, write_and_read_back
-from queixa.sources.raw import canonical_columns, read_many
+from queixa.sources.raw import canonical_columns, read_many, read_raw_csv
 from queixa.sources.sinks import run_etl, store_dimensions, write_kpis
 from queixa.sources.star_files import RAW_FILES, load_fact, read_star
 
@@ -193,6 +193,34 @@ def _write_raw_files(spark, sf_dir) -> str:
     return folder
 
 
+RAW_WRITER = {"sep": ";", "header": True, "encoding": "ISO-8859-1", "quote": '"', "escape": '"', "emptyValue": "",
+              "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+@query
+def raw_files_with_breaks(spark, sf_dir):
+    """Cells with line breaks, separators and quotes, in files that are split among tasks."""
+    path = os.path.join(shared_folder(spark), f"quebras-{uuid.uuid4().hex}")
+    place = F.col("Municipio")
+    broken = F.when(place.endswith("3"), F.concat(place, F.lit('\n"centro"; sul\n'))).when(
+        place.endswith("5"), F.concat(F.lit("\n"), place)).otherwise(place)
+    raw_complaints(spark, sf_dir).withColumn("Municipio", broken).write.csv(path, **RAW_WRITER)
+    rows = canonical_columns(read_raw_csv(spark, path))
+    return rows.groupBy("municipio", "status", "sigla_servico").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+@query
+def raw_files_other_headers(spark, sf_dir):
+    """One folder whose files name their columns in different orders, some without all of them."""
+    path = os.path.join(shared_folder(spark), f"cabecalhos-{uuid.uuid4().hex}")
+    scm, smp = raw_files(spark, sf_dir)
+    scm.write.csv(path, **RAW_WRITER)
+    smp.select([c for c in reversed(smp.columns) if c != "Porte"]).write.mode("append").csv(path, **RAW_WRITER)
+    rows = canonical_columns(read_raw_csv(spark, path))
+    return rows.groupBy("porte", "grupo_economico", "uf_sigla", "sigla_servico").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct("operadora_raw").alias("nomes"), F.max("data_abertura").alias("maior_texto"))
+
+
 @query
 def etl_from_files(spark, sf_dir):
     """Files to cleaned rows to a stored star, read back and counted."""
