@@ -1,4 +1,4 @@
-"""Words of UTF-8 texts as arrays: one 64-bit hash per word, computed over whole Arrow buffers.
+"""Words of UTF-8 texts as arrays: one 64-bit name per word, a keyed digest of its bytes.
 
 A word is a maximal run of bytes of one class. Both classes below treat every byte of a
 non-ASCII character as part of a word, so working on bytes equals working on characters.
@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +26,6 @@ LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 # Bytes worked on at once: the arrays of a piece stay in the processor's cache.
 PIECE = 1 << 18
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
@@ -37,49 +35,37 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-_FOLDED = _BYTES.copy()
-_FOLDED[0x41:0x5B] = _BYTES[0x61:0x7B]
+class _Names(dict):
+    """Names of words: digests, so that no two words share one by their letters. Forgotten when there are too many."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= MOST_NAMES:
+            self.clear()
+        self[word] = name = int.from_bytes(blake2b(word, digest_size=8, key=b"words").digest(), "little")
+        return name
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, as many as were asked for."""
 
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
+MOST_NAMES = 1 << 17
+_NAMES = _Names()
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = 1 << (n - 1).bit_length()
-            for name, base in (("up", _BASE), ("down", _INVERSE)):
-                steps = np.full(size, base, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-        return self.up[:n], self.down[:n]
 
-
-_POWERS = _Powers()
+@lru_cache(maxsize=8)
+def _blanked(word: bytes, fold: bool) -> bytes:
+    """A translation table: bytes outside words become blanks, A-Z become a-z if folded."""
+    table = bytearray(b if inside else 0x20 for b, inside in enumerate(word))
+    if fold:
+        table[0x41:0x5B] = table[0x61:0x7B]
+    return bytes(table)
 
 
 def _hashes(data: np.ndarray, cuts: np.ndarray, word: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of `data`, and how many words start before each of `cuts` (where rows begin)."""
-    if not len(data):
-        return np.empty(0, dtype=np.uint64), np.zeros(len(cuts), dtype=np.int64)
-    inside = word[data]
-    edges = cuts[(cuts > 0) & (cuts < len(data))]
-    before = np.empty_like(inside)
-    before[0], before[1:] = False, inside[:-1]
-    before[edges] = False
-    after = np.empty_like(inside)
-    after[-1], after[:-1] = False, inside[1:]
-    after[edges - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero(inside & ~after) + 1
-    up, down = _POWERS.get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((_FOLDED if fold else _BYTES)[data] * up[:-1], out=sums[1:])
-    found = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return mixed(found), np.searchsorted(starts, cuts)
+    """Names of the words of `data`, row by row, and each row's bounds among them; rows begin and end at `cuts`."""
+    text = data.tobytes().translate(_blanked(word.tobytes(), fold))
+    found, sizes = [], [0]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        found += text[a:b].split()
+        sizes.append(len(found))
+    return np.fromiter(map(_NAMES.__getitem__, found), dtype=np.uint64, count=len(found)), np.array(sizes)
 
 
 @dataclass
@@ -111,7 +97,7 @@ def _long_row(data: np.ndarray, word: np.ndarray, fold: bool) -> np.ndarray:
                 end = max(at, end - PIECE) + int(stop[-1]) + 1
                 break
             end = min(len(data), end + PIECE)
-        parts.append(_hashes(data[at:end], np.zeros(1, dtype=np.int64), word, fold)[0])
+        parts.append(_hashes(data[at:end], np.array([0, end - at]), word, fold)[0])
         at = end
     return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
 
@@ -152,15 +138,28 @@ def _joined(held: list[Words]) -> Words:
     return Words(held[0].first, held[-1].last, np.concatenate([x.hashes for x in held]), np.concatenate(bounds))
 
 
+_LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _both(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The name of one stretch followed by another. Mixed at each step: no sum of powers, whose terms could cancel out."""
+    return mixed(mixed(left + _LEFT) + right * _RIGHT)
+
+
 def windows(hashes: np.ndarray, n: int) -> np.ndarray:
-    """A hash of each n consecutive words (a rolling polynomial, by doubling)."""
+    """A hash of each n consecutive words: stretches of 1, 2, 4, ... words, put together."""
     count = len(hashes) - n + 1
     if count <= 0:
         return np.empty(0, dtype=np.uint64)
-    up, down = _POWERS.get(len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * up[:-1], out=sums[1:])
-    return mixed((sums[n:] - sums[:count]) * down[:count])
+    found, done, stretch, size = None, 0, hashes, 1
+    while size <= n:
+        if n & size:
+            own = stretch[done:done + count]
+            found, done = (own if found is None else _both(found, own)), done + size
+        size *= 2
+        if size <= n:
+            stretch = _both(stretch[:len(stretch) - size // 2], stretch[size // 2:])
+    return mixed(found)
 
 
 def as_long(x: np.ndarray) -> pa.Array:
