@@ -1,9 +1,9 @@
 """Benchmark decontamination with suffix arrays over the training words.
 
 Each task cuts its documents into shards, sorts the suffixes of a shard's word sequence, and
-finds every suffix of every benchmark item by binary search. No document is moved. The
-benchmark is sent to the tasks in blocks of at most BLOCK_WORDS words, one search after
-another, so what is broadcast has a fixed bound however large the benchmark is.
+finds every suffix of every benchmark item by binary search. The benchmark is sent to the tasks
+in blocks of about BLOCK_WORDS words. Each block is a job of its own that stores what it found,
+so one block is held at a time, however large the benchmark is.
 """
 
 from __future__ import annotations
@@ -15,16 +15,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from queixa.llm.columns import others, set_aside, without_results
 from queixa.llm.words import LETTERS, as_lists, hashed
+from queixa.session import write_and_read_back
 
 # Words in one shard's suffix array, unless a single document has more.
 SHARD_WORDS = 1 << 19
-# Benchmark words in one broadcast block: 32 MB of hashes.
-BLOCK_WORDS = 1 << 22
+# Benchmark words in one broadcast block: up to about 64 bytes each, their windows included.
+BLOCK_WORDS = 1 << 20
 
-RESULT = ("n_words long, hit_spans array<struct<start:long,end:long>>, items array<string>, "
-          "longest_match long, match_start long, match_item string")
+_SPAN = T.StructType().add("start", "long").add("end", "long")
+RESULT = (T.StructType().add("n_words", "long").add("hit_spans", T.ArrayType(_SPAN)).add("items", T.ArrayType(T.StringType()))
+          .add("longest_match", "long").add("match_start", "long").add("match_item", "string"))
 
 
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
@@ -68,29 +72,30 @@ def _first(words: np.ndarray, order: np.ndarray, wanted: np.ndarray, lengths: np
 
 
 class Block:
-    """A bounded part of the benchmark: distinct windows, and where each stands in which item text."""
+    """A bounded part of the benchmark: its distinct words, its distinct windows as places among
+    those words, and where each window stands in which item text."""
 
-    def __init__(self, rows: list[tuple[list[str], list[int]]], window: int):
+    def __init__(self, rows: list[tuple[list[str], np.ndarray]], window: int):
         self.names = [names for names, _ in rows]
-        windows, lengths, item, place = [], [], [], []
-        for i, (_, words) in enumerate(rows):
-            words = np.array(words, dtype=np.int64).view(np.uint64)
-            n = min(window, len(words))
-            for p in range(len(words) - n + 1):
-                row = np.zeros(window, dtype=np.uint64)
-                row[:n] = words[p:p + n]
-                windows.append(row)
-                lengths.append(n)
-                item.append(i)
-                place.append(p)
-        table = np.column_stack([np.array(lengths, dtype=np.uint64), np.array(windows).reshape(-1, window)])
-        distinct, inverse = np.unique(table, axis=0, return_inverse=True)
+        sizes = np.array([len(words) for _, words in rows], dtype=np.int64)
+        words = np.concatenate([np.empty(0, dtype=np.uint64), *(words for _, words in rows)])
+        self.known, ranks = np.unique(words, return_inverse=True)
+        text = np.append(ranks.ravel().astype(np.int32), np.full(window, -1, dtype=np.int32))
+        lengths = np.minimum(sizes, window)
+        count = sizes - lengths + 1
+        item = np.repeat(np.arange(len(rows), dtype=np.int32), count)
+        starts = np.cumsum(sizes) - sizes
+        place = (np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
+        table = text[(starts[item] + place)[:, None] + np.arange(window)]
+        table[np.arange(window) >= lengths[item][:, None]] = -1
+        rows_as_bytes = np.ascontiguousarray(table).view(np.dtype((np.void, table.shape[1] * 4))).ravel()
+        _, first, inverse = np.unique(rows_as_bytes, return_index=True, return_inverse=True)
         inverse = inverse.ravel()
-        self.lengths, self.windows = distinct[:, 0].astype(np.int64), distinct[:, 1:]
+        self.windows, self.lengths = table[first], lengths[item[first]].astype(np.int64)
         # owners of window w: suffixes order[starts[w]:starts[w + 1]]
         order = np.argsort(inverse, kind="stable")
-        self.starts = np.searchsorted(inverse[order], np.arange(len(distinct) + 1))
-        self.item, self.place = np.array(item)[order], np.array(place)[order]
+        self.starts = np.searchsorted(inverse[order], np.arange(len(first) + 1))
+        self.item, self.place = item[order], place[order]
 
     def items_of(self, w: int) -> np.ndarray:
         return self.item[self.starts[w]:self.starts[w + 1]]
@@ -104,14 +109,14 @@ def _places(found: np.ndarray, bounds: np.ndarray, block: Block) -> tuple[np.nda
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     words = np.zeros(len(found) + len(bounds) - 1 + width, dtype=np.int64)
     words[np.arange(len(found)) + rows] = ranks.ravel() + 1
-    at = np.searchsorted(known, block.windows)
-    there = known[np.minimum(at, len(known) - 1)] == block.windows
-    unused = np.arange(width)[None, :] >= block.lengths[:, None]
-    whole = np.flatnonzero((there | unused).all(axis=1))
+    # the block's words among the shard's; a window is looked for if all of its words are there
+    place_of = np.searchsorted(known, block.known)
+    there = np.append(known[np.minimum(place_of, len(known) - 1)] == block.known, True)
+    whole = np.flatnonzero(there[block.windows].all(axis=1))
     if not len(whole):
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), words
     order = suffix_array(words[:len(words) - width], width)
-    wanted, lengths = at[whole] + 1, block.lengths[whole]
+    wanted, lengths = np.append(place_of, 0)[block.windows[whole]] + 1, block.lengths[whole]
     low = _first(words, order, wanted, lengths, False)
     high = _first(words, order, wanted, lengths, True)
     count = high - low
@@ -137,10 +142,10 @@ def _longest(place: np.ndarray, which: np.ndarray, block: Block) -> tuple[np.nda
     return p[first], item[first], p[last] + length[last] - p[first]
 
 
-def _search(batches: Iterator[pa.RecordBatch], block, window: int, kept: list[str], first: bool) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], block, window: int, kept: list[str], text: str, first: bool) -> Iterator[pa.RecordBatch]:
     block = block.value
     for batch in batches:
-        texts = batch.column(batch.schema.names.index("text"))
+        texts = batch.column(batch.schema.names.index(text))
         out: dict[str, list] = {"n_words": [], "hit_spans": [], "items": [], "longest_match": [], "match_start": [], "match_item": []}
         for shard in hashed(texts, LETTERS, fold=True, words=SHARD_WORDS):
             n = shard.last - shard.first
@@ -205,7 +210,9 @@ def _merged(out: dict[str, list], batch: pa.RecordBatch) -> dict[str, list]:
                     np.array([x["end"] - x["start"] for x in both], dtype=int))
         out["hit_spans"][i] = joined[0]
         out["items"][i] = sorted({*old["items"][i], *out["items"][i]})
-        if old["longest_match"][i] >= out["longest_match"][i]:
+        if not out["longest_match"][i] or old["longest_match"][i] and (
+                (-old["longest_match"][i], old["match_start"][i], old["match_item"][i])
+                < (-out["longest_match"][i], out["match_start"][i], out["match_item"][i])):
             for name in ("longest_match", "match_start", "match_item"):
                 out[name][i] = old[name][i]
     return out
@@ -227,7 +234,8 @@ def _blocks(benchmark: DataFrame, window: int, most: int) -> Iterator[Block]:
     part = F.pmod(F.xxhash64("words"), F.lit(max(1, parts)))
     for i in range(parts):
         rows = words.where(part == i).groupBy("words").agg(F.collect_set("item_id").alias("names")).collect()
-        yield Block([(sorted(r.names), r.words) for r in sorted(rows, key=lambda r: sorted(r.names))], window)
+        yield Block([(sorted(r.names), np.array(r.words, dtype=np.int64).view(np.uint64))
+                     for r in sorted(rows, key=lambda r: sorted(r.names))], window)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -239,23 +247,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_wo
     columns named as a result are replaced) and: n_words; hit_spans, the unions of all window
     occurrences as word ranges; items, the sorted ids of items with an occurring window;
     longest_match, match_start, match_item, the longest verbatim match in words (0 and null if
-    none; ties: first place). Null or empty texts have no words; items without words match
+    none; ties: first place, then smallest item). Null or empty texts have no words; items without words match
     nothing; a null item id is named `null`; repeated rows are judged alike; an empty benchmark
     hits nothing.
     """
     spark = docs.sparkSession
-    names = [x.split()[0] for x in RESULT.split(", ")]
-    own = [c for c in docs.columns if c not in names]
-    found, first = docs.select(own), True
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
+    own = others(docs.columns, RESULT.names)
+    (found, plain, back), first = set_aside(docs, own), True
+    search = partial(_search, window=window, kept=plain, text=plain[[c.casefold() for c in own].index("text")])
+    schema = T.StructType([*found.schema.fields, *RESULT.fields])
     for block in _blocks(benchmark, window, block_words):
         sent = spark.sparkContext.broadcast(block)
-        found = found.mapInArrow(partial(_search, block=sent, window=window, kept=own, first=first), f"{fields}, {RESULT}")
+        found = found if first else write_and_read_back(found, "leaks")
+        found = found.mapInArrow(partial(search, block=sent, first=first), schema)
         first = False
     if first:
         sent = spark.sparkContext.broadcast(Block([], window))
-        found = found.mapInArrow(partial(_search, block=sent, window=window, kept=own, first=True), f"{fields}, {RESULT}")
-    return found
+        found = found.mapInArrow(partial(search, block=sent, first=True), schema)
+    return back(found)
 
 
 def hit_words(spans: str = "hit_spans"):
@@ -264,11 +273,11 @@ def hit_words(spans: str = "hit_spans"):
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents without any word inside an occurrence of a benchmark window."""
-    names = [x.split()[0] for x in RESULT.split(", ")]
-    aside = {c: f"own {i}" if c in names else c for i, c in enumerate(docs.columns)}
-    found = find_leaks(docs.withColumnsRenamed(aside), benchmark, window)
-    return found.where(F.size("hit_spans") == 0).select([F.col(f"`{aside[c]}`").alias(c) for c in docs.columns])
+    """The documents without any word inside an occurrence of a benchmark window, with all their columns.
+
+    Null and empty texts have no words and stay; repeated rows stay or go alike; an empty table gives an empty one.
+    """
+    return without_results(docs, RESULT.names, lambda rows: find_leaks(rows, benchmark, window).where(F.size("hit_spans") == 0))
 
 
 def digest(names: str = "items"):

@@ -14,7 +14,9 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+from queixa.llm.columns import others, set_aside
 from queixa.llm.words import LETTERS, hashed
 
 # Phrases that are reported wherever they stand, with their labels.
@@ -49,8 +51,11 @@ TEXTS = [
 # and a span covers at least this share of its text.
 LONG_MATCH, GAP, COVERED = 3, 12, 0.7
 
-RESULT = ("n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, "
-          "spans array<struct<label:string,start:long,end:long,covered:double>>, longest_match long, score double")
+_TEXTS = T.ArrayType(T.StringType())
+_SPAN = T.StructType().add("label", "string").add("start", "long").add("end", "long").add("covered", "double")
+RESULT = (T.StructType().add("n_words", "long").add("n_base", "long").add("first_word", "long").add("last_word", "long")
+          .add("base_labels", _TEXTS).add("labels", _TEXTS).add("spans", T.ArrayType(_SPAN))
+          .add("longest_match", "long").add("score", "double"))
 
 
 class Automaton:
@@ -182,11 +187,11 @@ class Scanner:
         return sorted(done, key=lambda x: (x[1], x[2], x[0]))
 
 
-def _scan(batches: Iterator[pa.RecordBatch], scanner, kept: list[str]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], scanner, kept: list[str], text: str) -> Iterator[pa.RecordBatch]:
     scanner = scanner.value
     for batch in batches:
-        texts = batch.column(batch.schema.names.index("text"))
-        out: dict[str, list] = {x.split()[0]: [] for x in RESULT.split(", ")}
+        texts = batch.column(batch.schema.names.index(text))
+        out: dict[str, list] = {name: [] for name in RESULT.names}
         for part in hashed(texts, LETTERS, fold=True):
             n = part.last - part.first
             number = scanner.numbered(part.hashes)
@@ -247,9 +252,8 @@ def scan_licences(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES,
     of the licence text); longest_match in words, from LONG_MATCH on; score, the largest covered
     share, 0 to 1. Null or empty texts have no words and score 0. Every row is judged by itself.
     """
-    names = [x.split()[0] for x in RESULT.split(", ")]
-    own = [c for c in docs.columns if c not in names]
+    own = others(docs.columns, RESULT.names)
     sent = docs.sparkSession.sparkContext.broadcast(Scanner(phrases, texts))
-    kept = docs.select([docs[f"`{c}`"] for c in own])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(partial(_scan, scanner=sent, kept=own), f"{fields}, {RESULT}")
+    kept, plain, back = set_aside(docs, own)
+    scan = partial(_scan, scanner=sent, kept=plain, text=plain[[c.casefold() for c in own].index("text")])
+    return back(kept.mapInArrow(scan, T.StructType([*kept.schema.fields, *RESULT.fields])))

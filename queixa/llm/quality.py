@@ -9,24 +9,29 @@ less such sites differ, and the posterior joins evidence and path rate.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from queixa.llm.columns import others, quoted, without_results
 from queixa.llm.words import LETTERS, SPACED, _buffers, hashed
 from queixa.session import write_and_read_back
 
-# Labelled rows used for fitting, chosen by a hash of their id; strongest features kept.
-LABELLED, FEATURES = 40_000, 50_000
+# Labelled rows used for fitting, chosen by a hash of their id.
+LABELLED = 40_000
+# Forms and words are features by so many leading bits of their names: none is dropped, a few share a place.
+FEATURE_BITS = 19
 # A feature's rate is shrunk by this many documents at the overall rate.
 PRIOR = 5.0
-# Rejected from this posterior on: a text with a telling word seldom ends far below, a clean one far lower.
-THRESHOLD = 0.4
+# Rejected from this posterior on. Half of the labels of sf0.1 judged by the other half: see the README.
+THRESHOLD = 0.25
 FORM, WORD = 0, 1
+RESULT = ("evidence", "host_rate", "path_rate", "posterior", "rejected")
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[0x30:0x3A] = ord("9")
@@ -67,6 +72,10 @@ def _tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         at += len(some)
 
 
+def _place(names: np.ndarray) -> np.ndarray:
+    return names >> np.uint64(64 - FEATURE_BITS)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents, and rejected ones, that hold each form or word: partial sums of a batch."""
     for batch in batches:
@@ -75,7 +84,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last, form, form_at, word, word_at, _ in _tokens(batch.column(0)):
             for kind, values, bounds in ((FORM, form, form_at), (WORD, word, word_at)):
                 for i in range(last - first):
-                    own = np.unique(values[bounds[i]:bounds[i + 1]])
+                    own = np.unique(_place(values[bounds[i]:bounds[i + 1]]))
                     seen[kind].append(np.column_stack([own, np.full(len(own), bad[first + i], dtype=np.uint64)]))
         for kind in (FORM, WORD):
             both = np.concatenate(seen[kind]) if seen[kind] else np.empty((0, 2), np.uint64)
@@ -96,9 +105,7 @@ def _row_evidence(texts: pa.Array, model: dict) -> np.ndarray:
     out = np.zeros((len(texts), 5))
     for first, last, form, form_at, word, word_at, again in _tokens(texts):
         for values, bounds, kind in ((form, form_at, FORM), (word, word_at, WORD)):
-            known, odds = model["known"][kind], model["odds"][kind]
-            at = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1))
-            mine = np.where(known[at] == values, odds[at], 0.0) if len(known) else np.zeros(len(values))
+            mine = model["odds"][kind][_place(values)]
             for i in range(last - first):
                 a, b = bounds[i], bounds[i + 1]
                 if a == b:
@@ -133,10 +140,10 @@ def _features(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c) for c in x.T]], names=["bad", "a", "b", "c", "d", "e"])
 
 
-def _scores(batches: Iterator[pa.RecordBatch], model, kept: list[str], name: str) -> Iterator[pa.RecordBatch]:
+def _scores(batches: Iterator[pa.RecordBatch], model, kept: list[str], text: str, name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         own = model.value
-        texts = batch.column(batch.schema.names.index("text"))
+        texts = batch.column(batch.schema.names.index(text))
         odds = np.zeros(len(texts))
         if own["weights"] is not None:
             x = _row_evidence(texts, own)
@@ -145,7 +152,7 @@ def _scores(batches: Iterator[pa.RecordBatch], model, kept: list[str], name: str
             [*[batch.column(batch.schema.names.index(c)) for c in kept], pa.array(odds)], names=[*kept, name])
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, features: int = FEATURES) -> dict:
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
     """The classifier's weights from at most `labelled` labels; None as weights if a class is missing.
 
     A document is to be rejected if its quality is 0 or it is toxic. Half of the sample (by
@@ -163,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, features
     rows = write_and_read_back(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "labelled")
     counting, fitting = rows.where("half = 0").select("text", "bad"), rows.where("half = 1").select("text", "bad")
     total = counting.agg(F.count(F.lit(1)), F.coalesce(F.sum("bad"), F.lit(0))).first()
-    model: dict = {"weights": None, "known": [np.empty(0, np.uint64)] * 2, "odds": [np.empty(0)] * 2}
+    model: dict = {"weights": None, "odds": np.zeros((2, 1 << FEATURE_BITS), dtype=np.float32)}
     if not 0 < total[1] < total[0]:
         return model
     rate = total[1] / total[0]
@@ -171,11 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, features
         F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     shrunk = (F.col("bad") + PRIOR * rate) / (F.col("n") + PRIOR)
     odds = F.log(shrunk / (1 - shrunk)) - float(_logit(rate))
-    strongest = counted.select("kind", "feature", odds.alias("odds")).orderBy(F.abs("odds").desc(), "feature").limit(features).collect()
-    for kind in (FORM, WORD):
-        own = sorted((np.uint64(r.feature & ((1 << 64) - 1)), r.odds) for r in strongest if r.kind == kind)
-        model["known"][kind] = np.array([x for x, _ in own], dtype=np.uint64)
-        model["odds"][kind] = np.array([x for _, x in own])
+    # at most one row per place
+    found = counted.select("kind", "feature", odds.alias("odds")).toArrow()
+    model["odds"][found["kind"].to_numpy(), found["feature"].to_numpy()] = found["odds"].to_numpy()
     sent = spark.sparkContext.broadcast(model)
     seen = np.array([list(r) for r in fitting.mapInArrow(
         partial(_features, model=sent), "bad int, a double, b double, c double, d double, e double").collect()], dtype=float).reshape(-1, 6)
@@ -194,8 +199,8 @@ def _strength(groups: DataFrame) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang",
-          threshold: float = THRESHOLD, **options) -> DataFrame:
-    """All columns of `docs` (its own columns named as a result are replaced), and: evidence (log odds
+          threshold: float = THRESHOLD, columns: Sequence[str] | None = None, **options) -> DataFrame:
+    """`columns` of `docs` (all if not given; its own columns named as a result are replaced), and: evidence (log odds
     of being rejected by the text alone, beyond the corpus's odds), host_rate, path_rate, posterior, rejected.
 
     `docs` needs `doc_id`, `text`, and the columns `host` and `path`, where a path is told apart
@@ -206,18 +211,22 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     """
     spark = docs.sparkSession
     model = train(docs, labels, **options)
-    names = ["evidence", "host_rate", "path_rate", "posterior", "rejected"]
-    own = [c for c in docs.columns if c not in names]
-    kept = docs.select([docs[f"`{c}`"] for c in own])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    own = others(docs.columns if columns is None else columns, RESULT)
     sent = spark.sparkContext.broadcast(model)
 
-    def scored(rows: DataFrame, columns: list[str], kinds: str) -> DataFrame:
-        return rows.mapInArrow(partial(_scores, model=sent, kept=columns, name="evidence"), f"{kinds}, evidence double")
-
-    site = [F.col(f"`{host}`").cast("string").alias("site host"), F.col(f"`{path}`").cast("string").alias("site path")]
-    narrow = write_and_read_back(
-        scored(kept.select(*site, "text"), ["site host", "site path"], "`site host` string, `site path` string"), "evidence")
+    def scored(rows: DataFrame, columns: list[str]) -> DataFrame:
+        fields = [rows.schema[c] for c in columns]
+        return rows.mapInArrow(partial(_scores, model=sent, kept=columns, text=text, name="evidence"),
+                               T.StructType([*fields, T.StructField("evidence", T.DoubleType())]))
+
+    site = [quoted(host).cast("string").alias("site host"), quoted(path).cast("string").alias("site path")]
+    # evidence once; both the rates and the verdicts start from what is stored
+    aside = [f"own {i}" for i in range(len(own))]
+    text = next((a for a, c in zip(aside, own, strict=True) if c.casefold() == "text"), None)
+    rows = docs.select(*[quoted(c).alias(a) for a, c in zip(aside, own, strict=True)], *site,
+                       *([] if text else [F.col("text").alias("judged text")]))
+    text = text or "judged text"
+    narrow = write_and_read_back(scored(rows, [*aside, "site host", "site path"]), "evidence")
     chance = 1 / (1 + F.exp(-F.col("evidence")))
     paths = narrow.groupBy("site host", "site path").agg(F.count(F.lit(1)).alias("n"), F.sum(chance).alias("bad"))
     paths = write_and_read_back(paths, "paths")
@@ -236,18 +245,17 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
         p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
         return F.log(p / (1 - p))
 
-    judged = scored(kept, own, fields).join(
-        sites, site[0].eqNullSafe(F.col("site host")) & site[1].eqNullSafe(F.col("site path")), "left")
+    sites = sites.select(F.col("site host").alias("of host"), F.col("site path").alias("of path"), "host_rate", "path_rate")
+    judged = narrow.join(sites, F.col("site host").eqNullSafe(F.col("of host")) & F.col("site path").eqNullSafe(F.col("of path")), "left")
     odds = F.col("evidence") + logit(F.col("path_rate")) - logit(F.lit(float(rate)))
     posterior = 1 / (1 + F.exp(-odds))
     trained = model["weights"] is not None
-    return judged.select(*[F.col(f"`{c}`") for c in own], "evidence", "host_rate", "path_rate", posterior.alias("posterior"),
+    return judged.select(*[F.col(a).alias(c) for a, c in zip(aside, own, strict=True)], "evidence", "host_rate", "path_rate", posterior.alias("posterior"),
                          (F.lit(trained) & (posterior > threshold)).alias("rejected"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that aren't rejected, with all their columns."""
-    names = {"evidence", "host_rate", "path_rate", "posterior", "rejected"}
-    aside = {c: f"own {i}" if c in names else c for i, c in enumerate(docs.columns)}
-    judged = judge(docs.withColumnsRenamed(aside), labels, **options).where(~F.col("rejected"))
-    return judged.select([F.col(f"`{aside[c]}`").alias(c) for c in docs.columns])
+    """The documents that aren't rejected, with all their columns.
+
+    Null and empty texts are judged by their sites alone; without labels of both kinds all rows stay."""
+    return without_results(docs, RESULT, lambda rows: judge(rows, labels, **options).where(~F.col("rejected")))

@@ -81,7 +81,7 @@ def op8_suffix_automaton_licences(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op9_hierarchical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    found = quality.judge(docs, read(spark, sf_dir, "labels"))
+    found = quality.judge(docs, read(spark, sf_dir, "labels"), columns=["doc_id"])
     return found.select("doc_id", F.round("evidence", 6).alias("evidence"), F.round("host_rate", 6).alias("host_rate"),
                         F.round("path_rate", 6).alias("path_rate"), F.round("posterior", 6).alias("posterior"),
                         (~F.col("rejected")).alias("kept"))
