@@ -507,6 +507,30 @@ ORACLES["risk_score_filtered"] = over(
     rank_volume, rank_100k FROM risk WHERE operadora IN ('BUILDING', 'HOUSEHOLD')""")
 
 
+def _risk_of(where: str, keys: str, columns: str, shown: str) -> str:
+    """Score of whatever operators a cell holds, scaled by the largest single operator there."""
+    k, group = (f"{keys}, ", f"GROUP BY {keys}") if keys else ("", "")
+    return over(
+        f"""o AS (SELECT {k}operadora, sum(qtd) AS n, sum(qtd) / (any_value(assinantes) / 100000) AS p
+        FROM v LEFT JOIN subs USING (operadora) WHERE {where} GROUP BY {k}operadora)""",
+        f"top AS (SELECT {k}max(n) AS n, max(p) AS p FROM o {group})",
+        f"""c AS (SELECT {k}{N} AS total, coalesce({sum_if("status = 'Respondida'")} / sum(qtd), 0) AS taxa,
+        CASE WHEN count(DISTINCT coalesce(assinantes, -1)) = 1 THEN sum(qtd) / (any_value(assinantes) / 100000) END AS p100k
+        FROM v LEFT JOIN subs USING (operadora) WHERE {where} AND {shown} {group})""",
+        f"""risk AS (SELECT c.*, {half_away('(c.total / top.n * 0.40 + (1 - c.taxa) * 0.35 + coalesce(c.p100k / top.p, 0) * 0.25)', 4)} AS score
+        FROM c JOIN top {f'USING ({keys})' if keys else 'ON true'})""",
+        f"SELECT {columns} FROM risk")
+
+
+ORACLES["risk_card_one_operator"] = _risk_of("true", "", f"""total, {r6('score')} AS score_risco, {RATING} AS rating_risco,
+    CAST(CASE WHEN score >= 0.75 THEN 4 WHEN score >= 0.5 THEN 3 WHEN score >= 0.25 THEN 2 ELSE 1 END AS BIGINT) AS ordinal_risco,
+    CASE WHEN score <= 0.30 THEN 'baixo' WHEN score <= 0.45 THEN 'medio' ELSE 'alto' END AS faixa_score""", "operadora = 'BUILDING'")
+ORACLES["risk_by_month_one_operator"] = _risk_of(
+    "regiao IN ('ASIA', 'EUROPE')", "m", f"total, {r6('score')} AS score_risco, {RATING} AS rating_risco, {month_text('m')} AS ano_mes",
+    "operadora = 'MACHINERY'")
+ORACLES["risk_by_region"] = _risk_of("true", "regiao", f"regiao, total, {r6('score')} AS score_risco", "true")
+
+
 def _z(part: str) -> str:
     return f"(total - avg(total) OVER ({part})) / nullif(stddev_pop(total) OVER ({part}), 0)"
 
@@ -565,7 +589,6 @@ def _changes(keys: str, where: str, shown: str) -> str:
         {r6('(x - y) / nullif(y, 0)')} AS var_yoy, {month_text('m')} AS ano_mes FROM h WHERE {shown}""")
 
 
-ORACLES["month_previous_and_last_year"] = _changes("operadora", "true", "true")
 ORACLES["month_changes_filtered"] = _changes("", "regiao IN ('ASIA', 'EUROPE')", "ano = 1998")
 
 
@@ -611,6 +634,66 @@ ORACLES["ytd"] = over(
     {month_text('m')} AS ano_mes FROM v GROUP BY servico, m""")
 
 
+def _quarter(m: str) -> str:
+    return f"(({m} - 1) % 12) // 3 + 1"
+
+
+def _as_of(keys: str, period: str, months: str, value: str) -> str:
+    """Per key and period: its own total, and a value over the months that the period's last one looks back on."""
+    names = [c.strip().split(" AS ")[-1] for c in period.split(", ")]
+    same = " AND ".join(f"{c.split(' AS ')[0].replace('(m ', '(g.m ')} = k.{n}" if " AS " in c else f"g.{c} = k.{c}"
+                        for c, n in zip(period.split(", "), names, strict=True))
+    return over(
+        f"g AS (SELECT {keys}, m, any_value(ano) AS ano, sum(qtd) AS x FROM v GROUP BY {keys}, m)",
+        f"k AS (SELECT {period}, max(m) AS e FROM cal WHERE {months} GROUP BY ALL)",
+        f"""t AS (SELECT {keys}, {', '.join(f'k.{n}' for n in names)},
+        CAST(sum(x) FILTER ({same} AND g.m IN (SELECT m FROM cal WHERE {months})) AS BIGINT) AS total, {value}
+        FROM k JOIN g ON g.m <= k.e OR {same} GROUP BY ALL)""",
+        f"SELECT {keys}, {', '.join(f'CAST({n} AS BIGINT) AS {n}' for n in names)}, t.* EXCLUDE ({keys}, {', '.join(names)}) FROM t "
+        f"WHERE total IS NOT NULL OR {value.split(' AS ')[-1]} IS NOT NULL")
+
+
+_YTD = "CAST(sum(x) FILTER ((g.m - 1) // 12 = (k.e - 1) // 12 AND g.m <= k.e) AS BIGINT) AS ytd"
+_TRAILING = r6("avg(x) FILTER (g.m BETWEEN k.e - CASE WHEN k.e = (SELECT m FROM fim) AND (SELECT parcial FROM fim) "
+               "THEN 3 ELSE 2 END AND k.e)") + " AS media_movel_3m"
+ORACLES["ytd_by_year_quarter"] = _as_of("operadora", f"ano, {_quarter('m')} AS trimestre", "true", _YTD)
+ORACLES["ytd_by_quarter_filtered"] = _as_of(
+    "uf", f"{_quarter('m')} AS trimestre", "ano IN (1996, 1998) AND (m - 1) % 12 + 1 IN (1, 2, 4, 5, 10)", _YTD)
+ORACLES["moving_average_by_quarter"] = _as_of("regiao", f"ano, {_quarter('m')} AS trimestre", "true", _TRAILING)
+ORACLES["trend_by_year"] = (
+    f"""SELECT s.operadora, y.ano, t.total, s.tendencia FROM ({ORACLES['trend_slope']}) s
+    CROSS JOIN ({over("SELECT DISTINCT ano FROM cal")}) y
+    LEFT JOIN ({over(f"SELECT operadora, ano, {N} AS total FROM v GROUP BY 1, 2")}) t ON t.operadora = s.operadora AND t.ano = y.ano""")
+
+
+def _every_month(key: str, where: str, columns: str, kept: str) -> str:
+    """All months of the calendar for each key, with what they look back on; those without any value go."""
+    return over(
+        f"w AS (SELECT * FROM v WHERE {where})",
+        f"k AS (SELECT DISTINCT {key} FROM w)",
+        f"""g AS (SELECT k.{key}, c.m, c.ano, any_value(x.n) AS x FROM k CROSS JOIN cal c
+        LEFT JOIN (SELECT {key}, m, sum(qtd) AS n FROM w GROUP BY 1, 2) x ON x.{key} = k.{key} AND x.m = c.m GROUP BY 1, 2, 3)""",
+        f"""h AS (SELECT *, CAST({_back(1, key)} AS BIGINT) AS p, CAST({_back(12, key)} AS BIGINT) AS y,
+        CAST(sum(x) OVER (PARTITION BY {key}, ano ORDER BY m) AS BIGINT) AS ytd,
+        CASE WHEN (SELECT parcial FROM fim) AND m = (SELECT m FROM fim) THEN avg(x) OVER (PARTITION BY {key} ORDER BY m RANGE 3 PRECEDING)
+             ELSE avg(x) OVER (PARTITION BY {key} ORDER BY m RANGE 2 PRECEDING) END AS mm FROM g)""",
+        f"""SELECT {key}, CAST(x AS BIGINT) AS total, p AS mes_anterior, y AS ano_anterior,
+        {r6('(coalesce(x, 0) - p) / nullif(p, 0)')} AS var_mom, {columns}, {month_text('m')} AS ano_mes FROM h WHERE {kept}""")
+
+
+ORACLES["month_previous_and_last_year"] = _every_month(
+    "operadora", "true", f"{r6('(coalesce(x, 0) - y) / nullif(y, 0)')} AS var_yoy", "coalesce(x, p, y) IS NOT NULL")
+ORACLES["moving_average_by_operator"] = (
+    "SELECT operadora, total, media_movel_3m, ano_mes FROM ("
+    + _every_month("operadora", "true", f"{r6('mm')} AS media_movel_3m", "coalesce(x, mm) IS NOT NULL") + ")")
+ORACLES["blank_months_sparse"] = _every_month(
+    "uf", "subcategoria = 'Brand#11' AND servico = 'SCM' AND status = 'Pendente'", f"ytd, {r6('mm')} AS media_movel_3m",
+    "coalesce(x, p, y, ytd, mm) IS NOT NULL")
+ORACLES["dropped_service_months"] = _every_month(
+    "servico", "NOT (servico = 'SMP' AND dia >= DATE '1997-06-01')", f"{r6('(coalesce(x, 0) - y) / nullif(y, 0)')} AS var_yoy",
+    "coalesce(x, p, y) IS NOT NULL")
+
+
 def _moving(keys: str, extra: str) -> str:
     k = f"{keys}, " if keys else ""
     part = f"PARTITION BY {keys} " if keys else ""
@@ -621,7 +704,6 @@ def _moving(keys: str, extra: str) -> str:
         f"SELECT {k}{month_text('m')} AS ano_mes, {extra}x AS total, {r6('mm')} AS media_movel_3m FROM h")
 
 
-ORACLES["moving_average_by_operator"] = _moving("operadora", "")
 ORACLES["moving_average_ano_mes"] = _moving("", "")
 MONTH_LABEL = (f"{_list(MONTH_ABBREVIATIONS)}[(m - 1) % 12 + 1] || printf('/%02d', CAST(((m - 1) // 12) % 100 AS INTEGER)) "
                "AS mes_rotulo")
@@ -640,6 +722,7 @@ ORACLES["ranks_categories"] = over(
 ORACLES["ranks_states"] = over(
     f"SELECT uf, {N} AS total, dense_rank() OVER (ORDER BY sum(qtd) DESC) AS rank_uf FROM v "
     "WHERE status = 'Pendente' GROUP BY 1")
+ORACLES["rank_states_by_name"] = ORACLES["ranks_states"].replace("SELECT uf,", "SELECT uf AS estado,")
 ORACLES["rate_bands"] = over(
     f"g AS (SELECT regiao, categoria, coalesce({sum_if(ANSWERED)} / sum(qtd), 0) AS t FROM v GROUP BY 1, 2)",
     f"a AS (SELECT {sum_if(ANSWERED)} / sum(qtd) AS t FROM v)",

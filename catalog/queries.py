@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -422,6 +423,16 @@ def top3_states_with_ties(spark, sf_dir):
 
 # --- measures ----------------------------------------------------------------------------------
 
+@query
+def dropped_service_months(spark, sf_dir):
+    """One service ends in the middle of 1997: its next month is down by all, its months a year later still compare."""
+    star = complaint_star(spark, sf_dir)
+    ended = (F.col("servico") == "SMP") & (F.col("dia") >= F.lit("1997-06-01").cast("date"))
+    star = replace(star, fact=star.fact.where(~ended))
+    df = evaluate(star, ["servico", "mes_idx"], ["total", "mes_anterior", "ano_anterior", "var_mom", "var_yoy"])
+    return df.withColumn("ano_mes", index_text(F.col("mes_idx"))).drop("mes_idx")
+
+
 REGISTRY.update({
     "share_of_axis_total": cells(
         ["regiao"], ["total", "pct_total", "share_operadora", "share_categoria", "share_uf"],
@@ -460,11 +471,24 @@ REGISTRY.update({
     "changes_by_quarter": cells(
         ["regiao", "ano", "trimestre"], ["total", "mes_anterior", "ano_anterior", "var_yoy"], {"ano": [1997, 1998]}),
     "ytd": cells(["servico", "mes_idx"], ["total", "ytd"]),
+    "ytd_by_year_quarter": cells(["operadora", "ano", "trimestre"], ["total", "ytd"]),
+    "ytd_by_quarter_filtered": cells(["uf", "trimestre"], ["total", "ytd"], {"ano": [1996, 1998], "mes": [1, 2, 4, 5, 10]}),
+    "moving_average_by_quarter": cells(["regiao", "ano", "trimestre"], ["total", "media_movel_3m"]),
+    "trend_by_year": cells(["operadora", "ano"], ["total", "tendencia"]),
+    "blank_months_sparse": cells(
+        ["uf", "mes_idx"], ["total", "mes_anterior", "ano_anterior", "var_mom", "ytd", "media_movel_3m"],
+        {"subcategoria": ["Brand#11"], "servico": ["SCM"], "status": ["Pendente"]}),
     "moving_average_by_operator": cells(["operadora", "mes_idx"], ["total", "media_movel_3m"]),
     "mom_flag_vs_sector": cells(
         ["operadora", "mes_idx"], ["var_mom", "var_mom_setor", "flag_piora_mom", "direcao_mom"]),
+    "risk_card_one_operator": cells(
+        [], ["total", "score_risco", "rating_risco", "ordinal_risco", "faixa_score"], {"operadora": ["BUILDING"]}),
+    "risk_by_month_one_operator": cells(
+        ["mes_idx"], ["total", "score_risco", "rating_risco"], {"operadora": ["MACHINERY"], "regiao": ["ASIA", "EUROPE"]}),
+    "risk_by_region": cells(["regiao"], ["total", "score_risco"]),
     "ranks_dense": cells(["operadora"], ["rank_volume", "rank_100k"]),
     "ranks_categories": cells(["categoria"], ["total", "rank_categoria"], {"operadora": ["MACHINERY"]}),
+    "rank_states_by_name": cells(["estado"], ["total", "rank_uf"], {"status": ["Pendente"]}),
     "ranks_states": cells(["uf"], ["total", "rank_uf"], {"status": ["Pendente"]}),
     "rate_bands": cells(
         ["regiao", "categoria"], ["taxa_resolucao", "gap_meta", "taxa_texto", "status_meta", "taxa_vs_geral"]),

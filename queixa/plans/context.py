@@ -145,9 +145,20 @@ class Context:
         end = F.max(F.when(chosen, F.col("fim")))
         return months.agg(
             F.max("x").alias("ultimo"),
+            F.min(F.when(chosen, F.col("x"))).alias("inicio"),
             F.max(F.when(chosen, F.col("x"))).alias("fim"),
             F.max("fim").alias("ultimo_dia"),
             (end != F.last_day(end)).alias("parcial"),
             F.avg(x).alias("x_medio"),
             (F.var_pop(x) * F.count(x)).alias("x_quadrados"),
         )
+
+    def last_months(self) -> DataFrame:
+        """Per cell of the calendar axes: its last selected month (`_fim`), and whether the calendar ends inside that month.
+
+        As small as the calendar: at most a row per month of it."""
+        index = F.year("data") * 12 + F.month("data")
+        months = self.star.calendar().groupBy(index.alias("x")).agg(F.max("data").alias("dia")).where(self.month_selected(F.col("x")))
+        axes = [CALENDAR_OF_INDEX[a](F.col("x")).alias(a) for a in self.axes if a in CALENDAR]
+        return months.groupBy(*axes).agg(
+            F.max("x").alias("_fim"), F.max_by(F.col("dia") != F.last_day("dia"), "x").alias("_cortado"))

@@ -1,7 +1,7 @@
 """The measure catalogue: 52 named measures, each evaluated per cell of a report.
 
-`evaluate(star, axes, measures, filters)` returns one row per cell that has
-complaints. Fractions stay fractions. A measure without meaning in its cell is NULL.
+`evaluate(star, axes, measures, filters)` returns one row per cell that has complaints, or a
+value that looks back on some. Fractions stay fractions. A measure without meaning in its cell is NULL.
 """
 
 from __future__ import annotations
@@ -89,16 +89,23 @@ def _at_least(value: str, bands: Sequence[tuple[float | None, object]]) -> Colum
 
 
 def _change(now: str, before: str) -> Callable[[Context], Column]:
-    return lambda ctx: ratio(C(now) - C(before), C(before))
+    """A cell without complaints counts as none where there were some before."""
+    return lambda ctx: ratio(F.coalesce(C(now), F.lit(0)) - C(before), C(before))
+
+
+def _largest_operator(value: str) -> Callable[[Context], Column]:
+    """The largest operator's value among the cells of an operator axis."""
+    return lambda ctx: F.max(value).over(W.partitionBy(*ctx.axes_without(OPERATOR)))
 
 
 def _risk_score(ctx: Context) -> Column:
-    rest = ctx.axes_without(OPERATOR)
     w_volume, w_unresolved, w_base = RISK_WEIGHTS
-    volume = F.coalesce(ratio(C("total"), F.max("_par_operadoras").over(W.partitionBy(*rest))), F.lit(0.0))
+
+    def scaled(value: str, largest: str) -> Column:
+        return F.coalesce(ratio(C(value), C(largest)), F.lit(0.0))
     return round_half_away(
-        volume * w_volume + (1 - C("taxa_resolucao")) * w_unresolved
-        + over_largest(C("_par_por_100k"), *rest) * w_base, 4)
+        scaled("total", "_maior_volume") * w_volume + (1 - C("taxa_resolucao")) * w_unresolved
+        + scaled("por_100k", "_maior_100k") * w_base, 4)
 
 
 def _executive_sentence(ctx: Context) -> Column:
@@ -159,7 +166,9 @@ MEASURES: dict[str, Measure] = {
         (C("hhi") < HHI_COMPETITIVE_BELOW, HHI_CLASSES[0]), (C("hhi") <= HHI_CONCENTRATED_UP_TO, HHI_CLASSES[1]),
         otherwise=HHI_CLASSES[2])),
     # risk
-    "score_risco": Measure(("total", "taxa_resolucao", "_par_operadoras", "_par_por_100k"), _risk_score, "operadora"),
+    "_maior_volume": Measure(("_par_operadoras",), _largest_operator("_par_operadoras"), "operadora"),
+    "_maior_100k": Measure(("_par_por_100k",), _largest_operator("_par_por_100k"), "operadora"),
+    "score_risco": Measure(("total", "taxa_resolucao", "por_100k", "_maior_volume", "_maior_100k"), _risk_score),
     "rating_risco": Measure(("score_risco",), lambda ctx: F.coalesce(
         F.when(C("score_risco").isNotNull(), _at_least("score_risco", RISK_BANDS)), F.lit(NO_VALUE))),
     # The same bands as numbers: 4 for the highest, 0 where there is no score.
@@ -213,22 +222,48 @@ LIMITED_BY_MONTH = {"media_movel_3m", "tendencia"}
 LIMITED_OVER_PERIOD = set(TIME) - {"media_mensal", "z_mensal", "setor"}
 MARKET = ("hhi", "top3", "operadora_lider", "share_lider")
 PLACE = ("pior_estado",)
+# Without an operator axis the largest operator is found one level below the cells.
+PEERS = ("_maior_volume", "_maior_100k")
 ATTRIBUTES = ("assinantes", "_limites")
+# Measures that can have a value where there are no complaints, and what they look back on.
+LOOKING_BACK = {
+    "mes_anterior": "mes_anterior", "var_mom": "mes_anterior", "ano_anterior": "ano_anterior", "var_yoy": "ano_anterior",
+    "ytd": "ytd", "media_movel_3m": "media_movel_3m", "tendencia": "tendencia", "mom_ultimo_mes": "mom_ultimo_mes",
+}
+# Months after a month with complaints in which such a measure still sees it.
+REACH = {"mes_anterior": (1,), "ano_anterior": (12,), "ytd": tuple(range(1, 12)), "media_movel_3m": (1, 2, 3)}
+# Axes that stand for another: a state's name for its code, and what fixes one month for the month.
+STANDS_FOR: Mapping[str, tuple[frozenset[str], ...]] = {
+    "uf": (frozenset({"estado"}),),
+    "mes_idx": (frozenset({"ano_mes"}), frozenset({"ano", "mes"})),
+}
+
+
+def _stands_for(axes: Iterable[str], axis: str) -> bool:
+    return any(group <= set(axes) for group in STANDS_FOR.get(axis, ()))
+
+
+def _looked_back(names: Iterable[str]) -> set[str]:
+    return {LOOKING_BACK[n] for n in names if n in LOOKING_BACK}
+
+
+def _attached(ctx: Context, name: str) -> bool:
+    return name in PEERS and "operadora" not in ctx.axes
 
 
 def _closure(ctx: Context, names: Iterable[str]) -> list[str]:
     """`names` and all they use, each after what it uses."""
     known, ordered = quantities(ctx.star), []
-    limited = LIMITED_BY_MONTH if ctx.by_month else LIMITED_OVER_PERIOD
+    limited = LIMITED_BY_MONTH | _looked_back(names) if ctx.by_month else LIMITED_OVER_PERIOD
 
     def visit(name: str) -> None:
         if name in ordered:
             return
-        if name in MEASURES:
+        if name in MEASURES and not _attached(ctx, name):
             uses = MEASURES[name].uses
         elif name in TIME:
             uses = TIME[name] + (("_limites",) if name in limited else ())
-        elif name in known or name in MARKET or name in PLACE or name in ATTRIBUTES:
+        elif name in known or name in MARKET or name in PLACE or name in PEERS or name in ATTRIBUTES:
             uses = ()
         else:
             raise ValueError(f"unknown measure: {name}")
@@ -241,11 +276,11 @@ def _closure(ctx: Context, names: Iterable[str]) -> list[str]:
     return ordered
 
 
-def _steps(ordered: Sequence[str]) -> list[list[str]]:
+def _steps(ctx: Context, ordered: Sequence[str]) -> list[list[str]]:
     """Measures in as few projections as their dependencies allow."""
     depth: dict[str, int] = {}
     for name in ordered:
-        if name in MEASURES:
+        if name in MEASURES and not _attached(ctx, name):
             depth[name] = 1 + max([depth.get(used, 0) for used in MEASURES[name].uses], default=0)
     return [[n for n, d in depth.items() if d == level] for level in sorted(set(depth.values()))]
 
@@ -305,9 +340,54 @@ def _time_over_period(ctx: Context, names: set[str]) -> dict[str, Column]:
     return {name: values[name] for name in TIME if name in names}
 
 
-def _time_by_calendar_axis(ctx: Context, cells: DataFrame, names: set[str], sums: Sequence[str]) -> DataFrame:
+def _spine(ctx: Context, cells: DataFrame, looked_back: set[str]) -> DataFrame:
+    """Months in which a key may have a value without complaints: those that look back on one of its
+    months, and for a slope all selected ones. A key's months end with the calendar."""
+    others, limits = ctx.axes_without(CALENDAR), "_limites."
+    after = sorted({k for name in looked_back for k in REACH.get(name, ())})
+    months = C("mes_idx") + C("_depois")
+    # a year to date sees a month no longer than its year lasts, whatever else looks further
+    sees = F.lit(False)
+    for name in looked_back & set(REACH):
+        one = C("_depois").isin(list(REACH[name]))
+        sees = sees | (one & (index_year(months) == index_year(C("mes_idx"))) if name == "ytd" else one)
+    steps = F.array(*[F.lit(k) for k in after]).cast("array<int>")
+    found = cells.where(C("_serie").isNotNull()).select(*others, "mes_idx", "_limites", F.explode(steps).alias("_depois")).where(
+        sees).select(*others, months.alias("mes_idx"), "_limites")
+    if "tendencia" in looked_back:
+        keys = cells.where(C("_serie").isNotNull()).groupBy(*others).agg(F.first("_limites").alias("_limites"))
+        found = found.union(keys.where(C(limits + "inicio").isNotNull()).select(
+            *others, F.explode(F.sequence(C(limits + "inicio"), C(limits + "fim"))).alias("mes_idx"), "_limites"))
+    return found.where((C("mes_idx") <= C(limits + "ultimo")) & ctx.month_selected(C("mes_idx")))
+
+
+def _with_blank_months(ctx: Context, cells: DataFrame, looked_back: set[str], sums: Sequence[str]) -> DataFrame:
+    """The monthly cells and those of the spine that are not among them."""
+    both = cells.unionByName(_spine(ctx, cells, looked_back), allowMissingColumns=True)
+    return both.groupBy(*ctx.axes).agg(*[F.sum(name).alias(name) for name in sums], F.first("_limites").alias("_limites"))
+
+
+def _as_of(ctx: Context, cells: DataFrame) -> DataFrame:
+    """Monthly cells once more, for each calendar cell whose last month looks back on them: within its year,
+    or as one of its trailing months. A calendar cell sees at most 15 months, so the table of what
+    is seen has no more rows than 15 times the calendar's months."""
+    year, end = index_year(C("_fim")), C("_fim")
+    first_of_year = year * 12 + 1
+    seen = ctx.last_months().withColumn("_visto", F.explode(F.sequence(F.least(first_of_year, end - 3), end)))
+    seen = seen.withColumns({
+        "_no_ano": index_year(C("_visto")) == year,
+        "_recente": C("_visto") >= end - F.when(C("_cortado"), 3).otherwise(2),
+        "_atras": end - C("_visto"),
+    })
+    calendar = [a for a in ctx.axes if a in CALENDAR]
+    held = [c for c in cells.columns if c not in calendar]
+    return cells.select(*held).join(F.broadcast(seen), C("mes_idx") == C("_visto")).drop("_visto", "_fim", "_cortado")
+
+
+def _time_by_calendar_axis(ctx: Context, cells: DataFrame, names: set[str], sums: Sequence[str], looked_back: set[str]) -> DataFrame:
     """A year, quarter or month-of-year axis: each month also counts for the cell it would fall
-    in a month or a year later, and the cells are summed from those."""
+    in a month or a year later, and the cells are summed from those. What is told as of a cell's
+    last month (year to date, trailing mean) is summed from the months that this one looks back on."""
     calendar = [a for a in ctx.axes if a in CALENDAR]
     needed = {"mes_anterior": 1, "setor_mes_anterior": 1, "ano_anterior": 12}
     shifts = sorted({0, *[months for name, months in needed.items() if name in names]})
@@ -317,23 +397,43 @@ def _time_by_calendar_axis(ctx: Context, cells: DataFrame, names: set[str], sums
     if shifts != [0]:
         inside = ctx.month_selected(month) & (month <= C("_limites.ultimo"))
         moved = moved.where((shift == 0) | inside)
-    moved = moved.withColumns({a: CALENDAR_OF_INDEX[a](month) for a in calendar})
+    if "tendencia" in looked_back:
+        moved = moved.unionByName(_spine(ctx, cells, {"tendencia"}).withColumns({"_shift": F.lit(-1), "_mes": C("mes_idx")}),
+                                  allowMissingColumns=True)
+    moved = moved.withColumns({a: CALENDAR_OF_INDEX[a](month) for a in calendar}).withColumn(
+        "_escolhida", ctx.month_selected(month))
+    as_of = names & {"ytd", "media_movel_3m", "mom_ultimo_mes"}
+    if as_of:
+        moved = moved.unionByName(_as_of(ctx, cells).withColumns({"_shift": F.lit(-1), "_escolhida": F.lit(True)}), allowMissingColumns=True)
 
     def at(months: int, value: Column) -> Column:
         return F.when(shift == months, value)
 
+    s = C("_serie")
     values = {
         "media_mensal": F.avg(at(0, C("total"))),
         "z_mensal": F.max(F.lit(None).cast("double")),
-        "mes_anterior": F.sum(at(1, C("_serie"))), "ano_anterior": F.sum(at(12, C("_serie"))),
+        "mes_anterior": F.sum(at(1, s)), "ano_anterior": F.sum(at(12, s)),
     }
+    if as_of:
+        last, before = (F.sum(F.when(C("_atras") == k, s)) for k in (0, 1))
+        values |= {"ytd": F.sum(F.when(C("_no_ano"), s)), "media_movel_3m": F.avg(F.when(C("_recente"), s)),
+                   "mom_ultimo_mes": ratio(last - before, before)}
+    if "tendencia" in names:
+        values["tendencia"] = F.sum(at(0, F.when(C("_escolhida"), (C("mes_idx") - C("_limites.x_medio")) * s)))
     if "setor" in names:
-        chosen = F.when(ctx.month_selected(month), C("_serie_setor"))
+        chosen = F.when(C("_escolhida"), C("_serie_setor"))
         values |= {"setor": F.sum(at(0, chosen)), "setor_mes_anterior": F.sum(at(1, C("_serie_setor")))}
-    return moved.groupBy(*ctx.axes).agg(
+    found = moved.groupBy(*ctx.axes).agg(
         *[F.sum(at(0, C(name))).alias(name) for name in sums],
         *[value.alias(name) for name, value in values.items() if name in names],
-        *([F.first("_limites").alias("_limites")] if "_limites" in names else []))
+        *([F.first("_limites", ignorenulls=True).alias("_limites")] if "_limites" in names else []),
+        F.max("_escolhida").alias("_escolhida"))
+    if "tendencia" in names:
+        # each selected month lies in one cell, so the cells' parts make up the slope of all of them
+        whole = F.sum("tendencia").over(W.partitionBy(*ctx.axes_without(CALENDAR)))
+        found = found.withColumn("tendencia", F.try_divide(whole, C("_limites.x_quadrados")))
+    return found
 
 
 def _market(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
@@ -353,6 +453,16 @@ def _market(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
         F.max(F.when(top, C("s"))).alias("share_lider"))
 
 
+def _risk_peers(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
+    """The largest volume and the largest rate per subscriber of any operator, per cell without an operator axis."""
+    rest = ctx.axes_without(OPERATOR)
+    members = cube.groupBy(*rest, "operadora").agg(F.sum(F.when(ctx.passes(OPERATOR), C("qtd"))).alias("v"))
+    bases = ctx.star.operators().select(C("operadora").alias("_nome"), "assinantes")
+    rated = members.join(bases, C("operadora") == C("_nome"), "left")
+    return rest, rated.groupBy(*rest).agg(
+        F.max("v").alias("_maior_volume"), F.max(ratio(C("v"), C("assinantes") / 100000)).alias("_maior_100k"))
+
+
 def _worst_state(ctx: Context, cube: DataFrame) -> tuple[list[str], DataFrame]:
     """The state with most complaints per cell without its state axis; the word for several on a tie."""
     rest = ctx.axes_without(STATE)
@@ -401,16 +511,13 @@ def _attach(cells: DataFrame, axes: list[str], keys: list[str], side: DataFrame)
 
 def _refuse_misuse(ctx: Context, names: Sequence[str]) -> None:
     for name in names:
-        needed = MEASURES[name].axis if name in MEASURES else None
+        needed = MEASURES[name].axis if name in MEASURES and not _attached(ctx, name) else None
         if needed and needed not in ctx.axes:
             raise ValueError(f"{name} needs the axis {needed}")
-    refused = set(names) & {"ytd", "media_movel_3m", "tendencia", "mom_ultimo_mes"}
-    if ctx.by_period and refused:
-        raise ValueError(f"{', '.join(sorted(refused))}: take the month axis or no calendar axis")
 
 
 def _cells(
-    ctx: Context, left: Context, cube: DataFrame, sums: Mapping[str, Quantity], names: set[str]
+    ctx: Context, left: Context, cube: DataFrame, sums: Mapping[str, Quantity], names: set[str], looked_back: set[str]
 ) -> DataFrame:
     """One row per cell with every sum and every time value asked for."""
     timed = bool(names & set(TIME))
@@ -421,7 +528,7 @@ def _cells(
         cells = cells.withColumn("_limites", ctx.calendar_limits().select(F.struct("*")).scalar())
     if months_first:
         if ctx.by_period:
-            cells = _time_by_calendar_axis(ctx, cells, names, list(sums))
+            cells = _time_by_calendar_axis(ctx, cells, names, list(sums), looked_back)
         else:
             cells = cells.groupBy(*ctx.axes).agg(
                 *[F.sum(name).alias(name) for name in sums],
@@ -431,43 +538,65 @@ def _cells(
         cells = cells.withColumns({
             name: F.sum(name).over(sector) for name in ("setor", "setor_mes_anterior") if name in names})
     elif timed:
+        if looked_back:
+            cells = _with_blank_months(ctx, cells, looked_back, list(sums))
         cells = cells.withColumn("_ano", index_year(C("mes_idx"))).withColumns(_time_by_month(ctx, names))
     return cells.withColumns({name: ctx.beyond_axes(name, q) for name, q in sums.items()})
 
 
+def _canonical_axes(ctx: Context, names: Sequence[str]) -> list[str]:
+    """The axes under which the measures are evaluated: where axes stand for one that a measure needs, that one
+    takes part too; a month fixed by others takes their place."""
+    axes = list(ctx.axes)
+    if ctx.by_period and set(names) & set(TIME) and _stands_for(axes, "mes_idx"):
+        axes = [*[a for a in axes if a not in CALENDAR], "mes_idx"]
+    needed = {MEASURES[n].axis for n in names if n in MEASURES and MEASURES[n].axis}
+    return axes + sorted(a for a in needed - set(axes) if _stands_for(axes, a))
+
+
 def evaluate(
     star: Star, axes: Sequence[str], measures: Sequence[str],
     filters: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
-    """One row per cell with complaints: the axes, then the measures.
+    """One row per cell that has complaints, or a value of a measure that looks back: the axes, then the measures.
 
     The month axis is `mes_idx` (`year * 12 + month`); `queixa.functions.dates` labels it. Axes that
-    fix one month, `ano_mes` or `ano` and `mes`, are the month axis too: time measures take them alike.
+    fix one month, `ano_mes` or `ano` and `mes`, are the month axis too: time measures take them alike. On other
+    calendar axes a year to date and a trailing mean are those of the cell's last selected month.
     """
     ctx = Context(star, axes, filters)
     ordered = _closure(ctx, measures)
-    if ctx.by_period and set(ordered) & set(TIME) and ("ano_mes" in axes or {"ano", "mes"} <= set(axes)):
-        by_month = evaluate(star, [*ctx.axes_without(CALENDAR), "mes_idx"], measures, filters)
-        labels = [CALENDAR_OF_INDEX[a](C("mes_idx")).alias(a) if a in CALENDAR else C(a) for a in axes]
-        return by_month.select(*labels, *dict.fromkeys(measures))
+    canonical = _canonical_axes(ctx, ordered)
+    if canonical != ctx.axes:
+        found = evaluate(star, canonical, measures, filters)
+        labels = [CALENDAR_OF_INDEX[a](C("mes_idx")).alias(a) if a in CALENDAR and a not in canonical else C(a) for a in axes]
+        return found.select(*labels, *dict.fromkeys(measures))
     _refuse_misuse(ctx, ordered)
-    names = set(ordered)
+    names, looked_back = set(ordered), _looked_back(measures)
     known = quantities(star)
     sums = {name: known[name] for name in ordered if name in known}
+    below = names & set(PEERS) and "operadora" not in ctx.axes
     lifted, extra = [], ["mes_idx"] if names & set(TIME) else []
-    if names & set(MARKET):
+    if names & set(MARKET) or below:
         lifted, extra = [*lifted, lifting(OPERATOR)], [*extra, "operadora"]
     if names & set(PLACE):
         lifted, extra = [*lifted, lifting(STATE)], [*extra, "estado"]
     cube, left = ctx.cube([*sums.values(), *lifted], extra)
 
-    cells = _cells(ctx, left, cube, sums, names)
+    cells = _cells(ctx, left, cube, sums, names, looked_back)
     if "assinantes" in names:
         cells = _attach(cells, ctx.axes, *_subscribers(ctx))
     if names & set(MARKET):
         cells = _attach(cells, ctx.axes, *_market(left, cube))
+    if below:
+        cells = _attach(cells, ctx.axes, *_risk_peers(left, cube))
     if names & set(PLACE):
         cells = _attach(cells, ctx.axes, *_worst_state(left, cube))
-    for step in _steps(ordered):
+    for step in _steps(ctx, ordered):
         cells = cells.withColumns({name: MEASURES[name].value(ctx) for name in step})
-    return cells.where(C("total").isNotNull()).select(*ctx.axes, *dict.fromkeys(measures))
+    has_value = C("total").isNotNull()
+    chosen = ctx.month_selected(C("mes_idx")) if ctx.by_month else C("_escolhida") if "_escolhida" in cells.columns else F.lit(True)
+    for name in dict.fromkeys(measures):
+        if name in LOOKING_BACK:
+            has_value = has_value | (C(name).isNotNull() & chosen)
+    return cells.where(has_value).select(*ctx.axes, *dict.fromkeys(measures))

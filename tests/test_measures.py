@@ -1,8 +1,10 @@
 """Measures and filter context: M1-M45, M47-M53, CTX1-CTX11, WIN8-WIN16, AGG12-AGG14, X2, X3, X6."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from queixa.plans.datasets import REPORTS, dataset
 from queixa.plans.measures import MEASURES, evaluate
@@ -63,12 +65,83 @@ def test_published_month_figures(spark):
 def test_calendar_windows_by_month(spark):
     cells = [{"dia": month(i), "qtd": n} for i, n in ((0, 10), (1, 20), (3, 40), (12, 30))]
     s = star(spark, *cells, last=dt.date(2023, 1, 31))
-    got = [tuple(r) for r in evaluate(s, ["mes_idx"], [
-        "total", "mes_anterior", "ano_anterior", "media_movel_3m", "ytd", "var_mom", "var_yoy", "media_mensal"]
-    ).orderBy("mes_idx").drop("mes_idx").collect()]
-    assert got == [
-        (10, None, None, 10.0, 10, None, None, 10.0), (20, 10, None, 15.0, 30, 1.0, None, 20.0),
-        (40, None, None, 30.0, 70, None, None, 40.0), (30, None, 10, 30.0, 30, None, 2.0, 30.0)]
+    got = {r[0]: tuple(r[1:]) for r in evaluate(s, ["mes_idx"], [
+        "total", "mes_anterior", "ano_anterior", "media_movel_3m", "ytd", "var_mom", "var_yoy", "media_mensal"]).collect()}
+    jan = 2022 * 12 + 1
+    assert {k - jan: v for k, v in got.items() if v[0] is not None} == {
+        0: (10, None, None, 10.0, 10, None, None, 10.0), 1: (20, 10, None, 15.0, 30, 1.0, None, 20.0),
+        3: (40, None, None, 30.0, 70, None, None, 40.0), 12: (30, None, 10, 30.0, 30, None, 2.0, 30.0)}
+    # months without complaints that look back on some: the month after is down by all of them
+    assert {k - jan: v for k, v in got.items() if v[0] is None} == {
+        2: (None, 20, None, 15.0, 30, -1.0, None, None), 4: (None, 40, None, 40.0, 70, -1.0, None, None),
+        5: (None, None, None, 40.0, 70, None, None, None),
+        **{i: (None, None, None, None, 70, None, None, None) for i in range(6, 12)}}
+    only_totals = evaluate(s, ["mes_idx"], ["total", "var_mom_texto"])
+    assert only_totals.count() == 4
+
+
+def test_a_measure_keeps_the_cells_it_has_a_value_in(spark):
+    cells = [{"operadora": o, "dia": month(i), "qtd": n} for o, i, n in [
+        ("CLARO", 0, 10), ("CLARO", 1, 5), ("VIVO", 0, 4), ("VIVO", 3, 6), ("TIM", 12, 1)]]
+    s = star(spark, *cells, last=dt.date(2023, 2, 28))
+
+    def shown(measure, axes=("operadora", "mes_idx"), filters=None):
+        rows = evaluate(s, list(axes), ["total", measure], filters).collect()
+        return {tuple(r[:-2]): r[-1] for r in rows if r.total is None}
+    jan = 2022 * 12 + 1
+    assert shown("var_mom") == {("CLARO", jan + 2): -1.0, ("VIVO", jan + 1): -1.0, ("VIVO", jan + 4): -1.0, ("TIM", jan + 13): -1.0}
+    assert shown("ano_anterior") == {("CLARO", jan + 12): 10, ("CLARO", jan + 13): 5, ("VIVO", jan + 12): 4}
+    assert len(shown("ytd")) == (12 - 2) + (12 - 2) + 1
+    assert len(shown("tendencia")) == 14 * 3 - 5
+    # no months beyond the calendar's end or outside the selected ones
+    assert shown("mes_anterior", filters={"ano": [2022]}) == {("CLARO", jan + 2): 5, ("VIVO", jan + 1): 4, ("VIVO", jan + 4): 6}
+    assert shown("ano_anterior", ("operadora", "ano")) == {("CLARO", 2023): 15, ("VIVO", 2023): 4}
+    assert shown("mes_anterior", ("operadora",), {"ano": [2022]}) == {}
+    assert shown("ano_anterior", ("operadora",), {"ano": [2023]}) == {("CLARO",): 15, ("VIVO",): 4}
+
+
+def test_time_as_of_the_last_month_of_a_cell(spark):
+    cells = [{"dia": month(i), "qtd": n} for i, n in ((0, 1), (1, 2), (2, 4), (4, 8), (10, 16), (13, 32), (16, 64))]
+    s = star(spark, *cells, last=dt.date(2023, 5, 31))
+
+    def got(axes, measure, filters=None):
+        return {tuple(r[:-1]): r[-1] for r in evaluate(s, axes, [measure], filters).collect()}
+    assert got(["ano"], "ytd") == {(2022,): 31, (2023,): 96}
+    assert got(["ano", "trimestre"], "ytd") == {(2022, 1): 7, (2022, 2): 15, (2022, 3): 15, (2022, 4): 31, (2023, 1): 32, (2023, 2): 96}
+    assert got(["trimestre"], "ytd") == {(1,): 32, (2,): 96, (3,): 15, (4,): 31}  # the last year that has the quarter
+    assert got(["ano", "trimestre"], "media_movel_3m") == {
+        (2022, 1): 7 / 3, (2022, 2): 8.0, (2022, 4): 16.0, (2023, 1): 32.0, (2023, 2): 64.0}
+    assert got(["ano"], "media_movel_3m", {"mes": [1, 2, 3]}) == {(2022,): 7 / 3, (2023,): 32.0}
+    whole = one(s, ["tendencia"]).tendencia
+    assert {k: pytest.approx(v) for k, v in got(["ano"], "tendencia").items()} == {(2022,): whole, (2023,): whole}
+    part = one(s, ["tendencia"], {"ano": [2022]}).tendencia
+    found = got(["trimestre"], "tendencia", {"ano": [2022]})
+    assert set(found) == {(1,), (2,), (3,), (4,)} and all(v == pytest.approx(part) for v in found.values())
+    assert got(["ano", "trimestre"], "mom_ultimo_mes")[(2022, 1)] == 1.0 and got(["ano"], "mom_ultimo_mes")[(2022,)] is None
+    cut = star(spark, *cells, last=dt.date(2023, 5, 4))
+    assert {tuple(r) for r in evaluate(cut, ["ano"], ["media_movel_3m"]).collect()} == {(2022, 16.0), (2023, 48.0)}
+
+
+def test_risk_without_an_operator_axis(spark):
+    cells = brand_cells() + [dict(c, dia=dt.date(2022, 2, 1), qtd=2 * c["qtd"] if c["operadora"] == "VIVO" else c["qtd"]) for c in brand_cells()]
+    s = star(spark, *cells)
+    by_operator = by(evaluate(s, ["operadora"], ["score_risco", "rating_risco", "ordinal_risco", "faixa_score"]), "operadora")
+    for name in ("CLARO", "VIVO", "SERCOMTEL", "NÃO IDENTIFICADA"):
+        card = one(s, ["score_risco", "rating_risco", "ordinal_risco", "faixa_score"], {"operadora": [name]})
+        assert tuple(card) == tuple(by_operator[name])[1:]
+    months = {r.mes_idx: r.score_risco for r in evaluate(s, ["mes_idx"], ["score_risco"], {"operadora": ["VIVO"]}).collect()}
+    both = {(r.operadora, r.mes_idx): r.score_risco for r in evaluate(s, ["operadora", "mes_idx"], ["score_risco"]).collect()}
+    assert months and months == {m: v for (o, m), v in both.items() if o == "VIVO"}
+    # all operators at once: more than the largest alone, and no single subscriber base
+    assert one(s, ["score_risco"]).score_risco > max(r.score_risco for r in by_operator.values())
+
+
+def test_a_name_stands_for_its_code(spark):
+    s = star(spark, *[{"uf": u, "qtd": n} for u, n in [("SP", 9), ("RJ", 9), ("AC", 1)]])
+    named = replace(s, fact=s.fact.withColumn("estado", F.concat(F.lit("nome de "), F.col("uf"))))
+    assert {tuple(r) for r in evaluate(named, ["estado"], ["rank_uf", "share_uf"]).collect()} == {
+        ("nome de SP", 1, 9 / 19), ("nome de RJ", 1, 9 / 19), ("nome de AC", 2, 1 / 19)}
+    assert {tuple(r) for r in evaluate(named, ["estado"], ["rank_uf"], {"estado": ["nome de AC"]}).collect()} == {("nome de AC", 2)}
 
 
 def test_trailing_window_that_ends_inside_a_month_touches_four(spark):
@@ -197,11 +270,9 @@ def test_bad_requests_are_refused(spark):
     with pytest.raises(ValueError, match="unknown columns"):
         evaluate(s, ["nada"], ["total"])
     with pytest.raises(ValueError, match="needs the axis operadora"):
-        evaluate(s, ["regiao"], ["score_risco"])
+        evaluate(s, ["regiao"], ["rank_volume"])
     with pytest.raises(ValueError, match="month axis"):
         evaluate(s, ["ano", "mes_idx"], ["total"])
-    with pytest.raises(ValueError, match="month axis or no calendar axis"):
-        evaluate(s, ["ano"], ["ytd"])
 
 
 def test_year_and_quarter_axes_shift_whole_periods(spark):
