@@ -1,4 +1,4 @@
-"""Words of UTF-8 texts as arrays: one 64-bit name per word, a keyed digest of its bytes.
+"""Words of UTF-8 texts as arrays: one 64-bit name per word.
 
 A word is a maximal run of bytes of one class. Both classes below treat every byte of a
 non-ASCII character as part of a word, so working on bytes equals working on characters.
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -35,8 +34,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
 class _Names(dict):
-    """Names of words: digests, so that no two words share one by their letters. Forgotten when there are too many."""
+    """Names of long words: digests, so that no two share one by their letters. Forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MOST_NAMES:
@@ -47,25 +49,40 @@ class _Names(dict):
 
 MOST_NAMES = 1 << 17
 _NAMES = _Names()
-
-
-@lru_cache(maxsize=8)
-def _blanked(word: bytes, fold: bool) -> bytes:
-    """A translation table: bytes outside words become blanks, A-Z become a-z if folded."""
-    table = bytearray(b if inside else 0x20 for b, inside in enumerate(word))
-    if fold:
-        table[0x41:0x5B] = table[0x61:0x7B]
-    return bytes(table)
+# A word of up to eight bytes is named by those bytes themselves, spread by a bijection: no two share a name.
+SHORT = 8
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(SHORT + 1)], dtype=np.uint64)
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[0x41:0x5B] += 0x20
 
 
 def _hashes(data: np.ndarray, cuts: np.ndarray, word: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the words of `data`, row by row, and each row's bounds among them; rows begin and end at `cuts`."""
-    text = data.tobytes().translate(_blanked(word.tobytes(), fold))
-    found, sizes = [], [0]
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        found += text[a:b].split()
-        sizes.append(len(found))
-    return np.fromiter(map(_NAMES.__getitem__, found), dtype=np.uint64, count=len(found)), np.array(sizes)
+    """Names of the words of `data`, and how many words start before each of `cuts` (where rows begin)."""
+    if not len(data):
+        return np.empty(0, dtype=np.uint64), np.zeros(len(cuts), dtype=np.int64)
+    inside = word[data]
+    edges = cuts[(cuts > 0) & (cuts < len(data))]
+    before = np.empty_like(inside)
+    before[0], before[1:] = False, inside[:-1]
+    before[edges] = False
+    after = np.empty_like(inside)
+    after[-1], after[:-1] = False, inside[1:]
+    after[edges - 1] = False
+    starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    lengths = ends - starts
+    padded = np.concatenate([_FOLDED[data] if fold else data, np.zeros(SHORT, dtype=np.uint8)])
+    short = lengths <= SHORT
+    zeros = np.flatnonzero(padded[:-SHORT] == 0)
+    if len(zeros):  # a zero byte in a word would look like its end
+        short &= np.searchsorted(zeros, starts) == np.searchsorted(zeros, ends)
+    found = np.lib.stride_tricks.sliding_window_view(padded, SHORT)[starts].view(np.uint64).ravel()
+    found = mixed((found & _LOW_BYTES[np.minimum(lengths, SHORT)]) ^ _LEFT)
+    long = np.flatnonzero(~short)
+    if len(long):
+        text = padded.tobytes()
+        own = [text[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+        found[long] = np.fromiter(map(_NAMES.__getitem__, own), dtype=np.uint64, count=len(own))
+    return found, np.searchsorted(starts, cuts)
 
 
 @dataclass
@@ -138,9 +155,6 @@ def _joined(held: list[Words]) -> Words:
     return Words(held[0].first, held[-1].last, np.concatenate([x.hashes for x in held]), np.concatenate(bounds))
 
 
-_LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
-
 def _both(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The name of one stretch followed by another. Mixed at each step: no sum of powers, whose terms could cancel out."""
     return mixed(mixed(left + _LEFT) + right * _RIGHT)
