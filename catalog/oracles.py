@@ -265,6 +265,8 @@ ORACLES["star_denormalised"] = dirty(
     CAST(year(data_abertura) AS BIGINT) AS ano, CAST(month(data_abertura) AS BIGINT) AS mes,
     strftime(data_abertura, '%Y-%m') AS ano_mes, CAST(quarter(data_abertura) AS BIGINT) AS trimestre,
     CAST(1 AS BIGINT) AS qtd FROM {STAR_JOIN}""")
+ORACLES["fact_ids"] = dirty(CLEAN, """SELECT count(*) AS linhas, count(*) AS ids, CAST(1 AS BIGINT) AS primeiro, count(*) AS ultimo,
+    unnest(['montado', 'gravado']) AS fato FROM limpo""")
 ORACLES["raw_files_with_breaks"] = dirty("""SELECT
     CASE WHEN municipio LIKE '%3' THEN municipio || chr(10) || '"centro"; sul' || chr(10)
          WHEN municipio LIKE '%5' THEN chr(10) || municipio ELSE municipio END AS municipio,

@@ -27,9 +27,9 @@ from queixa.operators.fact import build_fact
 from queixa.operators.star import star_of
 from queixa.plans import datasets, hypotheses, kpis
 from queixa.plans.measures import evaluate
-from queixa.session import shared_folder, write_and_read_back
+from queixa.session import shared_folder
 from queixa.sources.raw import canonical_columns, read_many, read_raw_csv
-from queixa.sources.sinks import run_etl, store_dimensions, write_kpis
+from queixa.sources.sinks import run_etl, store_clean, store_dimensions, write_kpis
 from queixa.sources.star_files import RAW_FILES, load_fact, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,7 +166,7 @@ def dim_calendar(spark, sf_dir):
 
 def _star_tables(spark, sf_dir):
     """The star over the dirty rows; the cleaned rows are stored once, then read again and again."""
-    clean = write_and_read_back(cleaning.clean_files(raw_files(spark, sf_dir)), "limpo")
+    clean = store_clean(raw_files(spark, sf_dir))
     folder = os.path.join(shared_folder(spark), f"estrela-{uuid.uuid4().hex}")
     tables = store_dimensions(clean, folder)
     return {**tables, "fato_reclamacoes": build_fact(clean, tables)}
@@ -178,6 +178,16 @@ def fact_keys(spark, sf_dir):
     return _star_tables(spark, sf_dir)["fato_reclamacoes"].drop("id_reclamacao")
 
 
+@query
+def fact_ids(spark, sf_dir):
+    """The fact's numbers run from 1 to the number of rows, each once, in the stored fact too."""
+    stored = _stored_star(spark, sf_dir).fact
+    built = _star_tables(spark, sf_dir)["fato_reclamacoes"]
+    ids = [F.count(F.lit(1)).alias("linhas"), F.count_distinct("id_reclamacao").alias("ids"),
+           F.min("id_reclamacao").alias("primeiro"), F.max("id_reclamacao").alias("ultimo")]
+    return built.agg(*ids).withColumn("fato", F.lit("montado")).unionByName(stored.agg(*ids).withColumn("fato", F.lit("gravado")))
+
+
 @query
 def star_denormalised(spark, sf_dir):
     star = star_of(_star_tables(spark, sf_dir))

@@ -5,30 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from queixa import schema
 from queixa.fixed_values import OPERATOR_FACTS, STATES, SUBSCRIBERS
 from queixa.functions.dates import day_name, index_label, month_index, month_name
+from queixa.operators.numbering import numbered_by_key
 
 
-def dense_ids(df: DataFrame, id_column: str, keys: Sequence[str]) -> DataFrame:
-    """Number distinct keys 1..n in key order, without sorting them all in one task.
-
-    Rows are numbered inside buckets of the first key's two leading characters;
-    a bucket's start is the number of rows in the buckets before it. A null key counts first.
-    """
-    bucket = F.coalesce(F.substring(F.col(keys[0]), 1, 2), F.lit(""))
-    inside = df.withColumns({
-        "_bucket": bucket,
-        "_position": F.row_number().over(W.partitionBy(bucket).orderBy(*keys)),
-    })
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = (df.groupBy(bucket.alias("_bucket")).count()
-              .select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")))
-    return inside.join(starts, "_bucket").select(
-        (F.col("_start") + F.col("_position")).cast("int").alias(id_column), *df.columns)
+def dense_ids(df: DataFrame, id_column: str, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Number distinct keys 1..n in key order, without sorting them all in one task. A null key counts first."""
+    return numbered_by_key(df, id_column, keys, partitions=partitions)
 
 
 def build_operators(

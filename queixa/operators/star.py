@@ -145,15 +145,25 @@ class Star:
         return df
 
 
+def _first_day(calendar: DataFrame) -> DataFrame:
+    """The first day and its key, one row; an error where days or keys are missing in between."""
+    days = F.datediff(F.max("data"), F.min("data")) + 1
+    keys = F.max("id_data") - F.min("id_data") + 1
+    whole = (F.count(F.lit(1)) == 0) | ((days == F.count(F.lit(1))) & (keys == F.count(F.lit(1))))
+    refused = F.raise_error(F.lit("the calendar has gaps or repeated days")).cast("struct<data:date,id_data:int>")
+    return calendar.select(F.when(whole, F.min(F.struct("data", "id_data"))).otherwise(refused).alias("primeiro"))
+
+
 def star_of(
     tables: Mapping[str, DataFrame], subscribers: Column | None = None, unidentified: str = UNIDENTIFIED
 ) -> Star:
     """The star over the five stored tables, under the names queries use.
 
     The calendar is numbered without gaps from its first day's key on, so a day follows from its key.
+    A calendar with gaps is refused when its days are used.
     """
     calendar = tables["dim_calendario"].select("data")
-    first = tables["dim_calendario"].select(F.min(F.struct("data", "id_data"))).scalar()
+    first = _first_day(tables["dim_calendario"]).scalar()
     fact = (tables["fato_reclamacoes"].withColumnRenamed("sigla_servico", "servico")
             .withColumn("dia", F.date_add(first["data"], F.col("id_data") - first["id_data"])))
     operators = tables["dim_operadora"].select(

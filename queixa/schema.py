@@ -55,3 +55,6 @@ STAR_TABLES = {
     "dim_tipo_reclamacao": COMPLAINT_TYPES,
     "dim_calendario": CALENDAR,
 }
+# Beside the tables of a stored star: how many rows each has.
+MANIFEST = "manifesto"
+MANIFEST_SCHEMA = _table(("tabela", T.StringType()), ("linhas", T.LongType()))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from queixa.functions.dates import with_time_columns
 from queixa.operators.cleaning import clean_light
 from queixa.operators.star import Star, star_of
-from queixa.schema import FACT, STAR_TABLES, STORED_FACT
+from queixa.schema import FACT, MANIFEST, MANIFEST_SCHEMA, STAR_TABLES, STORED_FACT
 from queixa.sources.raw import path_exists, read_many, union_all
 
 RAW_FILES = ("reclamacoes_scm.csv", "reclamacoes_smp.csv")
@@ -37,8 +37,19 @@ def read_star(spark: SparkSession, folder: str) -> Star:
 
 
 def has_star(spark: SparkSession, folder: str) -> bool:
-    fact = os.path.join(folder, "fato_reclamacoes")
-    return path_exists(spark, fact) or path_exists(spark, f"{fact}.csv")
+    """Whether a whole star is stored there: by its manifest, or, without one, by all of its tables."""
+    manifest = os.path.join(folder, MANIFEST)
+    if path_exists(spark, manifest):
+        return {r.tabela for r in spark.read.schema(MANIFEST_SCHEMA).json(manifest).collect()} >= set(STAR_TABLES)
+    return all(path_exists(spark, os.path.join(folder, name)) or path_exists(spark, os.path.join(folder, f"{name}.csv"))
+               for name in STAR_TABLES)
+
+
+def missing_rows(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Tables whose rows are not as many as the manifest says, and how many are missing."""
+    told = spark.read.schema(MANIFEST_SCHEMA).json(os.path.join(folder, MANIFEST)).collect()
+    lacking = {r.tabela: r.linhas - spark.read.parquet(os.path.join(folder, r.tabela)).count() for r in told}
+    return {name: n for name, n in lacking.items() if n}
 
 
 def load_fact(spark: SparkSession, processed: str, raw: str) -> DataFrame:

@@ -16,9 +16,10 @@ from queixa.operators.fact import build_fact
 from queixa.operators.star import measured_small, star_of
 from queixa.plans.kpis import KPI_TABLES
 from queixa.schema import STAR_TABLES
+from queixa.sources import sinks
 from queixa.sources.raw import read_raw_csv
-from queixa.sources.sinks import run_etl, write_kpis, write_star
-from queixa.sources.star_files import RAW_FILES, load_fact, read_star, read_star_tables
+from queixa.sources.sinks import run_etl, store_clean, store_dimensions, write_kpis, write_star
+from queixa.sources.star_files import RAW_FILES, has_star, load_fact, missing_rows, read_star, read_star_tables
 from tests.plans import executed_plan
 from tests.test_cleaning import line, write
 
@@ -203,3 +204,70 @@ def test_broadcast_is_marked_only_below_the_threshold(spark, sf_dir):
         assert not measured_small(orders)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keys_of_one_beginning_are_numbered_by_many_tasks(spark):
+    names = [f"mesmo começo {i:05d}" for i in range(4000)]
+    df = spark.createDataFrame([(n,) for n in reversed(names)] + [(None,)], "nome string")
+    found = dense_ids(df, "id", ["nome"], partitions=6)
+    assert [tuple(r) for r in found.orderBy("id").collect()] == [(1, None), *((i, n) for i, n in enumerate(names, 2))]
+    stored = spark.read.parquet(found.inputFiles()[0].rsplit("/", 1)[0])
+    sizes = [r["count"] for r in stored.groupBy("_parte").count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 2000
+
+
+def test_stored_rows_keep_their_numbers(spark, raw, tmp_path):
+    clean = store_clean(raw)
+    tables = store_dimensions(clean, str(tmp_path / "dims"))
+    fact = build_fact(clean, tables)
+    first = sorted(map(repr, fact.collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "3")  # another plan, the same numbers
+    try:
+        assert sorted(map(repr, build_fact(clean, tables).collect())) == first
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sorted(r.id_reclamacao for r in fact.collect()) == list(range(1, fact.count() + 1))
+
+
+def test_a_star_appears_as_a_whole(spark, raw, raw_folder, tmp_path, monkeypatch):
+    folder = str(tmp_path / "estrela")
+
+    def killed(*_):
+        raise RuntimeError("killed between two tables")
+    monkeypatch.setattr(sinks, "build_fact", killed)
+    with pytest.raises(RuntimeError):
+        run_etl(raw, folder)
+    assert not has_star(spark, folder) and load_fact(spark, folder, raw_folder).count() == 7
+    monkeypatch.undo()
+    run_etl(raw, folder)
+    before = sorted(map(repr, read_star(spark, folder).frame(["dia", "operadora"]).collect()))
+    monkeypatch.setattr(sinks, "build_fact", killed)
+    with pytest.raises(RuntimeError):
+        run_etl(raw[:1], folder)
+    assert has_star(spark, folder) and missing_rows(spark, folder) == {}
+    assert sorted(map(repr, read_star(spark, folder).frame(["dia", "operadora"]).collect())) == before
+    monkeypatch.undo()
+    run_etl(raw[:1], folder)
+    assert read_star(spark, folder).frame(["dia"]).count() < len(before)
+    assert not [d for d in os.listdir(tmp_path) if ".anterior-" in d]
+    build_states(spark).limit(20).write.mode("overwrite").parquet(f"{folder}/dim_uf")
+    assert missing_rows(spark, folder) == {"dim_uf": 7}
+
+
+def test_half_a_star_is_no_star(spark, raw, tmp_path):
+    stored = str(tmp_path / "estrela")
+    run_etl(raw, stored)
+    tables = read_star_tables(spark, stored)
+    some = str(tmp_path / "parte")
+    write_star({n: t for n, t in tables.items() if n != "dim_uf"}, some)
+    assert not has_star(spark, some)
+    write_star({"dim_uf": tables["dim_uf"]}, some)
+    assert has_star(spark, some)
+
+
+def test_a_calendar_with_gaps_is_refused(spark, raw, tmp_path):
+    tables = read_star_tables(spark, run_etl(raw, str(tmp_path / "estrela")) and str(tmp_path / "estrela"))
+    with pytest.raises(Exception, match="gaps"):
+        star_of({**tables, "dim_calendario": tables["dim_calendario"].where("id_data <> 2")}).frame(["dia"]).collect()
+    empty = star_of({n: t.limit(0) for n, t in tables.items()})
+    assert empty.frame(["dia", "operadora"]).collect() == []
