@@ -711,12 +711,15 @@ MONTH_LABEL = (f"{_list(MONTH_ABBREVIATIONS)}[(m - 1) % 12 + 1] || printf('/%02d
                "AS mes_rotulo")
 ORACLES["monthly_evolution"] = _moving("", f"{MONTH_LABEL}, ")
 ORACLES["mom_flag_vs_sector"] = over(
-    f"g AS (SELECT operadora, m, {N} AS x FROM v GROUP BY 1, 2)", f"s AS (SELECT m, {N} AS x FROM v GROUP BY 1)",
-    f"h AS (SELECT operadora, m, x / nullif({_back(1, 'operadora')}, 0) - 1 AS vm_, (x - {_back(1, 'operadora')}) / nullif({_back(1, 'operadora')}, 0) AS vm FROM g)",
+    f"""g AS (SELECT k.operadora, c.m, any_value(x.n) AS x FROM (SELECT DISTINCT operadora FROM v) k CROSS JOIN cal c
+    LEFT JOIN (SELECT operadora, m, {N} AS n FROM v GROUP BY 1, 2) x ON x.operadora = k.operadora AND x.m = c.m GROUP BY 1, 2)""",
+    f"s AS (SELECT m, {N} AS x FROM v GROUP BY 1)",
+    f"h AS (SELECT operadora, m, x, (coalesce(x, 0) - {_back(1, 'operadora')}) / nullif({_back(1, 'operadora')}, 0) AS vm FROM g)",
     f"t AS (SELECT m, (x - {_back(1, '')}) / nullif({_back(1, '')}, 0) AS vs FROM s)",
     f"""SELECT operadora, {r6('vm')} AS var_mom, {r6('vs')} AS var_mom_setor,
     CASE WHEN vm IS NULL THEN '--' WHEN vm > 0.15 THEN 'Crítico' WHEN vm > vs THEN 'Piora' ELSE 'Estável' END AS flag_piora_mom,
-    CASE WHEN vm > 0 THEN 'alta' ELSE 'baixa' END AS direcao_mom, {month_text('h.m')} AS ano_mes FROM h JOIN t USING (m)""")
+    CASE WHEN vm > 0 THEN 'alta' ELSE 'baixa' END AS direcao_mom, {month_text('h.m')} AS ano_mes FROM h JOIN t USING (m)
+    WHERE h.x IS NOT NULL OR vm IS NOT NULL""")
 ORACLES["ranks_dense"] = over(_risk("true"), "SELECT operadora, rank_volume, rank_100k FROM risk")
 ORACLES["ranks_categories"] = over(
     f"SELECT categoria, {N} AS total, dense_rank() OVER (ORDER BY sum(qtd) DESC) AS rank_categoria FROM v "

@@ -47,8 +47,10 @@ def volume_by(frame: DataFrame, *keys: str) -> DataFrame:
 
 
 def with_grand_total(grouped: DataFrame) -> DataFrame:
-    """The sum of all groups beside each, the group of a missing key included."""
-    return grouped.withColumn("geral", F.sum("volume").over(W.partitionBy()))
+    """The sum of all groups beside each, the group of a missing key included.
+
+    It is one value of a subquery that shares the grouping's shuffle, so the groups stay where they are."""
+    return grouped.withColumn("geral", grouped.select(F.sum("volume")).scalar())
 
 
 def volume_and_total_by(frame: DataFrame, *keys: str) -> DataFrame:

@@ -110,12 +110,17 @@ class Context:
             kept = kept & F.coalesce(quantity.condition(F.col(quantity.reads)), F.lit(False))
         return F.sum(F.when(kept, F.col("qtd")))
 
-    def beyond_axes(self, name: str, quantity: Quantity) -> Column:
-        """The cell's sum, added up along the lifted axes."""
-        rest = self.axes_without(quantity.lifts_axes)
-        if rest == self.axes:
-            return F.col(name)
-        return F.sum(name).over(W.partitionBy(*rest))
+    def beyond_axes(self, cells: DataFrame, quantities: Mapping[str, Quantity]) -> dict[str, Column]:
+        """The cells' sums, added up along the lifted axes.
+
+        Where several axes are all lifted the sum is one value, of a subquery that shares the
+        cells' shuffle: their number is the product of the axes' labels, too many for a window in one task."""
+        rest = {name: self.axes_without(q.lifts_axes) for name, q in quantities.items()}
+        whole = [name for name, axes in rest.items() if not axes and len(self.axes) > 1]
+        if whole:
+            sums = cells.select(F.struct(*[F.sum(name).alias(name) for name in whole])).scalar()
+        return {name: F.col(name) if axes == self.axes else sums[name] if name in whole else F.sum(name).over(W.partitionBy(*axes))
+                for name, axes in rest.items()}
 
     def cube(self, quantities: Iterable[Quantity], extra: Iterable[str] = ()) -> tuple[DataFrame, Context]:
         """The one grouping of the fact that a report needs, and the context that is left over it:

@@ -42,18 +42,26 @@ def kpis_consolidado(frame: DataFrame) -> DataFrame:
     cells = frame.groupBy("operadora", "uf", "categoria").agg(
         total().alias("n"), total(answered()).alias("r"),
         F.min(first_day(frame)).alias("first"), F.max(last_day(frame)).alias("last"))
-    # The sum of squared shares equals the sum over cells of share x share of the cell's
-    # operator, so the index needs no second reading.
-    everyone = F.sum("n").over(W.partitionBy())
-    operator = F.sum("n").over(W.partitionBy("operadora"))
-    one = cells.withColumn(
-        "squared", F.when(F.col("operadora").isNotNull(), ratio(F.col("n"), everyone) * ratio(operator, everyone))
-    ).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("r"), F.lit(0)).alias("r"),
-        F.count_distinct("operadora").alias("ops"), F.count_distinct("uf").alias("ufs"),
-        F.count_distinct("categoria").alias("reasons"),
-        (F.coalesce(F.sum("squared"), F.lit(0.0)) * HHI_SCALE).alias("hhi"),
-        F.min("first").alias("first"), F.max("last").alias("last"))
+    # Totals per operator, state and reason and over everything, in one more grouping: the distinct members
+    # are its rows, and the index is a sum over the operators' rows.
+    keys = [F.col(k) for k in ("operadora", "uf", "categoria")]
+    folded = cells.groupingSets([[k] for k in keys] + [[]], *keys).agg(
+        F.sum("n").alias("n"), F.sum("r").alias("r"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.grouping_id().alias("folded"))
+    # which of the three keys are folded, as bits
+    by_operator, by_state, by_reason, everything = (F.col("folded") == bits for bits in (0b011, 0b101, 0b110, 0b111))
+
+    def whole(name: str) -> Column:
+        return F.max(F.when(everything, F.col(name)))
+    volume = F.col("n").cast("double")
+    one = folded.agg(
+        F.coalesce(whole("n"), F.lit(0)).alias("n"), F.coalesce(whole("r"), F.lit(0)).alias("r"),
+        F.count_if(by_operator & F.col("operadora").isNotNull()).alias("ops"),
+        F.count_if(by_state & F.col("uf").isNotNull()).alias("ufs"),
+        F.count_if(by_reason & F.col("categoria").isNotNull()).alias("reasons"),
+        F.sum(F.when(by_operator & F.col("operadora").isNotNull(), volume * volume)).alias("squares"),
+        whole("first").alias("first"), whole("last").alias("last"))
+    one = one.withColumn("hhi", F.coalesce(ratio(F.col("squares"), F.col("n").cast("double") * F.col("n")), F.lit(0.0)) * HHI_SCALE)
     rate = F.coalesce(round_half_even(ratio(F.col("r"), F.col("n")) * 100, 2), F.lit(0.0))
 
     def day(name: str) -> Column:

@@ -293,7 +293,7 @@ def _time_by_month(ctx: Context, names: set[str]) -> dict[str, Column]:
     chosen = F.when(ctx.month_selected(month), s)
     # A trailing three-month window that ends inside a month also touches a fourth one.
     cut = C(limits + "parcial") & (month == C(limits + "fim"))
-    sector = W.partitionBy(*[a for a in others if a not in OPERATOR]).orderBy("mes_idx")
+    sector = W.partitionBy(*[a for a in others if a not in OPERATOR], "mes_idx")
     values = {
         "media_mensal": C("total").cast("double"),
         "mes_anterior": month_back(s, 1, others),
@@ -306,10 +306,16 @@ def _time_by_month(ctx: Context, names: set[str]) -> dict[str, Column]:
             C(limits + "x_quadrados")),
         "z_mensal": z_score(C("total"), *others),
         "mom_ultimo_mes": F.lit(None).cast("double"),
-        "setor": F.sum("_serie_setor").over(sector.rangeBetween(0, 0)),
-        "setor_mes_anterior": F.sum("_serie_setor").over(sector.rangeBetween(-1, -1)),
+        "setor": F.sum("_serie_setor").over(sector),
     }
-    return {name: values[name] for name in TIME if name in names}
+    return {name: values[name] for name in TIME if name in names and name in values}
+
+
+def _sector_month_before(ctx: Context, cells: DataFrame) -> DataFrame:
+    """The sector's total of the month before, looked up by month: a window over all operators' months would be one task."""
+    keys = [a for a in ctx.axes if a not in OPERATOR]
+    months = cells.groupBy(*keys).agg(F.sum("_serie_setor").alias("setor_mes_anterior"))
+    return _attach(cells, ctx.axes, keys, months.withColumn("mes_idx", C("mes_idx") + 1))
 
 
 def _time_over_period(ctx: Context, names: set[str]) -> dict[str, Column]:
@@ -340,31 +346,32 @@ def _time_over_period(ctx: Context, names: set[str]) -> dict[str, Column]:
     return {name: values[name] for name in TIME if name in names}
 
 
-def _spine(ctx: Context, cells: DataFrame, looked_back: set[str]) -> DataFrame:
-    """Months in which a key may have a value without complaints: those that look back on one of its
-    months, and for a slope all selected ones. A key's months end with the calendar."""
+def _every_selected_month(ctx: Context, cells: DataFrame) -> DataFrame:
+    """All selected months for each key: where a slope has a value."""
     others, limits = ctx.axes_without(CALENDAR), "_limites."
-    after = sorted({k for name in looked_back for k in REACH.get(name, ())})
-    months = C("mes_idx") + C("_depois")
-    # a year to date sees a month no longer than its year lasts, whatever else looks further
-    sees = F.lit(False)
-    for name in looked_back & set(REACH):
-        one = C("_depois").isin(list(REACH[name]))
-        sees = sees | (one & (index_year(months) == index_year(C("mes_idx"))) if name == "ytd" else one)
-    steps = F.array(*[F.lit(k) for k in after]).cast("array<int>")
-    found = cells.where(C("_serie").isNotNull()).select(*others, "mes_idx", "_limites", F.explode(steps).alias("_depois")).where(
-        sees).select(*others, months.alias("mes_idx"), "_limites")
-    if "tendencia" in looked_back:
-        keys = cells.where(C("_serie").isNotNull()).groupBy(*others).agg(F.first("_limites").alias("_limites"))
-        found = found.union(keys.where(C(limits + "inicio").isNotNull()).select(
-            *others, F.explode(F.sequence(C(limits + "inicio"), C(limits + "fim"))).alias("mes_idx"), "_limites"))
-    return found.where((C("mes_idx") <= C(limits + "ultimo")) & ctx.month_selected(C("mes_idx")))
+    keys = cells.where(C("_serie").isNotNull()).groupBy(*others).agg(F.first("_limites").alias("_limites"))
+    months = keys.where(C(limits + "inicio").isNotNull()).select(
+        *others, F.explode(F.sequence(C(limits + "inicio"), C(limits + "fim"))).alias("mes_idx"), "_limites")
+    return months.where(ctx.month_selected(C("mes_idx")))
 
 
 def _with_blank_months(ctx: Context, cells: DataFrame, looked_back: set[str], sums: Sequence[str]) -> DataFrame:
-    """The monthly cells and those of the spine that are not among them."""
-    both = cells.unionByName(_spine(ctx, cells, looked_back), allowMissingColumns=True)
-    return both.groupBy(*ctx.axes).agg(*[F.sum(name).alias(name) for name in sums], F.first("_limites").alias("_limites"))
+    """The monthly cells, and those after them that look back on one of them, up to the calendar's end.
+
+    Each cell is laid out once more for each such month, without its sums, and equal cells are put together."""
+    after, shift = sorted({0, *[k for name in looked_back for k in REACH.get(name, ())]}), C("_depois")
+    moved = cells.withColumn("_depois", F.explode(F.array(*[F.lit(k) for k in after]))).withColumn("_mes", C("mes_idx") + shift)
+    seen = shift == 0
+    for name in looked_back & set(REACH):
+        one = shift.isin(list(REACH[name]))
+        # a year to date sees a month no longer than its year lasts, whatever else looks further
+        seen = seen | (one & (index_year(C("_mes")) == index_year(C("mes_idx"))) if name == "ytd" else one)
+    selected = (C("_mes") <= C("_limites.ultimo")) & ctx.month_selected(C("_mes"))
+    moved = moved.where((shift == 0) | (seen & C("_serie").isNotNull() & selected)).withColumns({
+        **{name: F.when(shift == 0, C(name)) for name in sums}, "mes_idx": C("_mes")}).drop("_depois", "_mes")
+    if "tendencia" in looked_back:
+        moved = moved.unionByName(_every_selected_month(ctx, cells), allowMissingColumns=True)
+    return moved.groupBy(*ctx.axes).agg(*[F.sum(name).alias(name) for name in sums], F.first("_limites").alias("_limites"))
 
 
 def _as_of(ctx: Context, cells: DataFrame) -> DataFrame:
@@ -398,7 +405,7 @@ def _time_by_calendar_axis(ctx: Context, cells: DataFrame, names: set[str], sums
         inside = ctx.month_selected(month) & (month <= C("_limites.ultimo"))
         moved = moved.where((shift == 0) | inside)
     if "tendencia" in looked_back:
-        moved = moved.unionByName(_spine(ctx, cells, {"tendencia"}).withColumns({"_shift": F.lit(-1), "_mes": C("mes_idx")}),
+        moved = moved.unionByName(_every_selected_month(ctx, cells).withColumns({"_shift": F.lit(-1), "_mes": C("mes_idx")}),
                                   allowMissingColumns=True)
     moved = moved.withColumns({a: CALENDAR_OF_INDEX[a](month) for a in calendar}).withColumn(
         "_escolhida", ctx.month_selected(month))
@@ -491,8 +498,12 @@ def _attach(cells: DataFrame, axes: list[str], keys: list[str], side: DataFrame)
 
     A step without keys is one row, which belongs to every cell. It is put under the cells
     and spread over them: in one plan, without a subquery or a join on nothing, so that the
-    planner runs the grouping that cells and step have in common once.
+    planner runs the grouping that cells and step have in common once. The cells of several
+    axes may be too many for that and take the row from a subquery.
     """
+    if not keys and len(axes) > 1:
+        one = side.select(F.struct(*side.columns)).scalar()
+        return cells.withColumns({c: one[c] for c in side.columns})
     if not keys:
         rows = cells.withColumn("_cell", F.lit(True)).unionByName(side, allowMissingColumns=True)
         if not axes:
@@ -540,8 +551,10 @@ def _cells(
     elif timed:
         if looked_back:
             cells = _with_blank_months(ctx, cells, looked_back, list(sums))
+        if "setor_mes_anterior" in names:
+            cells = _sector_month_before(ctx, cells)
         cells = cells.withColumn("_ano", index_year(C("mes_idx"))).withColumns(_time_by_month(ctx, names))
-    return cells.withColumns({name: ctx.beyond_axes(name, q) for name, q in sums.items()})
+    return cells.withColumns(ctx.beyond_axes(cells, sums))
 
 
 def _canonical_axes(ctx: Context, names: Sequence[str]) -> list[str]:

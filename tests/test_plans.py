@@ -4,9 +4,11 @@ import re
 
 import pytest
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from catalog.queries import REGISTRY
 from catalog.tables import complaint_star
 from queixa import session
 from queixa.operators.star import Dimension, Star
@@ -30,10 +32,39 @@ def test_verdicts_read_the_fact_once(spark, sf_dir):
     assert scans(hypotheses.hypotheses(frame, "ASIA"), "lineitem") == 1
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"etl_from_files", "kpi_files"}))
+# Axes that belong to one dimension: as many combinations as members.
+ONE_DIMENSION = [{"operadora", "grupo", "porte"}, {"uf", "estado", "regiao"}, {"categoria", "subcategoria"}]
+
+
+def wide_windows(plan: str) -> list[str]:
+    """Windows over all rows of a grouping by keys of more than one dimension."""
+    lines, found = plan.splitlines(), []
+    for i, line in enumerate(lines):
+        if not re.search(r"[ -]Window \[", line):
+            continue
+        lists = re.findall(r", \[([^\]]*)\]", line[line.rindex(" AS "):])
+        if lists and not re.search(r" (ASC|DESC) ", lists[0]):
+            continue  # the first list names what it is partitioned by
+        below = next((x for x in lines[i + 1:] if "HashAggregate(keys=" in x or "SortAggregate(key=" in x), "")
+        keys = set(re.findall(r"(\w+)#", re.search(r"keys?=\[([^\]]*)\]", below)[1])) if below else set()
+        if len(keys) > 1 and not any(keys <= one for one in ONE_DIMENSION):
+            found.append(f"{line.strip()[:150]} above {sorted(keys)}")
+    return found
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - {"etl_from_files", "kpi_files"}))
 def test_nothing_runs_in_python_and_nothing_is_paired(spark, sf_dir, name):
-    plan = executed_plan(entry.queries()[name](spark, sf_dir))
-    assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoop", plan)
+    plan = executed_plan(REGISTRY[name](spark, sf_dir))
+    assert not re.search(r"Python|Pandas|InArrow|CartesianProduct|BroadcastNestedLoop", plan)
+    assert wide_windows(plan) == []
+
+
+def test_wide_windows_are_seen(spark, sf_dir):
+    cells = complaint_star(spark, sf_dir).cube(["uf", "status"])
+    summed = cells.withColumn("todos", F.sum("qtd").over(W.partitionBy()))
+    assert wide_windows(executed_plan(summed))
+    assert not wide_windows(executed_plan(cells.withColumn("todos", F.sum("qtd").over(W.partitionBy("uf")))))
+    assert wide_windows(executed_plan(cells.withColumn("lugar", F.rank().over(W.orderBy(F.desc("qtd"))))))
 
 
 def test_unneeded_tables_are_not_joined(spark, sf_dir):
