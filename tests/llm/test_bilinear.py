@@ -11,11 +11,12 @@ import pytest
 
 from queixa.llm import bilinear
 from queixa.llm.bilinear import Model, Settings
+from queixa.llm.chunks import unpacked
 from queixa.llm.registry import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-SMALL = Settings(own=20, shared=15, width=6, before=3, noise=8, batch=32, rounds=2)
+SMALL = Settings(own=20, shared=15, width=6, before=3, noise=8, run=8, batch=4, rounds=2)
 
 
 def tokens(text):
@@ -63,8 +64,8 @@ def test_scores_are_normalised(documents):
     got = {r.doc_id: r.score for r in encoded.mapInArrow(score, schema).collect()}
     counts = counts_of(rows)
     classes = {}
-    for r in encoded.select("doc_id", "classes").collect():
-        for word, c in zip(tokens(dict(rows)[r.doc_id]), np.frombuffer(r.classes, dtype=np.int16).tolist(), strict=True):
+    for r in encoded.select("doc_id", "n_tokens", "classes").collect():
+        for word, c in zip(tokens(dict(rows)[r.doc_id]), unpacked(r.classes, np.int16, r.n_tokens).tolist(), strict=True):
             assert classes.setdefault(word, c) == c
     shared = [c for c in set(classes.values()) if c >= s.own]
     assert shared and len(set(classes.values())) - len(shared) == s.own
@@ -89,9 +90,11 @@ def test_training_learns_what_follows(documents):
 
 def test_gradient_is_that_of_the_objective():
     rng = np.random.default_rng(3)
-    s = Settings(own=6, shared=4, width=3, before=2, noise=5, batch=4, rate=1e-4)
+    s = Settings(own=6, shared=4, width=3, before=2, noise=5, run=3, batch=4, rate=1e-4)
     noise = np.full(s.classes, 1 / s.classes)
-    before, classes = rng.integers(0, s.classes + 1, (4, 2)).astype(np.int32), rng.integers(0, s.classes, 4)
+    runs = rng.integers(0, s.classes + 1, (4, 5)).astype(np.int32)
+    before = np.array([[r[t - 1], r[t - 2]] for r in runs for t in range(2, 5) if r[t] < s.classes])
+    classes = np.array([r[t] for r in runs for t in range(2, 5) if r[t] < s.classes])
 
     def objective(m, drawn):
         p = sum(m.context[before[:, i]].astype(float) * m.scale[i] for i in range(2))
@@ -104,7 +107,7 @@ def test_gradient_is_that_of_the_objective():
         had[:] = 1e6  # the step is the gradient, scaled
     drawn = np.minimum(np.searchsorted(trainer.cumulated, np.random.default_rng(5).random(s.noise)), s.classes - 1)
     trainer.s = Settings(**{**s.__dict__, "rate": 1.0})
-    trainer.step(before, classes)
+    trainer.step(runs)
     moved = (trainer.m.weights().astype(float) - start.weights()) * 1e3
     flat = start.weights().astype(float)
     for i in rng.permutation(len(flat))[:40]:
