@@ -267,6 +267,15 @@ ORACLES["star_denormalised"] = dirty(
     CAST(1 AS BIGINT) AS qtd FROM {STAR_JOIN}""")
 ORACLES["fact_ids"] = dirty(CLEAN, """SELECT count(*) AS linhas, count(*) AS ids, CAST(1 AS BIGINT) AS primeiro, count(*) AS ultimo,
     unnest(['montado', 'gravado']) AS fato FROM limpo""")
+_OUT = "municipio LIKE '%7' OR municipio LIKE '%4' OR municipio LIKE '%6'"
+ORACLES["left_out_rows"] = dirty(CLEAN, f"""SELECT razao, CAST(linhas AS BIGINT) AS linhas FROM (
+    SELECT 'linha vazia' AS razao, 0 AS linhas
+    UNION ALL SELECT 'linha longa', count(*) FROM bruto WHERE municipio LIKE '%7'
+    UNION ALL SELECT 'dia ausente', count(*) FROM bruto WHERE municipio LIKE '%6'
+    UNION ALL SELECT 'dia fora do calendário', count(*) FROM bruto WHERE municipio LIKE '%4'
+    UNION ALL SELECT 'dia impossível', count(*) FROM bruto WHERE data_abertura = '31/02/2022' AND NOT ({_OUT})
+    UNION ALL SELECT 'cópia exata', (SELECT count(*) FROM bruto WHERE data_abertura <> '31/02/2022' AND NOT ({_OUT}))
+      - (SELECT count(*) FROM limpo WHERE NOT ({_OUT})))""")
 ORACLES["raw_files_with_breaks"] = dirty("""SELECT
     CASE WHEN municipio LIKE '%3' THEN municipio || chr(10) || '"centro"; sul' || chr(10)
          WHEN municipio LIKE '%5' THEN chr(10) || municipio ELSE municipio END AS municipio,

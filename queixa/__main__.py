@@ -1,6 +1,6 @@
 """The batch programs: `spark-submit -m queixa <program> ...` or `python -m queixa <program> ...`.
 
-etl RAW STAR           raw files to a stored star
+etl RAW STAR           raw files to a stored star, and an account of the rows left out
 kpis STAR RAW OUT      the five KPI tables, from the star if it is stored, else from the raw files
 hypotheses RAW         the five verdicts over the raw files, duplicates kept
 report STAR NAME       one report dataset; repeat --where ano=2023,2022. --out writes all its rows to a
@@ -22,6 +22,7 @@ from queixa.plans.datasets import REPORTS, dataset
 from queixa.plans.hypotheses import hypotheses
 from queixa.plans.kpis import CUBE_KEYS
 from queixa.session import build_session
+from queixa.sources.account import DropAccount
 from queixa.sources.raw import read_many, union_all
 from queixa.sources.sinks import run_etl, write_kpis, write_table
 from queixa.sources.star_files import RAW_FILES, load_cube, read_star
@@ -29,8 +30,8 @@ from queixa.sources.star_files import RAW_FILES, load_cube, read_star
 PREVIEW = 50
 
 
-def _raw(spark: SparkSession, folder: str):
-    return read_many(spark, [os.path.join(folder, name) for name in RAW_FILES])
+def _raw(spark: SparkSession, folder: str, account: DropAccount | None = None):
+    return read_many(spark, [os.path.join(folder, name) for name in RAW_FILES], account)
 
 
 def _filters(conditions: Sequence[str]) -> dict[str, list]:
@@ -65,7 +66,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
     spark = build_session()
     if asked.program == "etl":
-        run_etl(_raw(spark, asked.raw), asked.star)
+        account = DropAccount()
+        run_etl(_raw(spark, asked.raw, account), asked.star, account)
+        for reason, rows in sorted(account.counts().items()):
+            print(f"{rows:>12}  {reason}")
     elif asked.program == "kpis":
         write_kpis(load_cube(spark, asked.star, asked.raw, [*CUBE_KEYS, "dia"]), asked.out, asked.format)
     elif asked.program == "hypotheses":

@@ -16,10 +16,11 @@ from queixa.fixed_values import (
     BROAD_ALIASES, CATCH_ALL, FIXED_SERVICE, IMPLICIT_NULLS, NOT_INFORMED, OTHER_REGION, PENDING,
     READER_NULLS, STATES, STRICT_ALIASES, UNIDENTIFIED, UNKNOWN_STATE,
 )
-from queixa.functions.dates import parse_day, with_time_columns
+from queixa.functions.dates import FIRST_YEAR, LAST_YEAR, parse_day, with_time_columns
 from queixa.functions.text import (
     brand_or_catch_all, brand_or_first_word, filed_name, strip, title_case,
 )
+from queixa.sources.account import DropAccount
 from queixa.sources.raw import canonical_columns, union_all
 
 
@@ -33,8 +34,16 @@ def null_implicit(df: DataFrame, tokens: Sequence[str] = tuple(IMPLICIT_NULLS))
     ])
 
 
-def drop_bad_days(df: DataFrame, column: str, trim: bool = True) -> DataFrame:
-    """Parse the day and drop rows without a valid one."""
+def drop_bad_days(df: DataFrame, column: str, trim: bool = True, account: DropAccount | None = None) -> DataFrame:
+    """Parse the day and drop rows without a valid one; an account tells missing, far and impossible days apart."""
+    if account is not None:
+        text = F.coalesce(strip(F.col(column)) if trim else F.col(column), F.lit(""))
+        missing, parsed = text.isin(["", *IMPLICIT_NULLS]), parse_day(F.col(column), trim)
+        # a day that only its year keeps out
+        far = parse_day(F.regexp_replace(text, r"/\d{4}$", "/2000")).isNotNull() & text.rlike(r"/\d{4}$") & ~text.rlike(
+            "^29/0?2/") & ~F.substring(text, -4, 4).between(FIRST_YEAR, LAST_YEAR)
+        df = account.watch(df, {"dia ausente": missing, "dia fora do calendário": ~missing & parsed.isNull() & far,
+                                "dia impossível": ~missing & parsed.isNull() & ~far})
     return df.withColumn(column, parse_day(F.col(column), trim)).where(F.col(column).isNotNull())
 
 
@@ -52,27 +61,31 @@ def clean(
     raw: DataFrame,
     aliases: Sequence[tuple[str, str]] = tuple(STRICT_ALIASES),
     unidentified: str = UNIDENTIFIED,
+    account: DropAccount | None = None,
 ) -> DataFrame:
-    """One raw file to clean rows; exact duplicates within the file go."""
+    """One raw file to clean rows; exact duplicates within the file go.
+
+    The brand follows from the name as filed, so it is read off the rows that are left."""
     # Days first: a token that means "nothing" is not a day either, and fewer rows go on.
-    df = null_implicit(drop_bad_days(canonical_columns(raw), "data_abertura"))
+    df = null_implicit(drop_bad_days(canonical_columns(raw), "data_abertura", account=account))
     labels = ("status", "motivo", "detalhe_motivo")
-    trimmed = df.withColumns({
-        "operadora": filed_name(F.col("operadora_raw")), **{c: strip(F.col(c)) for c in labels}})
-    return trimmed.withColumns({
-        "operadora": brand_or_first_word(F.col("operadora"), aliases, unidentified),
-        **{c: label(F.col(c), NOT_INFORMED) for c in labels},
-        "uf_sigla": code(F.col("uf_sigla"), UNKNOWN_STATE),
-    }).dropDuplicates()
+    labelled = df.withColumns({c: strip(F.col(c)) for c in labels}).withColumns({
+        **{c: label(F.col(c), NOT_INFORMED) for c in labels}, "uf_sigla": code(F.col("uf_sigla"), UNKNOWN_STATE)})
+    copies = {"cópia exata": F.lit(True)}
+    kept = (account.watch(labelled, copies) if account is not None else labelled).dropDuplicates()
+    kept = account.watch(kept, copies, sign=-1) if account is not None else kept
+    return kept.withColumn("operadora", filed_name(F.col("operadora_raw"))).withColumn(
+        "operadora", brand_or_first_word(F.col("operadora"), aliases, unidentified))
 
 
 def clean_files(
     files: Sequence[DataFrame],
     aliases: Sequence[tuple[str, str]] = tuple(STRICT_ALIASES),
     unidentified: str = UNIDENTIFIED,
+    account: DropAccount | None = None,
 ) -> DataFrame:
     """Clean each file on its own, then put them together: equal rows of two files both stay."""
-    return union_all([clean(raw, aliases, unidentified) for raw in files])
+    return union_all([clean(raw, aliases, unidentified, account) for raw in files])
 
 
 def region_of_state(c: Column, states: Sequence[tuple] = tuple(STATES)) -> Column:

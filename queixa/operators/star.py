@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +64,8 @@ class Star:
     calendar: Callable[[], DataFrame]
     operators: Callable[[], DataFrame]
     unidentified: str
+    # Where the fact holds a day's key instead of the day: the column, and the first day with its key.
+    day_key: tuple[str, Callable[[], tuple[date, int] | None]] | None = None
 
     def frame(
         self, columns: Iterable[str], where: Mapping[str, Sequence] | None = None,
@@ -105,20 +109,37 @@ class Star:
         start = self.dimensions[name].starts_from
         return start is not None and list(found) == list(columns) and not measured_small(start())
 
+    def _within(self, df: DataFrame, available: set[str], spans: list[tuple[date, date]] | None) -> DataFrame:
+        """Spans of days as filters that reach the stored fact: on its year folders, and on the day or its key."""
+        if spans is None:
+            return df
+        if not spans:
+            return df.where(F.lit(False))
+        if "ano" in available:  # the stored fact is split by year
+            years = sorted({year for a, b in spans for year in range(a.year, b.year + 1)})
+            df = df.where(F.col("ano").between(years[0], years[-1]) if len(years) == years[-1] - years[0] + 1
+                          else F.col("ano").isin(years))
+        whole_years = all((a.month, a.day, b.month, b.day) == (1, 1, 12, 31) for a, b in spans)
+        if self.day_key is not None and self.day_key[0] in available:
+            if "ano" in available and whole_years:
+                return df
+            column, first = self.day_key[0], self.day_key[1]()
+            if first is None:
+                return df
+            spans = [(first[1] + (a - first[0]).days, first[1] + (b - first[0]).days) for a, b in spans]
+            return df.where(_any_of(F.col(column), spans))
+        if "dia" in available:  # a range on the day reaches the scan, a year() would not
+            spans = [(F.lit(str(a)).cast("date"), F.lit(str(b)).cast("date")) for a, b in spans]
+            return df.where(_any_of(F.col("dia"), spans))
+        return df
+
     def _rows(
         self, columns: Sequence[str], where: Mapping[str, Sequence] | None, years: tuple[int, int] | None
     ) -> DataFrame:
         """The fact with at least `columns`, filtered."""
         where = {name: list(values) for name, values in (where or {}).items() if values}
-        if where.get("ano") and years is None:
-            years = (min(where["ano"]), max(where["ano"]))
         df, available = self.fact, set(self.fact.columns)
-        if years is not None:
-            if "ano" in available:  # the stored fact is split by year
-                df = df.where(F.col("ano").between(*years))
-            elif "dia" in available:  # a range on the day reaches the scan, a year() would not
-                first, last = (F.lit(day).cast("date") for day in (f"{years[0]}-01-01", f"{years[1]}-12-31"))
-                df = df.where(F.col("dia").between(first, last))
+        df = self._within(df, available, selected_days(where, years))
         # A filter on a dimension none of whose columns is shown keeps the keys that pass it.
         for dimension in self.dimensions.values():
             tested = [c for c in where if c in dimension.columns and c not in available]
@@ -145,6 +166,10 @@ class Star:
         return df
 
 
+def _any_of(c: Column, spans: Sequence[tuple]) -> Column:
+    return reduce(lambda kept, one: kept | one, [c.between(a, b) for a, b in spans])
+
+
 def _first_day(calendar: DataFrame) -> DataFrame:
     """The first day and its key, one row; an error where days or keys are missing in between."""
     days = F.datediff(F.max("data"), F.min("data")) + 1
@@ -154,6 +179,36 @@ def _first_day(calendar: DataFrame) -> DataFrame:
     return calendar.select(F.when(whole, F.min(F.struct("data", "id_data"))).otherwise(refused).alias("primeiro"))
 
 
+def selected_days(where: Mapping[str, Sequence], years: tuple[int, int] | None) -> list[tuple[date, date]] | None:
+    """The spans of days that calendar filters and an inclusive range of years leave, in order; None if they are without bound.
+
+    Many spans are joined to one: they only spare the reader rows, and the filters are still tested."""
+    if where.get("mes_idx"):
+        months = set(where["mes_idx"])
+    elif where.get("ano_mes"):
+        months = {int(text[:4]) * 12 + int(text[5:]) for text in where["ano_mes"]}
+    elif years or where.get("ano"):
+        first, last = years or (min(where["ano"]), max(where["ano"]))
+        months = set(range(first * 12 + 1, last * 12 + 13))
+    else:
+        return None
+    tests = {"ano": lambda m: (m - 1) // 12, "mes": lambda m: (m - 1) % 12 + 1, "trimestre": lambda m: (m - 1) % 12 // 3 + 1}
+    kept = sorted(m for m in months if all(t(m) in where[c] for c, t in tests.items() if where.get(c))
+                  and (years is None or years[0] <= (m - 1) // 12 <= years[1]))
+    begins = [m for m in kept if m - 1 not in set(kept)]
+    ends = [m for m in kept if m + 1 not in set(kept)]
+    if len(begins) > MOST_SPANS:
+        begins, ends = begins[:1], ends[-1:]
+
+    def first_day(m: int) -> date:
+        return date((m - 1) // 12, (m - 1) % 12 + 1, 1)
+    return [(first_day(a), first_day(b + 1) - timedelta(days=1)) for a, b in zip(begins, ends, strict=True)]
+
+
+# Spans of days sent to the reader one by one.
+MOST_SPANS = 24
+
+
 def star_of(
     tables: Mapping[str, DataFrame], subscribers: Column | None = None, unidentified: str = UNIDENTIFIED
 ) -> Star:
@@ -184,4 +239,5 @@ def star_of(
         calendar=lambda: calendar,
         operators=lambda: operators.withColumn("assinantes", base),
         unidentified=unidentified,
+        day_key=("id_data", cache(lambda: _first_day(tables["dim_calendario"]).first()[0])),
     )

@@ -135,7 +135,8 @@ class Context:
 
     def _years_read(self, quantities: Sequence[Quantity]) -> tuple[int, int] | None:
         """The years a report can touch, when it selects years and no quantity reads all of time."""
-        years = self.filters.get("ano")
+        years = self.filters.get("ano") or [int(text[:4]) for text in self.filters.get("ano_mes", [])] or [
+            (index - 1) // 12 for index in self.filters.get("mes_idx", [])]
         back = [q.years_back for q in quantities if "ano" in q.lifts_filters]
         if not years or None in back:
             return None

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from queixa.fixed_values import COLUMN_NAMES
+from queixa.sources.account import DropAccount
 
 BYTE_ORDER_MARK = "\ufeff"
 
@@ -135,14 +136,17 @@ def _headers(lines: DataFrame, sep: str, multi_line: bool) -> list[_Header]:
     return [_Header(line, [r.file for r in rows], any(r.broken for r in rows)) for line, rows in by_line.items()]
 
 
-def _parsed(records: DataFrame, header: _Header, sep: str) -> DataFrame:
+def _parsed(records: DataFrame, header: _Header, sep: str, account: DropAccount | None) -> DataFrame:
     """Cells of the records under one header; records with more fields than it are skipped, shorter ones padded."""
     names = header.names(sep)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     record = F.col("value")
     unquoted = _without_quoted(record, sep)
     separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))
-    kept = records.where((F.trim(record) != "") & (record != F.lit(header.line)) & (separators < len(names)))
+    blank, is_header, too_long = F.trim(record) == "", record == F.lit(header.line), separators >= len(names)
+    if account is not None:
+        records = account.watch(records, {"linha vazia": blank, "linha longa": ~blank & ~is_header & too_long})
+    kept = records.where(~blank & ~is_header & ~too_long)
     options = {"sep": sep, "quote": '"', "escape": '"'}
     return kept.select(F.from_csv(record, schema.toDDL(), options).alias("row")).select("row.*")
 
@@ -153,7 +157,7 @@ MOST_RECORD_BYTES = 64 << 20
 
 def read_raw_csv(
     spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1", multi_line: bool = True,
-    most_record_bytes: int = MOST_RECORD_BYTES,
+    most_record_bytes: int = MOST_RECORD_BYTES, account: DropAccount | None = None,
 ) -> DataFrame:
     """One delimited file, or a folder of them, each with a header line; all columns strings.
 
@@ -166,7 +170,8 @@ def read_raw_csv(
     A first pass reads the headers and looks for quoted cells that go over line breaks. Only
     if there are some are lines put together (`multi_line=False` never does); files
     are split among tasks either way, and no record is cut where a split ends. A cell that is
-    never closed is an error once its record passes `most_record_bytes`, or ends its file.
+    never closed is an error once its record passes `most_record_bytes`, or ends its file. An `account`
+    counts what is skipped.
     """
     lines = _lines(spark, path, encoding)
     headers = _headers(lines, sep, multi_line)
@@ -176,7 +181,7 @@ def read_raw_csv(
     for header in headers:
         own = lines if len(headers) == 1 else _lines(spark, [unquote(f) for f in header.files], encoding)
         records = _records(own, sep, most_record_bytes) if header.broken else own
-        frames.append(_parsed(records, header, sep))
+        frames.append(_parsed(records, header, sep, account))
     return union_all(frames)
 
 
@@ -190,9 +195,9 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_many(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+def read_many(spark: SparkSession, paths: Sequence[str], account: DropAccount | None = None) -> list[DataFrame]:
     """One frame per path that exists; missing files are skipped, none at all is an error."""
-    frames = [read_raw_csv(spark, path) for path in paths if path_exists(spark, path)]
+    frames = [read_raw_csv(spark, path, account=account) for path in paths if path_exists(spark, path)]
     if not frames:
         raise FileNotFoundError(f"none of these exist: {', '.join(paths)}")
     return frames

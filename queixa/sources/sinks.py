@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from queixa.operators.cleaning import clean_files
 from queixa.operators.dimensions import (
@@ -18,12 +19,16 @@ from queixa.operators.star import Star, star_of
 from queixa.plans.kpis import KPI_TABLES, kpi_cube
 from queixa.schema import FACT, MANIFEST, MANIFEST_SCHEMA, STAR_TABLES, STORED_FACT
 from queixa.session import size_shuffles, write_and_read_back
+from queixa.sources.account import DropAccount
 
 
 # What dimensions and fact read of the cleaned rows.
 STAR_SOURCES = ("data_abertura", "operadora", "porte", "grupo_economico", "uf_sigla", "motivo", "detalhe_motivo", "status", "sigla_servico")
 
 
+DAYS_TOGETHER = 31
+
+
 def write_table(df: DataFrame, folder: str, name: str, fmt: str = "parquet") -> None:
     """`<name>` as Parquet, or `<name>.csv` as CSV with a header."""
     writer = df.write.mode("overwrite")
@@ -47,7 +52,9 @@ def write_star(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet
         if fmt == "csv":
             write_table(table.drop("ano"), folder, name, fmt)
         else:
-            (table.hint("rebalance", "ano").sortWithinPartitions("ano", "id_data", "id_operadora")
+            # a month or so of days together: within a year, a reader skips the files of other months
+            dealt = table.withColumn("_dias", F.floor(F.col("id_data") / DAYS_TOGETHER)).hint("rebalance", "ano", "_dias")
+            (dealt.drop("_dias").sortWithinPartitions("ano", "id_data", "id_operadora")
              .write.mode("overwrite").partitionBy("ano").parquet(os.path.join(folder, name)))
 
 
@@ -68,10 +75,10 @@ def store_dimensions(clean: DataFrame, folder: str) -> dict[str, DataFrame]:
             for name, table in dimensions.items()}
 
 
-def store_clean(raw_files: list[DataFrame]) -> DataFrame:
+def store_clean(raw_files: list[DataFrame], account: DropAccount | None = None) -> DataFrame:
     """The cleaned rows in the shared folder, because three dimensions and the fact all start from them; only
     the columns that these use. Their positions are stored with them and number the fact."""
-    rows = clean_files(raw_files)
+    rows = clean_files(raw_files, account=account)
     return write_and_read_back(with_positions(rows.select(*[c for c in STAR_SOURCES if c in rows.columns])), "limpo")
 
 
@@ -97,14 +104,15 @@ def write_manifest(spark: SparkSession, folder: str) -> None:
     spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(os.path.join(folder, MANIFEST))
 
 
-def run_etl(raw_files: list[DataFrame], folder: str) -> Star:
+def run_etl(raw_files: list[DataFrame], folder: str, account: DropAccount | None = None) -> Star:
     """Raw files to a stored star schema, reading the raw files once.
 
     The star appears under `folder` when all of its tables and the manifest are written; until
-    then, and if writing fails, the star stored there before can be read.
+    then, and if writing fails, the star stored there before can be read. An `account` that also watched
+    the reading knows afterwards what was left out and why.
     """
     size_shuffles(*raw_files)
-    clean = store_clean(raw_files)
+    clean = store_clean(raw_files, account)
     spark = clean.sparkSession
 
     def write(beside: str) -> None:

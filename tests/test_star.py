@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from queixa.operators.dimensions import (
     with_subscribers,
 )
 from queixa.operators.fact import build_fact
-from queixa.operators.star import measured_small, star_of
+from queixa.operators.star import measured_small, selected_days, star_of
 from queixa.plans.kpis import KPI_TABLES
 from queixa.schema import STAR_TABLES
 from queixa.sources import sinks
@@ -271,3 +272,53 @@ def test_a_calendar_with_gaps_is_refused(spark, raw, tmp_path):
         star_of({**tables, "dim_calendario": tables["dim_calendario"].where("id_data <> 2")}).frame(["dia"]).collect()
     empty = star_of({n: t.limit(0) for n, t in tables.items()})
     assert empty.frame(["dia", "operadora"]).collect() == []
+
+
+def many_days(spark, raw, folder):
+    """A stored star whose fact has a row for each of some 400 days, in small files."""
+    run_etl(raw, folder)
+    tables = read_star_tables(spark, folder)
+    days = tables["dim_calendario"].select("id_data", "ano").withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(150))))
+    fact = days.select(
+        F.lit(1).cast("long").alias("id_reclamacao"), "id_data", F.lit(1).alias("id_operadora"), F.lit(25).alias("id_uf"), F.lit(1).alias("id_tipo"),
+        F.sha2(F.concat_ws("-", "id_data", "_n"), 512).alias("status"), F.lit("SCM").alias("sigla_servico"), F.lit(1).alias("qtd"), "ano")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300KB")
+    try:
+        write_star({"fato_reclamacoes": fact}, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    return read_star(spark, folder)
+
+
+def test_calendar_filters_reach_the_stored_fact(spark, raw, tmp_path):
+    star = many_days(spark, raw, str(tmp_path / "estrela"))
+    files = {f for f in os.listdir(tmp_path / "estrela" / "fato_reclamacoes" / "ano=2022") if f.endswith(".parquet")}
+    assert len(files) > 2
+    for where in ({"ano_mes": ["2022-05"]}, {"ano_mes": ["2022-05", "2022-06", "2022-11"]}, {"mes_idx": [2022 * 12 + 7]},
+                  {"ano": [2022], "trimestre": [3]}, {"ano": [2022, 2023], "mes": [1, 12]}, {"ano": [2022]}, {"mes": [6]}, {"ano": [2030]},
+                  {"ano_mes": ["2022-05"], "mes": [6]}):
+        found = star.frame(["dia", "ano_mes"], where)
+        every = star.frame(["dia", "ano", "mes", "trimestre", "mes_idx", "ano_mes"])
+        for c, values in where.items():
+            every = every.where(F.col(c).isin(values))
+        assert sorted(r.dia for r in found.collect()) == sorted(r.dia for r in every.collect())
+    plan = executed_plan(star.frame(["status"], {"ano_mes": ["2022-05", "2022-06", "2022-11"]}))
+    assert re.search(r"PartitionFilters: \[[^\]]*ano#\d+ >= 2022", plan)
+    assert re.search(r"PushedFilters: \[[^\]]*Or\(And\(GreaterThanOrEqual\(id_data,", plan)
+    read = sum(1 for f in star.fact.inputFiles() if "ano=2022" in f)
+    spans = [spark.read.parquet(f).agg(F.min("id_data"), F.max("id_data")).first() for f in star.fact.inputFiles() if "ano=2022" in f]
+    first = (dt.date(2022, 8, 1) - dt.date(2022, 3, 5)).days + 1
+    needed = [s for s in spans if s[0] <= first + 30 and s[1] >= first]
+    assert len(needed) < read  # the other files' row groups hold no day of that month
+
+
+def test_spans_of_days():
+    days = lambda *x: (dt.date(*x[:3]), dt.date(*x[3:]))
+    assert selected_days({}, None) is None and selected_days({"mes": [1]}, None) is None
+    assert selected_days({"ano": [2022, 2023]}, None) == [days(2022, 1, 1, 2023, 12, 31)]
+    assert selected_days({"ano": [2020], "trimestre": [1, 2], "mes": [2, 3, 4]}, None) == [days(2020, 2, 1, 2020, 4, 30)]
+    assert selected_days({"ano_mes": ["2021-12", "2022-01"]}, None) == [days(2021, 12, 1, 2022, 1, 31)]
+    assert selected_days({"mes_idx": [2022 * 12 + 12]}, (2022, 2022)) == [days(2022, 12, 1, 2022, 12, 31)]
+    assert selected_days({"mes": [1, 3]}, (2022, 2022)) == [days(2022, 1, 1, 2022, 1, 31), days(2022, 3, 1, 2022, 3, 31)]
+    assert selected_days({"ano_mes": ["2022-05"], "mes": [6]}, None) == []
+    assert selected_days({"mes": [1, 3, 5]}, (1990, 2020)) == [days(1990, 1, 1, 2020, 5, 31)]
