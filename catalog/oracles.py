@@ -369,6 +369,14 @@ ORACLES["kpi_states"] = over(
     f"{pct('sum(qtd)', '(SELECT count(*) FROM v)')} AS share_pct, "
     "rank() OVER (ORDER BY sum(qtd) DESC) AS ranking FROM v WHERE uf IS NOT NULL GROUP BY 1")
 
+# The same four tables over the rows of the raw files.
+_FILED = ", ".join([
+    _raw(), NULLED, light(BROAD_ALIASES), "v AS (SELECT * FROM leve)",
+    "subs AS (SELECT * FROM (VALUES " + ", ".join(f"('{b}', {n})" for b, n in SUBSCRIBERS) + ") AS s(operadora, assinantes))"])
+for _name, _same in (("kpi_files_consolidated", "kpi_consolidated"), ("kpi_files_operators", "kpi_by_operator"),
+                     ("kpi_files_monthly", "kpi_monthly"), ("kpi_files_states", "kpi_states")):
+    ORACLES[_name] = ORACLES[_same].replace(COMPLAINTS, _FILED)
+
 # --- hypotheses and exploration
 
 

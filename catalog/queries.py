@@ -291,6 +291,24 @@ def kpi_files(spark, sf_dir):
                           schema="operadora string, motivo string, volume long, share_pct double, ranking int")
 
 
+def _kpi_file(name: str) -> Query:
+    """All five tables written as CSV from files without a stored star, this one read back."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _write_raw_files(spark, sf_dir)
+        rows = load_fact(spark, os.path.join(folder, "sem_estrela"), folder)
+        rows = rows.withColumn("ano_mes", F.date_format("dia", "yyyy-MM"))
+        write_kpis(rows, os.path.join(folder, "saida"))
+        schema = kpis.KPI_TABLES[name](rows).schema
+        return _plain(spark.read.csv(os.path.join(folder, "saida", f"{name}.csv"), header=True, schema=schema))
+    return build
+
+
+REGISTRY.update({
+    "kpi_files_consolidated": _kpi_file("kpis_consolidado"), "kpi_files_operators": _kpi_file("kpis_por_operadora"),
+    "kpi_files_monthly": _kpi_file("kpis_temporais"), "kpi_files_states": _kpi_file("kpis_regionais"),
+})
+
+
 # --- KPI tables -------------------------------------------------------------------------
 
 KPI_COLUMNS = ("operadora", "uf", "categoria", "status", "dia", "ano_mes")
