@@ -27,8 +27,10 @@ from queixa.session import shared_folder, write_and_read_back
 
 # Payloads from this size on are stored once.
 SHARED_FROM = 100
-# Records in an archive, captures in a block of a run, captures in a merged range.
-ARCHIVE_RECORDS, BLOCK, RANGE = 5_000, 512, 50_000
+# Records in an archive, and their bytes on average; captures in a block of a run, captures in a merged range.
+ARCHIVE_RECORDS, ARCHIVE_BYTES, BLOCK, RANGE = 5_000, 64 << 20, 512, 50_000
+# Bytes inflated at once when an archive is read.
+PIECE = 1 << 20
 END = "\r\n\r\n"
 ENTRY = pa.struct([("url_key", pa.string()), ("timestamp", pa.string()), ("page_id", pa.int64()), ("url", pa.string()),
                    ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("record_type", pa.string()),
@@ -58,10 +60,14 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), clean, F.lit("\r\n")), F.lit(""))
 
 
-def write_archives(pages: DataFrame, path: str, records: int = ARCHIVE_RECORDS) -> None:
-    """One WARC/1.1 record per page, in compressed archives of at most `records` records under `path`.
+def write_archives(pages: DataFrame, path: str, records: int | None = None) -> None:
+    """One WARC/1.1 record per page, in compressed archives under `path`.
 
-    `pages` needs page_id, url, timestamp (14 digits or null) and html."""
+    An archive has at most `records` records; if that isn't given, ARCHIVE_RECORDS, or as many average pages as make
+    ARCHIVE_BYTES. `pages` needs page_id, url, timestamp (14 digits or null) and html."""
+    if records is None:
+        average = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 1
+        records = max(1, min(ARCHIVE_RECORDS, int(ARCHIVE_BYTES / max(1, average))))
     rows = decide(pages)
     response = F.col("record_type") == "response"
     number = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
@@ -89,17 +95,48 @@ def url_key(url: str | None) -> str:
     return f"{','.join(reversed(host.split('.')))}){found[2] or '/'}"
 
 
-def parse(data: bytes, archive: str) -> Iterator[dict]:
-    """The records of one archive. A response's digest and size are those of the payload read; a
-    revisit has no payload of its own and gives those its headers state."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        head = dict(x.split(": ", 1) for x in data[at:stop].decode().split("\r\n")[1:])
+class Inflated:
+    """A compressed archive, read forward piece by piece: `held` is what is inflated and not yet dropped."""
+
+    def __init__(self, data) -> None:
+        self.data, self.at, self.held, self.inflate = memoryview(data), 0, bytearray(), zlib.decompressobj(wbits=31)
+
+    def more(self) -> bool:
+        if self.at >= len(self.data):
+            return False
+        if self.inflate.eof:  # a file may hold several members
+            self.inflate = zlib.decompressobj(wbits=31)
+        piece = self.data[self.at:self.at + PIECE]
+        self.held += self.inflate.decompress(piece, PIECE)
+        self.at += len(piece) - len(self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail)
+        return True
+
+    def reach(self, n: int) -> None:
+        while len(self.held) < n:
+            if not self.more():
+                raise ValueError("the archive ends inside a record")
+
+    def find(self, mark: bytes) -> int:
+        """Where the mark stands; -1 at the archive's end."""
+        start = 0
+        while (found := self.held.find(mark, start)) < 0:
+            start = max(0, len(self.held) - len(mark) + 1)
+            if not self.more():
+                return -1
+        return found
+
+
+def parse(data, archive: str) -> Iterator[dict]:
+    """The records of one compressed archive, one at a time. A response's digest and size are those of the payload
+    read; a revisit has no payload of its own and gives those its headers state."""
+    read, at = Inflated(data), 0
+    while (stop := read.find(b"\r\n\r\n")) >= 0:
+        head = dict(x.split(": ", 1) for x in read.held[:stop].decode().split("\r\n")[1:])
         size = int(head["Content-Length"])
-        block = data[stop + 4:stop + 4 + size]
-        http, payload = block.split(b"\r\n\r\n", 1)
         end = stop + 4 + size + 4
+        read.reach(end)
+        http, payload = bytes(read.held[stop + 4:stop + 4 + size]).split(b"\r\n\r\n", 1)
+        del read.held[:end]
         number = head["WARC-Record-ID"][len("<urn:page:"):-1]
         digest, n = head["WARC-Payload-Digest"].removeprefix("sha256:"), int(http.rsplit(b": ", 1)[1])
         if head["WARC-Type"] == "response":
@@ -107,9 +144,11 @@ def parse(data: bytes, archive: str) -> Iterator[dict]:
                 raise ValueError(f"damaged record at {at} of {archive}")
         yield {"url_key": url_key(head.get("WARC-Target-URI")), "timestamp": re.sub(r"\D", "", head["WARC-Date"]),
                "page_id": None if number == "none" else int(number), "url": head.get("WARC-Target-URI"), "archive": archive,
-               "offset": at, "length": end - at, "record_type": head["WARC-Type"], "payload_digest": digest, "payload_bytes": n,
+               "offset": at, "length": end, "record_type": head["WARC-Type"], "payload_digest": digest, "payload_bytes": n,
                "refers_to": int(head["WARC-Refers-To"][len("<urn:page:"):-1]) if "WARC-Refers-To" in head else None}
-        at = end
+        at += end
+    if bytes(read.held).strip():
+        raise ValueError(f"{archive} ends inside a record")
 
 
 def sort_key(entry: dict) -> tuple:
@@ -121,8 +160,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each archive's captures as a sorted run."""
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1), strict=True):
-            data = zlib.decompress(content.as_py(), wbits=31) if len(content.as_buffer()) else b""
-            run = sorted(parse(data, os.path.basename(path.as_py())), key=sort_key)
+            run = sorted(parse(content.as_buffer() if content.is_valid else b"", os.path.basename(path.as_py())), key=sort_key)
             for at in range(0, len(run), BLOCK):
                 yield pa.RecordBatch.from_arrays([pa.array([run[at:at + BLOCK]], pa.list_(ENTRY))], names=["run"])
 
@@ -263,7 +301,7 @@ def index(spark, path: str, captures_per_range: int = RANGE) -> DataFrame:
     return merged.select("part", "capture.*")
 
 
-def archive_and_index(pages: DataFrame, records: int = ARCHIVE_RECORDS) -> DataFrame:
+def archive_and_index(pages: DataFrame, records: int | None = None) -> DataFrame:
     """Archives `pages` in the shared folder and returns the merged index (see `index`).
 
     `pages` needs page_id (a whole number), url, html, and may have timestamp (14 digits); without
