@@ -424,6 +424,8 @@ ORACLES["hypothesis_verdicts"] = over(
     UNION ALL SELECT 'H5', 'ASIA domina volume absoluto', 'ASIA: ' || {_tenth('s')} || '%', w = m
     FROM (SELECT coalesce(sum(share_pct) FILTER (regiao = 'ASIA'), 0) AS s,
                  max(volume) FILTER (regiao = 'ASIA') AS w, max(volume) AS m FROM ({_shares('regiao')}))""")
+ORACLES["stored_star_hypotheses"] = ORACLES["hypothesis_verdicts"].replace("ASIA", "Sudeste").replace(COMPLAINTS, ", ".join([
+    _raw(), NULLED, *STAR, _STORED, "v AS (SELECT *, CAST(quarter(dia) AS BIGINT) AS trimestre FROM e)"]))
 ORACLES["monthly_series"] = over(
     f"SELECT ano_mes, operadora, {N} AS volume FROM v WHERE operadora IS NOT NULL AND ano_mes IS NOT NULL GROUP BY 1, 2")
 ORACLES["matrix_operator_category"] = over(

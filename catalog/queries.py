@@ -280,6 +280,12 @@ def stored_star_kpis(spark, sf_dir):
     return kpis.kpis_consolidado(_stored_star(spark, sf_dir).cube(["operadora", "uf", "categoria", "status", "dia"]))
 
 
+@query
+def stored_star_hypotheses(spark, sf_dir):
+    """The verdicts from a cube of the stored star."""
+    return hypotheses.hypotheses(_stored_star(spark, sf_dir).cube(hypotheses.HYPOTHESIS_KEYS))
+
+
 @query
 def kpi_files(spark, sf_dir):
     """Files without a stored star, KPI tables written as CSV, one of them read back."""

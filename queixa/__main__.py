@@ -2,7 +2,7 @@
 
 etl RAW STAR           raw files to a stored star, and an account of the rows left out
 kpis STAR RAW OUT      the five KPI tables, from the star if it is stored, else from the raw files
-hypotheses RAW         the five verdicts over the raw files, duplicates kept
+hypotheses RAW         the five verdicts over the raw files, duplicates kept; with --star, over the stored star if there is one
 report STAR NAME       one report dataset; repeat --where ano=2023,2022. --out writes all its rows to a
                        folder; without it the first rows are shown as a preview
 """
@@ -19,13 +19,13 @@ from queixa.fixed_values import EXPLORATION_ALIASES
 from queixa.operators.cleaning import clean_light
 from queixa.plans.context import CALENDAR
 from queixa.plans.datasets import REPORTS, dataset
-from queixa.plans.hypotheses import hypotheses
+from queixa.plans.hypotheses import HYPOTHESIS_KEYS, hypotheses
 from queixa.plans.kpis import CUBE_KEYS
-from queixa.session import build_session
+from queixa.session import build_session, size_shuffles
 from queixa.sources.account import DropAccount
 from queixa.sources.raw import read_many, union_all
 from queixa.sources.sinks import run_etl, write_kpis, write_table
-from queixa.sources.star_files import RAW_FILES, load_cube, read_star
+from queixa.sources.star_files import RAW_FILES, has_star, load_cube, read_star
 
 PREVIEW = 50
 
@@ -55,7 +55,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     kpis.add_argument("raw")
     kpis.add_argument("out")
     kpis.add_argument("--format", choices=["csv", "parquet"], default="csv")
-    programs.add_parser("hypotheses").add_argument("raw")
+    verdicts = programs.add_parser("hypotheses")
+    verdicts.add_argument("raw")
+    verdicts.add_argument("--star")
     report = programs.add_parser("report")
     report.add_argument("star")
     report.add_argument("name", choices=[*REPORTS, "category_drill"])
@@ -73,7 +75,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif asked.program == "kpis":
         write_kpis(load_cube(spark, asked.star, asked.raw, [*CUBE_KEYS, "dia"]), asked.out, asked.format)
     elif asked.program == "hypotheses":
-        hypotheses(clean_light(union_all(_raw(spark, asked.raw)), EXPLORATION_ALIASES)).show(truncate=False)
+        if asked.star and has_star(spark, asked.star):
+            rows = read_star(spark, asked.star).cube(HYPOTHESIS_KEYS)
+        else:
+            files = _raw(spark, asked.raw)
+            size_shuffles(*files)
+            rows = clean_light(union_all(files), EXPLORATION_ALIASES)
+        hypotheses(rows).show(truncate=False)
     else:
         rows = dataset(read_star(spark, asked.star), asked.name, _filters(asked.where))
         if asked.out:

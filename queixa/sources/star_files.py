@@ -12,6 +12,7 @@ from queixa.functions.dates import with_time_columns
 from queixa.operators.cleaning import clean_light
 from queixa.operators.star import Star, star_of
 from queixa.schema import FACT, MANIFEST, MANIFEST_SCHEMA, STAR_TABLES, STORED_FACT
+from queixa.session import size_shuffles
 from queixa.sources.raw import path_exists, read_many, union_all
 
 RAW_FILES = ("reclamacoes_scm.csv", "reclamacoes_smp.csv")
@@ -33,7 +34,10 @@ def read_star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    return star_of(read_star_tables(spark, folder))
+    """The stored star; shuffles over it start with partitions that fit its fact."""
+    tables = read_star_tables(spark, folder)
+    size_shuffles(tables["fato_reclamacoes"])
+    return star_of(tables)
 
 
 def has_star(spark: SparkSession, folder: str) -> bool:
@@ -57,6 +61,7 @@ def load_fact(spark: SparkSession, processed: str, raw: str) -> DataFrame:
     if has_star(spark, processed):
         return read_star(spark, processed).frame(FACT_COLUMNS)
     files = read_many(spark, [os.path.join(raw, name) for name in RAW_FILES])
+    size_shuffles(*files)
     return clean_light(union_all(files)).select(*FACT_COLUMNS, "qtd")
 
 

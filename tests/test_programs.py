@@ -13,7 +13,10 @@ def test_programs(spark, raw_folder, tmp_path, capsys):  # noqa: F811
     star, out = str(tmp_path / "estrela"), str(tmp_path / "kpis")
     main(["kpis", star, raw_folder, out])  # nothing stored yet: from the raw files
     assert sorted(os.listdir(out)) == sorted(f"{name}.csv" for name in KPI_TABLES)
+    capsys.readouterr()
     main(["etl", raw_folder, star])
+    told = {line.split(None, 1)[1]: int(line.split(None, 1)[0]) for line in capsys.readouterr().out.splitlines() if line.strip()}
+    assert told == {"linha vazia": 0, "linha longa": 0, "dia ausente": 0, "dia fora do calendário": 0, "dia impossível": 0, "cópia exata": 1}
     main(["kpis", star, raw_folder, out, "--format", "parquet"])
     rows = spark.read.parquet(f"{out}/kpis_por_operadora").collect()
     assert {r.operadora: r.volume for r in rows} == {"CLARO": 2, "VIVO": 1, "ALGAR": 2, "NÃO IDENTIFICADA": 1}
@@ -21,6 +24,8 @@ def test_programs(spark, raw_folder, tmp_path, capsys):  # noqa: F811
     main(["hypotheses", raw_folder])
     shown = capsys.readouterr().out
     assert all(code in shown for code in ("H1", "H2", "H3", "H4", "H5"))
+    main(["hypotheses", str(tmp_path / "nada"), "--star", star])
+    assert all(code in capsys.readouterr().out for code in ("H1",))
     main(["report", star, "volume_by_operator", "--where", "ano=2022", "--where", "uf=SP,RJ"])
     shown = capsys.readouterr().out
     assert "CLARO" in shown and "VIVO" in shown and "ALGAR" not in shown
