@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from queixa.llm.chunks import CHUNK_BYTES, Numbering, chunk_writer, offsets, sums
+from queixa.llm.chunks import CHUNK_BYTES, Numbering, chunk_writer, offsets, packed, sums, unpacked
 from queixa.session import write_and_read_back
 
 # Not a word, as it holds a blank: the token that ends each document.
 END = b"\n"
 OF_TEN = 10
-# Tokens whose contexts are held at once.
-PIECE_TOKENS = 1 << 18
+# Tokens worked on at once, and scored in one product.
+PIECE_TOKENS, SCORED = 1 << 18, 512
 
 CHUNKS = pa.schema([
     ("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
@@ -41,13 +41,14 @@ ENCODED = pa.schema([
 @dataclass(frozen=True)
 class Settings:
     """`own` words have a class each, all others share `shared` classes."""
-    own: int = 384
-    shared: int = 640
+    own: int = 128
+    shared: int = 288
     ending: int = 3  # letters that name a shared class
     width: int = 24
-    before: int = 5  # words looked back on
-    noise: int = 96  # noise classes per batch
-    batch: int = 512
+    before: int = 4  # words looked back on
+    noise: int = 56  # noise classes per batch
+    run: int = 32  # consecutive words learnt together
+    batch: int = 16  # runs
     rounds: int = 4
     rate: float = 0.15
     seed: int = 7
@@ -64,6 +65,7 @@ class Model:
     target: np.ndarray
     scale: np.ndarray
     bias: np.ndarray
+    biased: np.ndarray | None = None
 
     @staticmethod
     def start(shares: np.ndarray, s: Settings) -> Model:
@@ -83,34 +85,48 @@ class Model:
             at += x.size
         return Model(*parts)
 
-    def predicted(self, before: np.ndarray) -> np.ndarray:
-        found = self.context[before[:, 0]] * self.scale[0]
-        for i in range(1, before.shape[1]):
-            found += self.context[before[:, i]] * self.scale[i]
+    def predicted(self, vectors: np.ndarray, n: int) -> np.ndarray:
+        """Predictions for the last `n` places of runs of context vectors, each from the places before it."""
+        first = vectors.shape[-2] - n
+        found = vectors[..., first - 1:first - 1 + n, :] * self.scale[0]
+        for i in range(1, first):
+            found += vectors[..., first - 1 - i:first - 1 - i + n, :] * self.scale[i]
         return found
 
-    def log_probabilities(self, before: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Natural logarithms, normalised over all classes."""
-        scores = self.predicted(before) @ self.target.T
-        scores += self.bias
-        scores -= scores.max(axis=1, keepdims=True)
-        own = scores[np.arange(len(classes)), classes].astype(np.float64)
-        return own - np.log(np.exp(scores, out=scores).sum(axis=1, dtype=np.float64))
-
-
-def contexts(classes: np.ndarray, sizes: np.ndarray, s: Settings) -> np.ndarray:
-    """The classes of the words before each token, nearest first; `s.classes` stands before a text."""
-    place = np.arange(len(classes)) - np.repeat(offsets(sizes)[:-1], sizes)
-    found = np.full((len(classes), s.before), s.classes, dtype=np.int32)
-    for i in range(s.before):
-        has = np.flatnonzero(place > i)
-        found[has, i] = classes[has - i - 1]
-    return found
-
-
-def _gather(rows: np.ndarray, gradient: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    def log_probabilities(self, run: np.ndarray) -> np.ndarray:
+        """Natural logarithms for a run's classes but the first ones, which are only looked back on; normalised over all classes."""
+        n = len(run) - len(self.scale)
+        found, classes = self.predicted(self.context[run], n), np.minimum(run[len(self.scale):], len(self.bias) - 1)
+        scores = np.concatenate([found, np.ones((n, 1), dtype=np.float32)], axis=1) @ self._biased()
+        rows = np.arange(n)
+        own = scores[rows, classes].astype(np.float64)
+        with np.errstate(over="ignore", divide="ignore"):
+            whole = np.log(np.exp(scores, out=scores).sum(axis=1).astype(np.float64))
+        if np.isfinite(whole).all():
+            return own - whole
+        # scores that leave the range of single precision
+        scores = found.astype(np.float64) @ self.target.T + self.bias
+        top = scores.max(axis=1)
+        return scores[rows, classes] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
+
+    def _biased(self) -> np.ndarray:
+        """Targets and, as one more row, the biases: one product gives whole scores."""
+        if self.biased is None:
+            self.biased = np.ascontiguousarray(np.concatenate([self.target, self.bias[:, None]], axis=1).T)
+        return self.biased
+
+
+def stream(classes: np.ndarray, sizes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Texts in a row, each behind as many places of 'before the text' as a word looks back; and where the tokens stand."""
+    at = np.arange(len(classes)) + s.before * np.repeat(np.arange(1, len(sizes) + 1), sizes)
+    run = np.full(len(classes) + s.before * len(sizes), s.classes, dtype=np.int32)
+    run[at] = classes
+    return run, at
+
+
+def _gather(rows: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and the sums of their gradients."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.int16), kind="stable")
     ordered = rows[order]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     return ordered[starts], np.add.reduceat(gradient[order], starts, axis=0)
@@ -131,23 +147,38 @@ class Trainer:
         had[rows] = grown
         weights[rows] += self.s.rate * gradient / np.sqrt(grown)
 
-    def step(self, before: np.ndarray, classes: np.ndarray) -> None:
+    def step(self, runs: np.ndarray) -> None:
+        """One batch of runs of classes; the first places of a run are only looked back on."""
         m, s = self.m, self.s
+        n = runs.shape[1] - s.before
+        classes = runs[:, s.before:].ravel()
+        real = classes < s.classes  # places before a text are no tokens
+        classes = np.where(real, classes, 0)
         drawn = np.minimum(np.searchsorted(self.cumulated, self.rng.random(s.noise)), s.classes - 1)
-        predicted = m.predicted(before)
+        vectors, noise_vectors, own_vectors = m.context[runs], m.target[drawn], m.target[classes]
+        predicted = m.predicted(vectors, n).reshape(-1, s.width)
         scale = np.log(np.float32(s.noise))
-        own = (predicted * m.target[classes]).sum(axis=1) + m.bias[classes] - self.log_noise[classes] - scale
-        other = predicted @ m.target[drawn].T + (m.bias[drawn] - self.log_noise[drawn] - scale)
+        own = np.einsum("ij,ij->i", predicted, own_vectors) + (m.bias - self.log_noise)[classes] - scale
         # the chance that a token is noise, and that a noise token is not
-        up = 1 / (1 + np.exp(np.clip(own, -30, 30)))
-        down = 1 / (1 + np.exp(np.clip(-other, -30, 30)))
-        moved = up[:, None] * m.target[classes] - down @ m.target[drawn]
-        rows = np.concatenate([classes, drawn])
-        target = np.concatenate([up[:, None] * predicted, -(down.T @ predicted)])
-        places = [m.context[before[:, i]] for i in range(s.before)]
-        at, gradient = _gather(rows, np.concatenate([target, np.concatenate([up, -down.sum(axis=0)])[:, None]], axis=1), s.classes)
-        context_at, context = _gather(before.T.ravel(), np.concatenate([moved * m.scale[i] for i in range(s.before)]), s.classes + 1)
-        scales = np.stack([(moved * places[i]).sum(axis=0) for i in range(s.before)])
+        with np.errstate(over="ignore"):
+            up = real / (1 + np.exp(own))
+            down = predicted @ -noise_vectors.T
+            down -= m.bias[drawn] - self.log_noise[drawn] - scale
+            np.exp(down, out=down)
+            down += 1
+            np.reciprocal(down, out=down)
+        down *= real[:, None]
+        moved = (up[:, None] * own_vectors - down @ noise_vectors).astype(np.float32).reshape(len(runs), n, s.width)
+        target = np.empty((len(classes) + s.noise, s.width + 1), dtype=np.float32)
+        target[:len(classes), :-1], target[:len(classes), -1] = up[:, None] * predicted, up
+        target[len(classes):, :-1], target[len(classes):, -1] = -(down.T @ predicted), -down.sum(axis=0)
+        at, gradient = _gather(np.concatenate([classes, drawn]), target)
+        context, scales = np.zeros_like(vectors), np.empty_like(m.scale)
+        for i in range(s.before):
+            place = slice(s.before - 1 - i, s.before - 1 - i + n)
+            context[:, place] += moved * m.scale[i]
+            scales[i] = np.einsum("ijk,ijk->k", moved, vectors[:, place])
+        context_at, context = _gather(runs.ravel(), context.reshape(-1, s.width))
         self._move("target", at, gradient[:, :-1])
         self._move("bias", at, gradient[:, -1])
         self._move("context", context_at, context)
@@ -158,14 +189,15 @@ def _pack(table: pa.Table, held: str) -> dict:
     """One chunk's tokens by place in its own list of words, and each word's count in training documents."""
     numbers, sizes, tokens = Numbering(), [], []
     for text in table["text"].to_pylist():
-        found = list(map(numbers.__getitem__, [*(text or "").encode().lower().split(), END]))
-        sizes.append(len(found))
-        tokens.append(np.array(found, dtype=np.int32))
+        words = (text or "").encode().lower().split()
+        words.append(END)
+        sizes.append(len(words))
+        tokens.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words)))
     every = np.concatenate(tokens)
     held_out = table[held].combine_chunks()
     learnt = np.repeat(np.array([x is False for x in held_out.to_pylist()], dtype=bool), sizes)
     return {"doc_id": table["doc_id"].combine_chunks(), "held_out": held_out, "sizes": sizes, "words": list(numbers),
-            "counts": np.bincount(every[learnt], minlength=len(numbers)), "tokens": every.tobytes()}
+            "counts": np.bincount(every[learnt], minlength=len(numbers)), "tokens": packed(every)}
 
 
 def _encode(chunks: pa.Table, answers: pa.Table, n_tokens: int, n_words: int, totals: np.ndarray, unseen: np.ndarray) -> Iterator[pa.Table]:
@@ -174,14 +206,14 @@ def _encode(chunks: pa.Table, answers: pa.Table, n_tokens: int, n_words: int, to
         order = np.argsort(answers["place"].to_numpy())
         count, of = (answers[n].to_numpy()[order] for n in ("count", "class"))
         sizes = row["sizes"][0].values.to_numpy()
-        tokens, bounds = np.frombuffer(row["tokens"][0].as_py(), dtype=np.int32), offsets(sizes)
+        tokens, bounds = unpacked(row["tokens"][0].as_py(), np.int32, int(sizes.sum())), offsets(sizes)
         base = np.log10((count + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
         inner = np.log10((count + 0.1) / (totals[of] + 0.1 * unseen[of]))
         classes = of[tokens].astype(np.int16)
         yield pa.Table.from_arrays([
             row["doc_id"][0].values, row["held_out"][0].values, pa.array(sizes.astype(np.int64)), pa.array(sums((count > 0).astype(np.int64)[tokens], bounds)),
             pa.array(np.add.reduceat(base[tokens], bounds[:-1])), pa.array(np.add.reduceat(inner[tokens], bounds[:-1])),
-            pa.array([classes[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())], schema=ENCODED)
+            pa.array([packed(classes[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())], schema=ENCODED)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,28 +228,31 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    held = batch["classes"].to_pylist()
-    return np.frombuffer(b"".join(held), dtype=np.int16).astype(np.int32), np.array([len(x) // 2 for x in held], dtype=np.int64)
+    sizes = batch["n_tokens"].to_numpy()
+    parts = [unpacked(x, np.int16, n) for x, n in zip(batch["classes"].to_pylist(), sizes.tolist(), strict=True)]
+    return np.concatenate([np.empty(0, dtype=np.int16), *parts]).astype(np.int32), sizes
 
 
 def _train(model: Model, noise: np.ndarray, s: Settings, part: int):
     """A function for mapInArrow: the weights after this task's documents, times its tokens."""
-    schema = pa.schema([("slot", pa.int32()), ("tokens", pa.int64()), ("weights", pa.binary())])
+    schema = pa.schema([("slot", pa.int32()), ("task", pa.int32()), ("tokens", pa.int64()), ("weights", pa.binary())])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         trainer, seen = Trainer(model.of(model.weights()), noise, s, hash((s.seed, part, task)) % 2**32), 0
         for batch in _pieces(batches):
             classes, sizes = _sequences(batch)
-            order = trainer.rng.permutation(len(classes))
-            before = contexts(classes, sizes, s)
+            run, _ = stream(classes, sizes, s)
+            run = np.concatenate([run, np.full(-(len(run) - s.before) % s.run, s.classes, dtype=np.int32)])
+            runs = np.lib.stride_tricks.sliding_window_view(run, s.run + s.before)[::s.run]
+            order = trainer.rng.permutation(len(runs))
             for at in range(0, len(order), s.batch):
-                own = order[at:at + s.batch]
-                trainer.step(before[own], classes[own])
+                trainer.step(runs[order[at:at + s.batch]])
             seen += len(classes)
         if seen:
             weights = trainer.m.weights().astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays([pa.array([task % SLOTS], pa.int32()), pa.array([seen]), pa.array([weights.tobytes()], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([task % SLOTS], pa.int32()), pa.array([task], pa.int32()), pa.array([seen]),
+                                              pa.array([weights.tobytes()], pa.binary())], schema=schema)
     return learn, from_arrow_schema(schema)
 
 
@@ -226,8 +261,10 @@ SLOTS = 32
 
 
 def _add(rows: pa.Table) -> pa.Table:
+    """One row for several tasks', added in their order, so that a rerun gives the same sums."""
+    rows = rows.sort_by("task")
     total = sum(np.frombuffer(x, dtype=np.float64) for x in rows["weights"].to_pylist())
-    return pa.table({"slot": rows["slot"][:1], "tokens": pa.array([sum(rows["tokens"].to_pylist())], pa.int64()),
+    return pa.table({"slot": rows["slot"][:1], "task": rows["task"][:1], "tokens": pa.array([sum(rows["tokens"].to_pylist())], pa.int64()),
                      "weights": pa.array([total.tobytes()], pa.binary())})
 
 
@@ -238,7 +275,7 @@ def train(encoded: DataFrame, shares: np.ndarray, s: Settings) -> Model:
     for part in range(s.rounds):
         learn, schema = _train(model, shares, s, part)
         rows = encoded.where(~F.col("held_out") & (part_of == part)).select("n_tokens", "classes").mapInArrow(learn, schema)
-        added = sorted(rows.groupBy("slot").applyInArrow(_add, schema).collect())
+        added = sorted(rows.groupBy("slot").applyInArrow(_add, schema).collect(), key=lambda r: r.slot)
         tokens = sum(r.tokens for r in added)
         if tokens:
             model = model.of(sum(np.frombuffer(r.weights, dtype=np.float64) for r in added) / tokens)
@@ -252,9 +289,10 @@ def _score(model: Model, s: Settings, n_tokens: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches):
             classes, sizes = _sequences(batch)
-            before = contexts(classes, sizes, s)
-            found = np.concatenate([model.log_probabilities(before[at:at + 1024], classes[at:at + 1024]) for at in range(0, len(classes), 1024)] or [np.empty(0)])
-            total = sums(found, offsets(sizes)) / np.log(10) + batch["inner_score"].to_numpy()
+            run, at = stream(classes, sizes, s)
+            found = np.concatenate([np.zeros(s.before), *(
+                model.log_probabilities(run[i:i + SCORED + s.before]) for i in range(0, len(run) - s.before, SCORED))])
+            total = sums(found[at], offsets(sizes)) / np.log(10) + batch["inner_score"].to_numpy()
             yield pa.RecordBatch.from_arrays([*(batch[n] for n in kept), pa.array(np.full(len(sizes), n_tokens)), pa.array(total)], schema=schema)
     return score, from_arrow_schema(schema)
 

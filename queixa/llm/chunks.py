@@ -73,3 +73,12 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, for what is stored or shuffled."""
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, dtype, count: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, decompressed_size=count * np.dtype(dtype).itemsize, codec="zstd", asbytes=True), dtype=dtype)

@@ -131,3 +131,10 @@ def test_nothing_to_learn_from(documents):
     ids = [i for i in range(200) if held_out(i)][:3]
     got = bilinear.score_texts(documents([(i, "only held out") for i in ids] + [(None, None)]), SMALL).collect()
     assert len(got) == 4 and all(r.train_tokens == 0 and r.n_known == 0 and np.isfinite(r.score) for r in got)
+
+
+def test_reruns_agree(documents):
+    rng = random.Random(10)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(1))}" for _ in range(rng.randrange(40)))) for i in range(120)]
+    first, again = ({r.doc_id: r.score for r in bilinear.score_texts(documents(rows), SMALL, 400).collect()} for _ in range(2))
+    assert first == again
