@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from queixa.llm.chunks import CHUNK_BYTES, Numbering, chunk_writer, offsets, packed, sums, unpacked
+from queixa.llm.chunks import Numbering, chunk_writer, offsets, packed, sums, unpacked
 from queixa.session import write_and_read_back
 
+# Text in a chunk: a word is asked for once per chunk, so larger chunks ask less often.
+CHUNK_BYTES = 12 << 20
 # Not a word, as it holds a blank: the token that ends each document.
 END = b"\n"
 OF_TEN = 10
