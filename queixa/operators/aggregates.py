@@ -46,24 +46,26 @@ def volume_by(frame: DataFrame, *keys: str) -> DataFrame:
     return _without_missing(grouped, *keys)
 
 
-def with_grand_total(grouped: DataFrame) -> DataFrame:
+def with_grand_total(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The sum of all groups beside each, the group of a missing key included.
 
-    It is one value of a subquery that shares the grouping's shuffle, so the groups stay where they are."""
-    return grouped.withColumn("geral", grouped.select(F.sum("volume")).scalar())
+    Groups of one key are as few as its labels. Those of several are too many for a window in one task: there it
+    is one value of a subquery that shares the grouping's shuffle."""
+    total = F.sum("volume").over(W.partitionBy()) if len(keys) == 1 else grouped.select(F.sum("volume")).scalar()
+    return grouped.withColumn("geral", total)
 
 
 def volume_and_total_by(frame: DataFrame, *keys: str) -> DataFrame:
     """Volume and grand total per key."""
     grouped = frame.groupBy(*keys).agg(total().alias("volume"), *_presence(*keys))
-    return _without_missing(with_grand_total(grouped), *keys)
+    return _without_missing(with_grand_total(grouped, keys), *keys)
 
 
 def resolution_by(frame: DataFrame, *keys: str) -> DataFrame:
     """Volume, answered volume and grand total per key."""
     grouped = frame.groupBy(*keys).agg(
         total().alias("volume"), total(answered()).alias("respondidas"), *_presence(*keys))
-    return _without_missing(with_grand_total(grouped), *keys)
+    return _without_missing(with_grand_total(grouped, keys), *keys)
 
 
 def hhi(shares_of: DataFrame, volume: str = "volume") -> DataFrame:

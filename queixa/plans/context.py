@@ -85,6 +85,11 @@ class Context:
         """A calendar axis coarser than, or across, months."""
         return bool(CALENDAR & set(self.axes)) and not self.by_month
 
+    @property
+    def many_cells(self) -> bool:
+        """Axes of more than one dimension: their cells are a product of labels."""
+        return len(self.axes) > 1 and not any(set(self.axes) <= one for one in (OPERATOR, STATE, TYPE))
+
     def axes_without(self, columns: Iterable[str]) -> list[str]:
         return [a for a in self.axes if a not in set(columns)]
 
@@ -116,7 +121,7 @@ class Context:
         Where several axes are all lifted the sum is one value, of a subquery that shares the
         cells' shuffle: their number is the product of the axes' labels, too many for a window in one task."""
         rest = {name: self.axes_without(q.lifts_axes) for name, q in quantities.items()}
-        whole = [name for name, axes in rest.items() if not axes and len(self.axes) > 1]
+        whole = [name for name, axes in rest.items() if not axes and self.many_cells]
         if whole:
             sums = cells.select(F.struct(*[F.sum(name).alias(name) for name in whole])).scalar()
         return {name: F.col(name) if axes == self.axes else sums[name] if name in whole else F.sum(name).over(W.partitionBy(*axes))
