@@ -7,6 +7,8 @@ place, add up to a prediction, whose product with a class's vector (plus its bia
 score. Training runs in rounds: tasks start from the same weights, take their share of the
 training documents in small batches, and what they learnt is averaged by tokens.
 A token's probability is that of its class, normalised over all classes, times its share of it.
+As a score is a sum over the places before, its exponential is a product of one factor a place;
+a trained model's factors are computed once per task, not once per token.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ END = b"\n"
 OF_TEN = 10
 # Tokens worked on at once, and scored in one product.
 PIECE_TOKENS, SCORED = 1 << 18, 512
+# Factors are used up to this size, and where no product of them (nor their sum) leaves single precision, whatever the classes.
+FACTOR_BYTES, MOST_EXPONENT = 16 << 20, 80
 
 CHUNKS = pa.schema([
     ("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
@@ -68,6 +72,7 @@ class Model:
     scale: np.ndarray
     bias: np.ndarray
     biased: np.ndarray | None = None
+    factors: np.ndarray | None = None
 
     @staticmethod
     def start(shares: np.ndarray, s: Settings) -> Model:
@@ -89,18 +94,26 @@ class Model:
 
     def predicted(self, vectors: np.ndarray, n: int) -> np.ndarray:
         """Predictions for the last `n` places of runs of context vectors, each from the places before it."""
-        first = vectors.shape[-2] - n
-        found = vectors[..., first - 1:first - 1 + n, :] * self.scale[0]
+        first, scale = vectors.shape[-2] - n, self.scales(n)
+        found = vectors[..., first - 1:first - 1 + n, :] * scale[0]
+        part = np.empty_like(found)
         for i in range(1, first):
-            found += vectors[..., first - 1 - i:first - 1 - i + n, :] * self.scale[i]
+            found += np.multiply(vectors[..., first - 1 - i:first - 1 - i + n, :], scale[i], out=part)
         return found
 
+    def scales(self, n: int) -> np.ndarray:
+        """Each place's scale `n` times, so that a run is multiplied in one stretch."""
+        return np.repeat(self.scale[:, None], n, axis=1)
+
     def log_probabilities(self, run: np.ndarray) -> np.ndarray:
         """Natural logarithms for a run's classes but the first ones, which are only looked back on; normalised over all classes."""
         n = len(run) - len(self.scale)
-        found, classes = self.predicted(self.context[run], n), np.minimum(run[len(self.scale):], len(self.bias) - 1)
+        classes, rows = np.minimum(run[len(self.scale):], len(self.bias) - 1), np.arange(n)
+        factors = self._factors()
+        if len(factors):
+            return self._of_products(factors, run, classes, rows)
+        found = self.predicted(self.context[run], n)
         scores = np.concatenate([found, np.ones((n, 1), dtype=np.float32)], axis=1) @ self._biased()
-        rows = np.arange(n)
         own = scores[rows, classes].astype(np.float64)
         with np.errstate(over="ignore", divide="ignore"):
             whole = np.log(np.exp(scores, out=scores).sum(axis=1).astype(np.float64))
@@ -111,6 +124,28 @@ class Model:
         top = scores.max(axis=1)
         return scores[rows, classes] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
 
+    @staticmethod
+    def _of_products(factors: np.ndarray, run: np.ndarray, classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        first, n = len(factors), len(classes)
+        chances = factors[0].take(run[first - 1:first - 1 + n], axis=0)
+        part = np.empty_like(chances)
+        for i in range(1, first):
+            factors[i].take(run[first - 1 - i:first - 1 - i + n], axis=0, out=part, mode="clip")  # other modes copy `out`
+            chances *= part
+        whole = chances @ np.ones(chances.shape[1], dtype=np.float32)
+        return np.log(chances[rows, classes].astype(np.float64)) - np.log(whole.astype(np.float64))
+
+    def _factors(self) -> np.ndarray:
+        """Per place before and class there, by what each class's chance is multiplied; the first place has the biases too. Empty where they are not to be used."""
+        if self.factors is None:
+            self.factors = np.empty((0, 0, 0), dtype=np.float32)
+            if len(self.scale) * len(self.context) * len(self.target) * 4 <= FACTOR_BYTES:
+                found = (self.context * self.scale[:, None].astype(np.float64)) @ self.target.T
+                found[0] += self.bias
+                if np.abs(found).max(axis=(1, 2)).sum() <= MOST_EXPONENT:
+                    self.factors = np.exp(found).astype(np.float32)
+        return self.factors
+
     def _biased(self) -> np.ndarray:
         """Targets and, as one more row, the biases: one product gives whole scores."""
         if self.biased is None:
@@ -129,9 +164,11 @@ def stream(classes: np.ndarray, sizes: np.ndarray, s: Settings) -> tuple[np.ndar
 def _gather(rows: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and the sums of their gradients."""
     order = np.argsort(rows.astype(np.int16), kind="stable")
-    ordered = rows[order]
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[starts], np.add.reduceat(gradient[order], starts, axis=0)
+    ordered = rows.take(order)
+    first = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    starts = np.flatnonzero(first)
+    return ordered.take(starts), np.add.reduceat(gradient.take(order, axis=0), starts, axis=0)
 
 
 class Trainer:
@@ -145,19 +182,35 @@ class Trainer:
 
     def _move(self, name: str, rows, gradient: np.ndarray) -> None:
         had, weights = getattr(self.had, name), getattr(self.m, name)
-        grown = had[rows] + gradient * gradient
+        grown = gradient * gradient
+        grown += had[rows]
         had[rows] = grown
-        weights[rows] += self.s.rate * gradient / np.sqrt(grown)
-
-    def step(self, runs: np.ndarray) -> None:
+        moved = self.s.rate * gradient
+        moved /= np.sqrt(grown, out=grown)
+        weights[rows] += moved
+
+    def draw(self, batches: int) -> np.ndarray:
+        """Noise classes of so many batches."""
+        drawn = np.searchsorted(self.cumulated, self.rng.random((batches, self.s.noise)))
+        return np.minimum(drawn, self.s.classes - 1)
+
+    def learn(self, runs: np.ndarray) -> None:
+        """All runs once, in batches and any order."""
+        order, size = self.rng.permutation(len(runs)), self.s.batch
+        starts = range(0, len(order), size)
+        for at, drawn in zip(starts, self.draw(len(starts)), strict=True):
+            self.step(runs[order[at:at + size]], drawn)
+
+    def step(self, runs: np.ndarray, drawn: np.ndarray | None = None) -> None:
         """One batch of runs of classes; the first places of a run are only looked back on."""
         m, s = self.m, self.s
+        if drawn is None:
+            drawn = self.draw(1)[0]
         n = runs.shape[1] - s.before
         classes = runs[:, s.before:].ravel()
         real = classes < s.classes  # places before a text are no tokens
         classes = np.where(real, classes, 0)
-        drawn = np.minimum(np.searchsorted(self.cumulated, self.rng.random(s.noise)), s.classes - 1)
-        vectors, noise_vectors, own_vectors = m.context[runs], m.target[drawn], m.target[classes]
+        vectors, noise_vectors, own_vectors = (x.take(rows, axis=0) for x, rows in ((m.context, runs), (m.target, drawn), (m.target, classes)))
         predicted = m.predicted(vectors, n).reshape(-1, s.width)
         scale = np.log(np.float32(s.noise))
         own = np.einsum("ij,ij->i", predicted, own_vectors) + (m.bias - self.log_noise)[classes] - scale
@@ -169,16 +222,18 @@ class Trainer:
             np.exp(down, out=down)
             down += 1
             np.reciprocal(down, out=down)
-        down *= real[:, None]
-        moved = (up[:, None] * own_vectors - down @ noise_vectors).astype(np.float32).reshape(len(runs), n, s.width)
+        down[~real] = 0
+        moved = up[:, None] * own_vectors
+        moved -= down @ noise_vectors
+        moved = moved.reshape(len(runs), n, s.width)
         target = np.empty((len(classes) + s.noise, s.width + 1), dtype=np.float32)
         target[:len(classes), :-1], target[:len(classes), -1] = up[:, None] * predicted, up
         target[len(classes):, :-1], target[len(classes):, -1] = -(down.T @ predicted), -down.sum(axis=0)
         at, gradient = _gather(np.concatenate([classes, drawn]), target)
-        context, scales = np.zeros_like(vectors), np.empty_like(m.scale)
+        context, scales, scale, part = np.zeros_like(vectors), np.empty_like(m.scale), m.scales(n), np.empty_like(moved)
         for i in range(s.before):
             place = slice(s.before - 1 - i, s.before - 1 - i + n)
-            context[:, place] += moved * m.scale[i]
+            context[:, place] += np.multiply(moved, scale[i], out=part)
             scales[i] = np.einsum("ijk,ijk->k", moved, vectors[:, place])
         context_at, context = _gather(runs.ravel(), context.reshape(-1, s.width))
         self._move("target", at, gradient[:, :-1])
@@ -247,9 +302,7 @@ def _train(model: Model, noise: np.ndarray, s: Settings, part: int):
             run, _ = stream(classes, sizes, s)
             run = np.concatenate([run, np.full(-(len(run) - s.before) % s.run, s.classes, dtype=np.int32)])
             runs = np.lib.stride_tricks.sliding_window_view(run, s.run + s.before)[::s.run]
-            order = trainer.rng.permutation(len(runs))
-            for at in range(0, len(order), s.batch):
-                trainer.step(runs[order[at:at + s.batch]])
+            trainer.learn(runs)
             seen += len(classes)
         if seen:
             weights = trainer.m.weights().astype(np.float64) * seen

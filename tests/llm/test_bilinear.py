@@ -118,6 +118,55 @@ def test_gradient_is_that_of_the_objective():
         assert moved[i] == pytest.approx(slope, abs=0.02 + 0.02 * abs(slope))
 
 
+@pytest.mark.parametrize("size", [1.0, 6.0, 40.0])
+def test_whole_softmax_without_exponentials_per_token(size, monkeypatch):
+    """Scores as by explicit softmax; what is exponentiated does not grow with the text, unless products could leave single precision."""
+    rng = np.random.default_rng(4)
+    shares = rng.dirichlet(np.ones(SMALL.classes))
+    model = Model.start(shares, SMALL)
+    model.context, model.target = model.context * 10 * size, model.target * 10
+    run = rng.integers(0, SMALL.classes + 1, 700 + SMALL.before).astype(np.int32)
+    run[SMALL.before:] %= SMALL.classes
+    expected = []
+    for t in range(SMALL.before, len(run)):
+        predicted = sum(model.context[run[t - 1 - i]].astype(float) * model.scale[i] for i in range(SMALL.before))
+        scores = model.target.astype(float) @ predicted + model.bias
+        expected.append(scores[run[t]] - scores.max() - np.log(np.exp(scores - scores.max()).sum()))
+    done, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **more: (done.append(np.size(x)), exp(x, **more))[1])
+    found = model.log_probabilities(run)
+    first = sum(done)
+    assert found == pytest.approx(np.array(expected), rel=1e-5, abs=1e-4)
+    again = model.log_probabilities(np.tile(run, 3))
+    assert again[:len(found)] == pytest.approx(found, rel=1e-5, abs=1e-4)
+    if size == 1.0:
+        assert sum(done) == first == SMALL.before * (SMALL.classes + 1) * SMALL.classes
+
+
+def test_large_models_are_scored_without_factors(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = Model.start(rng.dirichlet(np.ones(SMALL.classes)), SMALL)
+    run = rng.integers(0, SMALL.classes, 90).astype(np.int32)
+    found = model.log_probabilities(run)
+    monkeypatch.setattr(bilinear, "FACTOR_BYTES", 1000)
+    whole = model.of(model.weights())
+    assert whole.log_probabilities(run) == pytest.approx(found, abs=1e-5)
+    assert not len(whole.factors) and len(model.factors)
+
+
+def test_steps_drawn_ahead_are_those_drawn_one_by_one():
+    rng = np.random.default_rng(6)
+    shares = rng.dirichlet(np.ones(SMALL.classes))
+    start = Model.start(shares, SMALL)
+    runs = rng.integers(0, SMALL.classes + 1, (30, SMALL.run + SMALL.before)).astype(np.int32)
+    ahead, single = (bilinear.Trainer(start.of(start.weights()), shares, SMALL, 3) for _ in range(2))
+    ahead.learn(runs)
+    order = single.rng.permutation(len(runs))
+    for at in range(0, len(order), SMALL.batch):
+        single.step(runs[order[at:at + SMALL.batch]])
+    assert np.array_equal(ahead.m.weights(), single.m.weights())
+
+
 def test_whole_table(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op13_log_bilinear_scores"](spark, sf_dir).collect()
